@@ -11,6 +11,12 @@ which is the classic two-level parallel prefix sum:
 3. the per-chunk offset joined back on (key, chunk) - the big side is already partitioned by
    (key, chunk) after step 1, so only the small offset table moves.
 
+Only keys that are actually big take that path. A first cheap pass counts rows per key (partial
+aggregation); keys above ``hot_rows`` rows are "hot". There are at most ``N / hot_rows`` of them,
+a proven bound, so their list is broadcast. Cold keys (at most ``hot_rows`` rows each, so one task
+per key is fine) use the plain per-key window; hot keys use the chunked form. When the probe finds
+no hot key at all, the plan is just the per-key window.
+
 Optionally the running *minimum* of a prefix sum is produced the same way (minimum inside the
 chunk so far, combined with the minimum over all earlier chunks) - "has the balance ever dipped
 below zero up to this row" without any per-key sort.
@@ -31,8 +37,42 @@ def time_chunk(ts_col: str, seconds: int = 3600) -> Column:
     return F.floor(F.unix_micros(F.col(ts_col).cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
 
 
+HOT_KEY_ROWS = 4_000_000   # rows per key above which a key is split into chunks
+HOT_KEY_CONF = "stockflow.hotKeyRows"   # session setting overriding HOT_KEY_ROWS
+
+
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column,
-                 values: dict[str, Column], mins: Sequence[str] = ()) -> DataFrame:
+                 values: dict[str, Column], mins: Sequence[str] = (),
+                 hot_rows: int | None = None) -> DataFrame:
+    """Inclusive running sums per key, skew-safe (see the module text); arguments as in
+    ``chunked_running_sums``. ``hot_rows`` (default ``HOT_KEY_ROWS``) separates cold from hot keys.
+    """
+    keys = list(keys)
+    if hot_rows is None:
+        hot_rows = int(df.sparkSession.conf.get(HOT_KEY_CONF, str(HOT_KEY_ROWS)))
+    w = (Window.partitionBy(*keys).orderBy(*[F.col(c) for c in order])
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+    def per_key_window(rows: DataFrame) -> DataFrame:
+        out = rows.select("*", *[F.sum(e).over(w).cast("long").alias(o) for o, e in values.items()])
+        if mins:
+            out = out.select("*", *[F.min(o).over(w).cast("long").alias(f"{o}_min") for o in mins])
+        return out
+
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+           .select(*keys))
+    # A tiny existence probe (one partial aggregate, one row to the driver) decides the plan shape:
+    # without hot keys the plain per-key window is exact and cheapest.
+    if not hot.take(1):
+        return per_key_window(df)
+    hot = F.broadcast(hot)   # at most rows / hot_rows keys
+    cold = per_key_window(df.join(hot, keys, "left_anti"))
+    return cold.unionByName(chunked_running_sums(df.join(hot, keys, "left_semi"), keys, order, chunk,
+                                                 values, mins))
+
+
+def chunked_running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column,
+                         values: dict[str, Column], mins: Sequence[str] = ()) -> DataFrame:
     """Add inclusive running sums ``out = sum(expr)`` per ``keys`` in ``order``; for each name in
     ``mins`` also ``{out}_min`` = the minimum of that running sum over the rows so far.
 

@@ -52,7 +52,7 @@ def scan_alerts(spark, d) -> DataFrame:
 def timeline(spark, d) -> DataFrame:
     p, s, _ = _dims(spark, d)
     adm = admitted(spark, d)
-    raised = al.alert_timeline(al.updates_from_admission(adm), p)
+    raised = cut_lineage(al.alert_timeline(al.updates_from_admission(adm), p))
     return al.alert_suggested_qty(raised, mv.movement_ledger(adm, ACTOR), p, s)
 
 
@@ -152,7 +152,7 @@ def q_stock_position(spark, d):
 def q_raise_low_stock_alerts(spark, d):
     p, s, _ = _dims(spark, d)
     adm = admitted(spark, d)
-    raised = al.raise_low_stock_alerts(al.updates_from_admission(adm), p, scan_alerts(spark, d))
+    raised = cut_lineage(al.raise_low_stock_alerts(al.updates_from_admission(adm), p, scan_alerts(spark, d)))
     return al.alert_suggested_qty(raised, mv.movement_ledger(adm, ACTOR), p, s)
 
 
