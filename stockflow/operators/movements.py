@@ -217,13 +217,11 @@ def receive_stock(stock: DataFrame, receipts: DataFrame, products: DataFrame | N
     if warehouses is not None:
         r = r.join(warehouses.select("warehouse_id"), "warehouse_id", "left_semi")
     odd_keys = r.filter(F.col("qty").isNull() | (F.col("qty") < 0)).select(*KEY).distinct()
+    if not odd_keys.take(1):   # the usual case: every receipt is a plain addition
+        return _merge_receipts(stock, r)
     simple = r.join(odd_keys, KEY, "left_anti")
-    add = simple.groupBy(*KEY).agg(F.sum("qty").cast("long").alias("_add"),
-                                   F.max("received_at").alias("_at"))
     s = stock.select(*KEY, "qty_on_hand", "last_updated")
-    merged = s.join(add, KEY, "full_outer").select(
-        *KEY, (F.coalesce("qty_on_hand", F.lit(0)) + F.coalesce("_add", F.lit(0))).cast("long").alias("qty_on_hand"),
-        F.coalesce("_at", "last_updated").alias("last_updated"))
+    merged = _merge_receipts(s, simple)
     # Exact path for order-dependent keys.
     hard = r.join(odd_keys, KEY, "left_semi").select(
         F.col("receipt_id").alias("request_id"), F.col("received_at").alias("request_time"), *KEY,
@@ -233,6 +231,15 @@ def receive_stock(stock: DataFrame, receipts: DataFrame, products: DataFrame | N
     return merged.join(odd_keys, KEY, "left_anti").unionByName(folded)
 
 
+def _merge_receipts(stock: DataFrame, receipts: DataFrame) -> DataFrame:
+    add = receipts.groupBy(*KEY).agg(F.sum("qty").cast("long").alias("_add"),
+                                     F.max("received_at").alias("_at"))
+    s = stock.select(*KEY, "qty_on_hand", "last_updated")
+    return s.join(add, KEY, "full_outer").select(
+        *KEY, (F.coalesce("qty_on_hand", F.lit(0)) + F.coalesce("_add", F.lit(0))).cast("long").alias("qty_on_hand"),
+        F.coalesce("_at", "last_updated").alias("last_updated"))
+
+
 def receipt_ledger(receipts: DataFrame, actor: str = "SYSTEM") -> DataFrame:
     """RECEIPT ledger rows of a receipt batch (one per receipt)."""
     return receipts.select(F.col("receipt_id").alias("log_id"), *KEY, F.lit("RECEIPT").alias("txn_type"),
