@@ -101,6 +101,9 @@ def alert_suggested_qty(alerts: DataFrame, log: DataFrame, products: DataFrame,
     cut never matters and earlier days enter as whole daily totals (an equi-join on (key, day)
     after exploding each alert into its lookback-1 previous days); the alert's own day uses a
     running sum over that day's rows, evaluated at the alert's position in the sequence.
+
+    ``alerts`` and ``log`` are each read more than once: pass materialised inputs (a table, or
+    ``session.cut_lineage``) when they come out of a long pipeline.
     """
     a = alerts.select("alert_id", *KEY, "raised_on", F.to_date("raised_on").alias("_day"))
     issues = (log.filter(F.col("txn_type") == "ISSUE")
