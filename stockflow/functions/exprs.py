@@ -21,10 +21,13 @@ def col(c) -> Column:
 
 
 def ts_lit(t: dt.datetime | str) -> Column:
-    """A TIMESTAMP_NTZ literal (zone-less, like the source's DATE/TIMESTAMP columns)."""
+    """A TIMESTAMP_NTZ literal (zone-less, like the source's DATE/TIMESTAMP columns).
+
+    Built from text, so neither the Python process zone nor the session zone can shift it.
+    """
     if isinstance(t, str):
         t = dt.datetime.fromisoformat(t)
-    return F.lit(t).cast("timestamp_ntz")
+    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def window_start(as_of: dt.datetime | str, days: int) -> dt.datetime:

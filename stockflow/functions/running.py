@@ -33,8 +33,15 @@ CHUNK = "_chunk"
 
 
 def time_chunk(ts_col: str, seconds: int = 3600) -> Column:
-    """Chunk id = the ``seconds``-wide bucket of a timestamp (contiguous in time order)."""
-    return F.floor(F.unix_micros(F.col(ts_col).cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("long")
+    """Chunk id = the ``seconds``-wide bucket of a zone-less timestamp (contiguous in time order).
+
+    Seconds since 1970-01-01 are computed from the wall-clock fields, so no session zone (and no
+    daylight-saving jump) can reorder the buckets.
+    """
+    t = F.col(ts_col)
+    secs = (F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("long") * 86400
+            + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t))
+    return F.floor(secs / F.lit(seconds)).cast("long")
 
 
 HOT_KEY_ROWS = 4_000_000   # rows per key above which a key is split into chunks

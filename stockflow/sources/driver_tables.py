@@ -12,6 +12,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockflow.functions.exprs import ts_lit
+
 # Fixed parameters of the mapping (FIXTURES.md §2).
 EVENTS_AS_OF = dt.datetime(2024, 1, 31, 12, 0, 0)      # as_of for the events ledger
 LINEITEM_AS_OF = dt.datetime(2001, 8, 1, 0, 0, 0)      # as_of for the lineitem ledger
@@ -85,7 +87,7 @@ def product_stock(spark, sf_dir) -> DataFrame:
     return rows.select(
         "product_id", "warehouse_id",
         ((F.col("product_id") * 7 + F.col("warehouse_id") * 13) % 60).cast("long").alias("qty_on_hand"),
-        F.lit(STOCK_SNAPSHOT_TIME).cast("timestamp_ntz").alias("last_updated"))
+        ts_lit(STOCK_SNAPSHOT_TIME).alias("last_updated"))
 
 
 def _event_units() -> F.Column:
@@ -149,7 +151,7 @@ def movement_opening(spark, sf_dir) -> DataFrame:
     keys = movements(spark, sf_dir).select("product_id", "warehouse_id").distinct()
     return keys.select("product_id", "warehouse_id",
                        F.lit(MOVEMENT_OPENING_QTY).cast("long").alias("qty_on_hand"),
-                       F.lit(STOCK_SNAPSHOT_TIME).cast("timestamp_ntz").alias("last_updated"))
+                       ts_lit(STOCK_SNAPSHOT_TIME).alias("last_updated"))
 
 
 def orders_after(spark, sf_dir) -> DataFrame:
