@@ -190,8 +190,9 @@ def movement_ledger(admitted: DataFrame, actor: str = "SYSTEM") -> DataFrame:
 
 
 def closing_stock(admitted: DataFrame, opening: DataFrame) -> DataFrame:
-    """Stock after the batch: the last known balance per key, else the opening row."""
-    last = (admitted.filter(F.col("qty_after").isNotNull())
+    """Stock after the batch: per key the balance and time of the last movement that wrote the
+    stock row (accepted, row present); keys without one keep their opening row."""
+    last = (admitted.filter(F.col("accepted") & F.col("qty_after").isNotNull())
             .groupBy(*KEY).agg(F.max_by(F.struct("qty_after", "request_time"),
                                         F.struct("request_time", "request_id")).alias("_l")))
     o = opening.select(*KEY, "qty_on_hand", "last_updated")

@@ -29,7 +29,7 @@ def dq_orphans(child: DataFrame, fk_cols: Sequence[str], parent: DataFrame,
     not_null = F.lit(True)
     for c in fk_cols:
         not_null = not_null & F.col(c).isNotNull()
-    p = parent.select(*[F.col(pk).alias(fk) for pk, fk in zip(pk_cols, fk_cols)]).distinct()
+    p = parent.select(*[F.col(pk).alias(fk) for pk, fk in zip(pk_cols, fk_cols)])
     return child.filter(not_null).join(p, list(fk_cols), "left_anti")
 
 

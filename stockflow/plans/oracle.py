@@ -230,6 +230,19 @@ LEFT JOIN lead_times lt ON lt.product_id = k.product_id"""
 SELECT request_id, request_time, product_id, warehouse_id, kind, qty, accepted, reject_reason, available,
        qty_after, stock_updated, message FROM admitted"""
     q["order_outputs"] = with_views(SIM_VIEWS, *sim) + "SELECT * FROM mledger WHERE txn_type = 'ISSUE'"
+    q["order_outputs_orders"] = with_views(SIM_VIEWS, *sim) + """
+SELECT request_id AS order_id, warehouse_id, request_time AS order_date, 'FULFILLED' AS status
+FROM admitted WHERE kind = 'ORDER' AND accepted"""
+    q["order_outputs_items"] = with_views(SIM_VIEWS, *sim) + """
+SELECT request_id AS order_item_id, request_id AS order_id, product_id, qty AS qty_ordered
+FROM admitted WHERE kind = 'ORDER' AND accepted"""
+    q["closing_stock"] = with_views(SIM_VIEWS, *sim) + """
+SELECT o.product_id, o.warehouse_id, COALESCE(l.qty_after, o.qty_on_hand) AS qty_on_hand,
+       COALESCE(l.request_time, o.last_updated) AS last_updated
+FROM opening o LEFT JOIN (
+  SELECT product_id, warehouse_id, arg_max(qty_after, rn) AS qty_after, arg_max(request_time, rn) AS request_time
+  FROM admitted WHERE accepted GROUP BY product_id, warehouse_id) l
+  ON l.product_id = o.product_id AND l.warehouse_id = o.warehouse_id"""
     q["ledger_append"] = with_views(SIM_VIEWS, *sim) + "SELECT *, CAST(txn_time AS DATE) AS txn_date FROM mledger"
     q["stock_position"] = with_views(SIM_VIEWS, *sim) + """
 SELECT l.log_id, l.product_id, l.warehouse_id, l.txn_type, l.qty_change, l.txn_time,

@@ -115,6 +115,18 @@ def q_order_outputs(spark, d):
     return mv.order_outputs(admitted(spark, d), ACTOR)["ledger"]
 
 
+def q_order_outputs_orders(spark, d):
+    return mv.order_outputs(admitted(spark, d), ACTOR)["orders"]
+
+
+def q_order_outputs_items(spark, d):
+    return mv.order_outputs(admitted(spark, d), ACTOR)["order_items"]
+
+
+def q_closing_stock(spark, d):
+    return mv.closing_stock(admitted(spark, d), dt_.movement_opening(spark, d))
+
+
 def _receipts(spark, d):
     lg = dt_.ledger_events(spark, d).filter(F.col("txn_type") == "RECEIPT")
     return lg.select(F.col("log_id").alias("receipt_id"), *KEY, F.col("qty_change").alias("qty"),
@@ -250,6 +262,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reorder_scan": q_reorder_scan,
     "order_admission": q_order_admission,
     "order_outputs": q_order_outputs,
+    "order_outputs_orders": q_order_outputs_orders,
+    "order_outputs_items": q_order_outputs_items,
+    "closing_stock": q_closing_stock,
     "receive_stock": q_receive_stock,
     "ledger_append": q_ledger_append,
     "cancel_restock": q_cancel_restock,

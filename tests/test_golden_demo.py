@@ -9,6 +9,7 @@ from stockflow.operators import alerts as al
 from stockflow.operators import forecast as fc
 from stockflow.operators import movements as mv
 from stockflow.operators import reports as rp
+from stockflow.session import cut_lineage
 from stockflow.sources import seed
 
 T0 = seed.DEMO_TIME
@@ -16,14 +17,15 @@ T0 = seed.DEMO_TIME
 
 def run_demo(spark, qty, reorder_min):
     t = seed.seed_tables(spark, reorder_min_1=reorder_min)
-    adm = mv.admit_movements(seed.demo_orders(spark, qty), t["product_stock"])
+    adm = cut_lineage(mv.admit_movements(seed.demo_orders(spark, qty), t["product_stock"]))
     ledger = mv.movement_ledger(adm)
     stock_after = mv.closing_stock(adm, t["product_stock"])
-    raised = al.alert_timeline(al.updates_from_admission(adm), t["products"])
+    raised = cut_lineage(al.alert_timeline(al.updates_from_admission(adm), t["products"]))
     trig = al.alert_suggested_qty(raised, ledger, t["products"], t["suppliers"]).collect()
     scan = fc.reorder_scan(stock_after, t["products"], t["suppliers"], ledger, T0).collect()
     # receipt of 100 units after the scan
-    adm2 = mv.admit_movements(seed.demo_receipt(spark), stock_after)
+    stock_after = cut_lineage(stock_after)
+    adm2 = cut_lineage(mv.admit_movements(seed.demo_receipt(spark), stock_after))
     upd2 = al.updates_from_admission(adm2)
     scan_alerts = fc.reorder_scan(stock_after, t["products"], t["suppliers"], ledger, T0) \
         .withColumn("resolved_flag", F.lit("N"))
