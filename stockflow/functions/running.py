@@ -50,9 +50,10 @@ HOT_KEY_CONF = "stockflow.hotKeyRows"   # session setting overriding HOT_KEY_ROW
 
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column,
                  values: dict[str, Column], mins: Sequence[str] = (),
-                 hot_rows: int | None = None) -> DataFrame:
+                 hot_rows: int | None = None, probe: DataFrame | None = None) -> DataFrame:
     """Inclusive running sums per key, skew-safe (see the module text); arguments as in
-    ``chunked_running_sums``. ``hot_rows`` (default ``HOT_KEY_ROWS``) separates cold from hot keys.
+    ``chunked_running_sums``. ``hot_rows`` (default ``HOT_KEY_ROWS``) separates cold from hot keys;
+    ``probe`` is an optional cheaper frame with (nearly) the same rows per key to count on.
     """
     keys = list(keys)
     if hot_rows is None:
@@ -66,8 +67,8 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk
             out = out.select("*", *[F.min(o).over(w).cast("long").alias(f"{o}_min") for o in mins])
         return out
 
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
-           .select(*keys))
+    hot = ((probe if probe is not None else df).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > hot_rows).select(*keys))
     # A tiny existence probe (one partial aggregate, one row to the driver) decides the plan shape:
     # without hot keys the plain per-key window is exact and cheapest.
     if not hot.take(1):

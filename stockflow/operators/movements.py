@@ -129,7 +129,7 @@ def admit_movements(requests: DataFrame, stock: DataFrame, chunk_seconds: int =
     chunk = F.when(F.col("_is_req") == 0, F.lit(MIN_CHUNK)).otherwise(time_chunk("request_time", chunk_seconds))
     walked = running_sums(seq, KEY, ORDER_COLS, chunk,
                           {"_bal": F.col("_delta"), "_has_open": (1 - F.col("_is_req")).cast("long")},
-                          mins=["_bal"])
+                          mins=["_bal"], probe=req.select(*KEY))
     rows = walked.filter(F.col("_is_req") == 1).withColumn("_before", F.col("_bal") - F.col("_delta"))
     # From the first row where the unconstrained walk dips below zero (or for a key without a
     # stock row) the outcome depends on earlier rejections: those rows go through the fold.
