@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,8 +10,9 @@ from stockflow.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    ckpt = tempfile.mkdtemp(prefix="stockflow-test-ckpt-")
-    s = local_session("*", 8, app="stockflow-tests", extra={"spark.checkpoint.dir": ckpt})
+    # the checkpoint folder comes from the session (spark.checkpoint.dir); local_session only
+    # creates a scratch one when none is configured
+    s = local_session("*", 8, app="stockflow-tests")
     yield s
     s.stop()
 
