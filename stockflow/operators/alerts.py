@@ -48,7 +48,7 @@ def _classified(updates: DataFrame, products: DataFrame, chunk_seconds: int) ->
     close = (F.col("qty_after") > F.col("qty_before")) & (F.col("qty_after") > F.col("reorder_min"))
     u = u.select("seq", *KEY, "txn_time", "qty_after", low.alias("_low"), close.alias("_close"))
     return running_sums(u, KEY, ["txn_time", "seq"], time_chunk("txn_time", chunk_seconds),
-                        {"_epoch": F.col("_close").cast("long")})
+                        {"_epoch": F.col("_close").cast("long")}, probe=updates.select(*KEY))
 
 
 def raise_low_stock_alerts(updates: DataFrame, products: DataFrame, open_alerts: DataFrame | None = None,
@@ -121,7 +121,7 @@ def alert_suggested_qty(alerts: DataFrame, log: DataFrame, products: DataFrame,
                 F.sum(F.col("_dq") * (F.lit(lookback) - F.col("_j"))).cast("long").alias("_ws_prev"),
                 F.sum(F.lit(lookback) - F.col("_j")).cast("long").alias("_wd_prev")))
     # Same day: pseudo-rows for the alerts sort before the log row of the same (time, id).
-    same_log = (issues.join(a.select(*KEY, "_day").distinct(), KEY + ["_day"], "left_semi")
+    same_log = (issues.join(a.select(*KEY, "_day"), KEY + ["_day"], "left_semi")
                 .select(F.lit(None).cast("long").alias("alert_id"), *KEY, "_day", "txn_time",
                         F.col("log_id").alias("_id"), F.lit(1).alias("_o"), "_q", F.lit(1).cast("long").alias("_n")))
     same_alert = a.select("alert_id", *KEY, "_day", F.col("raised_on").alias("txn_time"),
