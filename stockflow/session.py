@@ -23,6 +23,19 @@ BASE_CONF = {
 }
 
 
+# Suggested additions for a large cluster (about 100 TB of ledger): many shuffle partitions that
+# AQE coalesces at runtime, skew-join splitting, partition sizes that fit executor memory, and
+# removal of checkpoint files once their DataFrames are gone.
+CLUSTER_CONF = {
+    **BASE_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "stockflow", extra: dict | None = None) -> SparkSession:
     """A local session for tests and the bench (the cluster builds its own)."""

@@ -6,7 +6,8 @@ of the last ``lookback + 1`` days (for the forecast at alert time) - a few dozen
 key, whatever the stream length. Inside a micro-batch the rows of a key are applied in
 (request_time, request_id) order; across micro-batches in arrival order, as the source system
 does. The opening stock, the reorder point and the lead time come from static tables joined to
-the stream before the state operator.
+the stream before the state operator. A key's rows of one micro-batch are sorted together, so
+bound the micro-batch at the source (``maxFilesPerTrigger`` / ``maxRecordsPerTrigger``).
 
 Emitted rows (``event``): ADMISSION (one per movement, the C1 columns), RAISED (a new alert with
 its suggested quantity) and RESOLVED (an open alert closed by an increase).
