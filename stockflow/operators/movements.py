@@ -115,32 +115,33 @@ def admit_movements(requests: DataFrame, stock: DataFrame, chunk_seconds: int =
     NEGATIVE_STOCK), available (stock before), qty_after, stock_updated (an UPDATE of an existing
     stock row happened - what the alert rules react to) and the rejection message.
     """
-    req = requests.select("request_id", "request_time", *KEY, "kind", "qty")
     q = F.col("qty")
     invalid = (q.isNull() | ((F.col("kind") != "RECEIPT") & (q <= 0)))
-    delta = (F.when(F.col("_is_req") == 0, q)
-             .when(invalid, F.lit(0))
-             .when(F.col("kind") == "ORDER", -q).otherwise(q)).cast("long")
+    req = requests.select(
+        "request_id", "request_time", *KEY, "kind", "qty", F.lit(1).alias("_is_req"),
+        F.when(invalid, F.lit(0)).when(F.col("kind") == "ORDER", -q).otherwise(q).cast("long").alias("_delta"))
     opening = stock.select(*KEY, F.lit(None).cast("long").alias("request_id"),
                            F.lit(None).cast("timestamp_ntz").alias("request_time"),
                            F.lit("OPEN").alias("kind"), F.col("qty_on_hand").cast("long").alias("qty"),
-                           F.lit(0).alias("_is_req"))
-    seq = req.withColumn("_is_req", F.lit(1)).unionByName(opening).withColumn("_delta", delta)
+                           F.lit(0).alias("_is_req"), F.col("qty_on_hand").cast("long").alias("_delta"))
+    seq = req.unionByName(opening)
     chunk = F.when(F.col("_is_req") == 0, F.lit(MIN_CHUNK)).otherwise(time_chunk("request_time", chunk_seconds))
     walked = running_sums(seq, KEY, ORDER_COLS, chunk,
                           {"_bal": F.col("_delta"), "_has_open": (1 - F.col("_is_req")).cast("long")},
                           mins=["_bal"], probe=req.select(*KEY))
-    rows = walked.filter(F.col("_is_req") == 1).withColumn("_before", F.col("_bal") - F.col("_delta"))
+    rows = walked.filter(F.col("_is_req") == 1)
+    before = F.col("_bal") - F.col("_delta")
     # From the first row where the unconstrained walk dips below zero (or for a key without a
     # stock row) the outcome depends on earlier rejections: those rows go through the fold.
     in_fold = (F.col("_has_open") == 0) | (F.col("_bal_min") < 0)
 
+    # Rows before a key's first dip are exactly the unconstrained walk (never INSUFFICIENT).
     fast = rows.filter(~in_fold).select(
         "request_id", "request_time", *KEY, "kind", "qty",
         (~invalid).alias("accepted"),
         F.when(invalid, F.lit(INVALID_QTY)).alias("reject_reason"),
-        F.col("_before").alias("available"), F.col("_bal").alias("qty_after"),
-        (~invalid).alias("stock_updated"))
+        before.alias("available"), F.col("_bal").alias("qty_after"),
+        (~invalid).alias("stock_updated"), F.lit(None).cast("string").alias("message"))
 
     # The walk is exact up to the first folded row of a key, so that row's balance-before is the
     # fold's starting balance; the fold reads it when the key changes.
@@ -148,15 +149,14 @@ def admit_movements(requests: DataFrame, stock: DataFrame, chunk_seconds: int =
         "request_id", "request_time", *KEY, "kind",
         F.coalesce(q, F.lit(0)).cast("long").alias("qty_v"), q.isNull().alias("qty_null"),
         (F.col("_has_open") > 0).alias("start_exists"),
-        F.col("_before").cast("long").alias("start_balance"))
+        before.cast("long").alias("start_balance"))
     n = fold_partitions or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slow = (slow_in.repartition(n, *KEY)
             .sortWithinPartitions(*KEY, "request_time", "request_id")
             .mapInPandas(_fold, ADMITTED_SCHEMA))
-
-    out = fast.unionByName(slow)
-    return out.withColumn("message", F.when(F.col("reject_reason") == INSUFFICIENT_STOCK,
-                                            insufficient_message("available", "qty")))
+    slow = slow.select("*", F.when(F.col("reject_reason") == INSUFFICIENT_STOCK,
+                                   insufficient_message("available", "qty")).alias("message"))
+    return fast.unionByName(slow)
 
 
 def order_outputs(admitted: DataFrame, actor: str = "SYSTEM") -> dict[str, DataFrame]:
