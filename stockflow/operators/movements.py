@@ -150,8 +150,9 @@ def admit_movements(requests: DataFrame, stock: DataFrame, chunk_seconds: int =
         F.coalesce(q, F.lit(0)).cast("long").alias("qty_v"), q.isNull().alias("qty_null"),
         (F.col("_has_open") > 0).alias("start_exists"),
         before.cast("long").alias("start_balance"))
-    n = fold_partitions or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slow = (slow_in.repartition(n, *KEY)
+    # Without a fixed count AQE sizes the fold's partitions from the rows that actually dip.
+    parted = slow_in.repartition(fold_partitions, *KEY) if fold_partitions else slow_in.repartition(*KEY)
+    slow = (parted
             .sortWithinPartitions(*KEY, "request_time", "request_id")
             .mapInPandas(_fold, ADMITTED_SCHEMA))
     slow = slow.select("*", F.when(F.col("reject_reason") == INSUFFICIENT_STOCK,
