@@ -31,7 +31,7 @@ def ts_lit(t: dt.datetime | str) -> Column:
 
 
 def window_start(as_of: dt.datetime | str, days: int) -> dt.datetime:
-    """``as_of - days`` with time of day kept (Oracle ``SYSDATE - n``)."""
+    """``as_of - days`` with time of day kept (a date minus n days in the source SQL)."""
     if isinstance(as_of, str):
         as_of = dt.datetime.fromisoformat(as_of)
     return as_of - dt.timedelta(days=days)

@@ -1,6 +1,6 @@
 """Explicit schemas of the eight inventory tables (never inferred).
 
-Oracle DATE carries time of day, so every clock column is TIMESTAMP_NTZ; ids and quantities are
+The source DATE type carries time of day, so every clock column is TIMESTAMP_NTZ; ids and quantities are
 64-bit integers; Y/N flags stay strings so that NULL remains distinguishable.
 """
 
