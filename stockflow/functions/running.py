@@ -48,16 +48,34 @@ HOT_KEY_ROWS = 4_000_000   # rows per key above which a key is split into chunks
 HOT_KEY_CONF = "stockflow.hotKeyRows"   # session setting overriding HOT_KEY_ROWS
 
 
+PROBE = "probe"
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows in ``df``, or None when there is none.
+
+    One partial aggregate and a one-row probe reach the driver; the returned frame has at most
+    ``rows / hot_rows`` rows (a proven bound), so it may be broadcast.
+    """
+    if hot_rows is None:
+        hot_rows = int(df.sparkSession.conf.get(HOT_KEY_CONF, str(HOT_KEY_ROWS)))
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > hot_rows).select(*keys))
+    return hot if hot.take(1) else None
+
+
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column,
                  values: dict[str, Column], mins: Sequence[str] = (),
-                 hot_rows: int | None = None, probe: DataFrame | None = None) -> DataFrame:
+                 hot_rows: int | None = None, probe: DataFrame | None = None,
+                 hot: DataFrame | None | str = PROBE) -> DataFrame:
     """Inclusive running sums per key, skew-safe (see the module text); arguments as in
     ``chunked_running_sums``. ``hot_rows`` (default ``HOT_KEY_ROWS``) separates cold from hot keys;
     ``probe`` is an optional cheaper frame with (nearly) the same rows per key to count on.
+
+    ``hot`` may carry the hot keys already known to the caller (a frame over a subset of
+    ``keys``, or None for "no key is hot"), which skips the probe.
     """
     keys = list(keys)
-    if hot_rows is None:
-        hot_rows = int(df.sparkSession.conf.get(HOT_KEY_CONF, str(HOT_KEY_ROWS)))
     w = (Window.partitionBy(*keys).orderBy(*[F.col(c) for c in order])
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
@@ -67,15 +85,16 @@ def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk
             out = out.select("*", *[F.min(o).over(w).cast("long").alias(f"{o}_min") for o in mins])
         return out
 
-    hot = ((probe if probe is not None else df).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > hot_rows).select(*keys))
-    # A tiny existence probe (one partial aggregate, one row to the driver) decides the plan shape:
-    # without hot keys the plain per-key window is exact and cheapest.
-    if not hot.take(1):
+    if isinstance(hot, str):
+        # A tiny existence probe (one partial aggregate, one row to the driver) decides the plan
+        # shape: without hot keys the plain per-key window is exact and cheapest.
+        hot = hot_keys(probe.select(*keys) if probe is not None else df.select(*keys), keys, hot_rows)
+    if hot is None:
         return per_key_window(df)
+    on = list(hot.columns)
     hot = F.broadcast(hot)   # at most rows / hot_rows keys
-    cold = per_key_window(df.join(hot, keys, "left_anti"))
-    return cold.unionByName(chunked_running_sums(df.join(hot, keys, "left_semi"), keys, order, chunk,
+    cold = per_key_window(df.join(hot, on, "left_anti"))
+    return cold.unionByName(chunked_running_sums(df.join(hot, on, "left_semi"), keys, order, chunk,
                                                  values, mins))
 
 

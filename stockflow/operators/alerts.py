@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.functions.exprs import DEFAULT_LEAD_TIME_DAYS, DEFAULT_LOOKBACK_DAYS, suggested_qty
-from stockflow.functions.running import running_sums, time_chunk
+from stockflow.functions.running import PROBE, running_sums, time_chunk
 from stockflow.operators.forecast import product_lead_time
 
 KEY = ["product_id", "warehouse_id"]
@@ -41,25 +41,25 @@ def updates_from_positions(positions: DataFrame) -> DataFrame:
                             F.col("qty_on_hand").alias("qty_after"))
 
 
-def _classified(updates: DataFrame, products: DataFrame, chunk_seconds: int) -> DataFrame:
+def _classified(updates: DataFrame, products: DataFrame, chunk_seconds: int, hot=PROBE) -> DataFrame:
     p = products.select("product_id", "reorder_min")
     u = updates.join(p, "product_id", "inner")
     low = F.col("qty_after") <= F.col("reorder_min")
     close = (F.col("qty_after") > F.col("qty_before")) & (F.col("qty_after") > F.col("reorder_min"))
     u = u.select("seq", *KEY, "txn_time", "qty_after", low.alias("_low"), close.alias("_close"))
     return running_sums(u, KEY, ["txn_time", "seq"], time_chunk("txn_time", chunk_seconds),
-                        {"_epoch": F.col("_close").cast("long")}, probe=updates.select(*KEY))
+                        {"_epoch": F.col("_close").cast("long")}, probe=updates.select(*KEY), hot=hot)
 
 
 def raise_low_stock_alerts(updates: DataFrame, products: DataFrame, open_alerts: DataFrame | None = None,
-                           chunk_seconds: int = 3600) -> DataFrame:
+                           chunk_seconds: int = 3600, hot=PROBE) -> DataFrame:
     """D1 (+D2 inside the batch): alerts raised by a batch of stock updates.
 
     ``open_alerts`` are alerts already open before the batch (from either the trigger or the
     scan); they block raising for their pair until a close in the batch. Output: alert_id (the
     seq of the raising update), pair, qty_on_hand, raised_on and resolved_flag at batch end.
     """
-    c = _classified(updates, products, chunk_seconds)
+    c = _classified(updates, products, chunk_seconds, hot)
     firsts = (c.filter(F.col("_low")).groupBy(*KEY, "_epoch")
               .agg(F.min(F.struct("txn_time", "seq", "qty_after")).alias("_a")))
     closes = c.groupBy(*KEY).agg(F.sum(F.col("_close").cast("long")).alias("_n_close"))
@@ -73,9 +73,9 @@ def raise_low_stock_alerts(updates: DataFrame, products: DataFrame, open_alerts:
                       F.when(F.col("_epoch") < F.col("_n_close"), "Y").otherwise("N").alias("resolved_flag"))
 
 
-def alert_timeline(updates: DataFrame, products: DataFrame, chunk_seconds: int = 3600) -> DataFrame:
+def alert_timeline(updates: DataFrame, products: DataFrame, chunk_seconds: int = 3600, hot=PROBE) -> DataFrame:
     """D3: full raise/resolve history of a movement sequence with no alert open at its start."""
-    return raise_low_stock_alerts(updates, products, None, chunk_seconds)
+    return raise_low_stock_alerts(updates, products, None, chunk_seconds, hot)
 
 
 def resolve_alerts_on_receipt(alerts: DataFrame, updates: DataFrame, products: DataFrame) -> DataFrame:
@@ -91,7 +91,8 @@ def resolve_alerts_on_receipt(alerts: DataFrame, updates: DataFrame, products: D
 
 
 def alert_suggested_qty(alerts: DataFrame, log: DataFrame, products: DataFrame, suppliers: DataFrame,
-                        lookback: int = DEFAULT_LOOKBACK_DAYS, chunk_seconds: int = 3600) -> DataFrame:
+                        lookback: int = DEFAULT_LOOKBACK_DAYS, chunk_seconds: int = 3600,
+                        hot=PROBE) -> DataFrame:
     """Suggested quantity of each alert from the ledger visible when it was raised.
 
     Visible = ISSUE rows of the pair before the raising movement in (txn_time, log_id) order and
@@ -103,7 +104,8 @@ def alert_suggested_qty(alerts: DataFrame, log: DataFrame, products: DataFrame,
     running sum over that day's rows, evaluated at the alert's position in the sequence.
 
     ``alerts`` and ``log`` are each read more than once: pass materialised inputs (a table, or
-    ``session.cut_lineage``) when they come out of a long pipeline.
+    ``session.cut_lineage``) when they come out of a long pipeline. ``hot``: hot (product,
+    warehouse) keys if known; the same-day running sum then sends their days to the chunked path.
     """
     a = alerts.select("alert_id", *KEY, "raised_on", F.to_date("raised_on").alias("_day"))
     issues = (log.filter(F.col("txn_type") == "ISSUE")
@@ -128,7 +130,8 @@ def alert_suggested_qty(alerts: DataFrame, log: DataFrame, products: DataFrame,
                           F.col("alert_id").alias("_id"), F.lit(0).alias("_o"),
                           F.lit(0).cast("long").alias("_q"), F.lit(0).cast("long").alias("_n"))
     walked = running_sums(same_log.unionByName(same_alert), KEY + ["_day"], ["txn_time", "_id", "_o"],
-                          time_chunk("txn_time", chunk_seconds), {"_sq": F.col("_q"), "_sn": F.col("_n")})
+                          time_chunk("txn_time", chunk_seconds), {"_sq": F.col("_q"), "_sn": F.col("_n")},
+                          hot=hot)
     same = walked.filter(F.col("_o") == 0).select("alert_id", "_sq", "_sn")
     lead = product_lead_time(products, suppliers)
     j = (alerts.join(prev, "alert_id", "left").join(same, "alert_id", "left").join(lead, "product_id", "left"))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockflow.functions.exprs import insufficient_message, ts_lit
-from stockflow.functions.running import running_sums, time_chunk
+from stockflow.functions.running import PROBE, running_sums, time_chunk
 
 KEY = ["product_id", "warehouse_id"]
 ORDER_COLS = ["_is_req", "request_time", "request_id"]   # opening pseudo-row first, then arrival
@@ -107,13 +107,14 @@ def _fold(batches):
 
 
 def admit_movements(requests: DataFrame, stock: DataFrame, chunk_seconds: int = 3600,
-                    fold_partitions: int | None = None) -> DataFrame:
+                    fold_partitions: int | None = None, hot=PROBE) -> DataFrame:
     """Apply order requests (and interleaved receipts / restocks) in (request_time, request_id)
     order per (product, warehouse) against the opening ``stock``.
 
     Output per request: accepted, reject_reason (NO_STOCK_ROW, INSUFFICIENT_STOCK, INVALID_QTY,
     NEGATIVE_STOCK), available (stock before), qty_after, stock_updated (an UPDATE of an existing
     stock row happened - what the alert rules react to) and the rejection message.
+    ``hot``: hot (product, warehouse) keys if already known (see ``running.running_sums``).
     """
     q = F.col("qty")
     invalid = (q.isNull() | ((F.col("kind") != "RECEIPT") & (q <= 0)))
@@ -128,7 +129,7 @@ def admit_movements(requests: DataFrame, stock: DataFrame, chunk_seconds: int =
     chunk = F.when(F.col("_is_req") == 0, F.lit(MIN_CHUNK)).otherwise(time_chunk("request_time", chunk_seconds))
     walked = running_sums(seq, KEY, ORDER_COLS, chunk,
                           {"_bal": F.col("_delta"), "_has_open": (1 - F.col("_is_req")).cast("long")},
-                          mins=["_bal"], probe=req.select(*KEY))
+                          mins=["_bal"], probe=req.select(*KEY), hot=hot)
     rows = walked.filter(F.col("_is_req") == 1)
     before = F.col("_bal") - F.col("_delta")
     # From the first row where the unconstrained walk dips below zero (or for a key without a
@@ -306,7 +307,8 @@ def cancel_restock(orders_before: DataFrame, orders_after: DataFrame, items: Dat
     return {"stock": new_stock, "ledger": ledger}
 
 
-def stock_position(opening: DataFrame, ledger: DataFrame, chunk_seconds: int = 3600) -> DataFrame:
+def stock_position(opening: DataFrame, ledger: DataFrame, chunk_seconds: int = 3600,
+                   hot=PROBE) -> DataFrame:
     """On-hand quantity per key after every ledger movement, in (txn_time, log_id) order.
 
     ``qty_on_hand = opening + running sum(qty_change)``; the opening row is the first element of
@@ -319,5 +321,5 @@ def stock_position(opening: DataFrame, ledger: DataFrame, chunk_seconds: int = 3
                         F.lit(None).cast("timestamp_ntz").alias("txn_time"), F.lit(0).alias("_is_req"))
     chunk = F.when(F.col("_is_req") == 0, F.lit(MIN_CHUNK)).otherwise(time_chunk("txn_time", chunk_seconds))
     walked = running_sums(lg.unionByName(op), KEY, ["_is_req", "txn_time", "log_id"], chunk,
-                          {"qty_on_hand": F.col("qty_change")})
+                          {"qty_on_hand": F.col("qty_change")}, probe=ledger.select(*KEY), hot=hot)
     return walked.filter(F.col("_is_req") == 1).drop("_is_req")

@@ -17,6 +17,7 @@ from stockflow.operators import movements as mv
 from stockflow.operators import quality as dq
 from stockflow.operators import reports as rp
 from stockflow.sources import driver_tables as dt_
+from stockflow.functions.running import PROBE, hot_keys
 from stockflow.session import cut_lineage
 from stockflow.sources.driver_tables import ACTOR, EVENTS_AS_OF, LINEITEM_AS_OF
 
@@ -29,13 +30,19 @@ def _dims(spark, d):
     return dt_.products(spark, d), dt_.suppliers(spark, d), dt_.warehouses(spark, d)
 
 
-def admitted(spark, d) -> DataFrame:
+def movement_hot_keys(spark, d):
+    """Hot (product, warehouse) keys of the movement batch, probed once per pipeline: every later
+    per-key sequence (updates, ledger, alerts) has at most twice a key's movement rows."""
+    return hot_keys(dt_.movements(spark, d).select(*KEY), KEY)
+
+
+def admitted(spark, d, hot=PROBE) -> DataFrame:
     """C1 over the events movements with the movement opening stock.
 
     The admitted batch feeds several consumers (ledger, positions, alerts, forecasts); it is
     materialised once in the shared checkpoint folder so none of them re-runs the fold.
     """
-    return cut_lineage(mv.admit_movements(dt_.movements(spark, d), dt_.movement_opening(spark, d)))
+    return cut_lineage(mv.admit_movements(dt_.movements(spark, d), dt_.movement_opening(spark, d), hot=hot))
 
 
 def movement_log(spark, d) -> DataFrame:
@@ -51,9 +58,10 @@ def scan_alerts(spark, d) -> DataFrame:
 
 def timeline(spark, d) -> DataFrame:
     p, s, _ = _dims(spark, d)
-    adm = admitted(spark, d)
-    raised = cut_lineage(al.alert_timeline(al.updates_from_admission(adm), p))
-    return al.alert_suggested_qty(raised, mv.movement_ledger(adm, ACTOR), p, s)
+    hot = movement_hot_keys(spark, d)
+    adm = admitted(spark, d, hot)
+    raised = cut_lineage(al.alert_timeline(al.updates_from_admission(adm), p, hot=hot))
+    return al.alert_suggested_qty(raised, mv.movement_ledger(adm, ACTOR), p, s, hot=hot)
 
 
 # -- A: reports -----------------------------------------------------------------------------
@@ -156,16 +164,20 @@ def q_cancel_restock_ledger(spark, d):
 
 
 def q_stock_position(spark, d):
-    return mv.stock_position(dt_.movement_opening(spark, d), movement_log(spark, d))
+    hot = movement_hot_keys(spark, d)
+    log = mv.movement_ledger(admitted(spark, d, hot), ACTOR)
+    return mv.stock_position(dt_.movement_opening(spark, d), log, hot=hot)
 
 
 # -- D: alerts ------------------------------------------------------------------------------
 
 def q_raise_low_stock_alerts(spark, d):
     p, s, _ = _dims(spark, d)
-    adm = admitted(spark, d)
-    raised = cut_lineage(al.raise_low_stock_alerts(al.updates_from_admission(adm), p, scan_alerts(spark, d)))
-    return al.alert_suggested_qty(raised, mv.movement_ledger(adm, ACTOR), p, s)
+    hot = movement_hot_keys(spark, d)
+    adm = admitted(spark, d, hot)
+    raised = cut_lineage(al.raise_low_stock_alerts(al.updates_from_admission(adm), p, scan_alerts(spark, d),
+                                                   hot=hot))
+    return al.alert_suggested_qty(raised, mv.movement_ledger(adm, ACTOR), p, s, hot=hot)
 
 
 def q_resolve_alerts_on_receipt(spark, d):
@@ -175,7 +187,8 @@ def q_resolve_alerts_on_receipt(spark, d):
 
 def q_alert_timeline(spark, d):
     p = dt_.products(spark, d)
-    return al.alert_timeline(al.updates_from_admission(admitted(spark, d)), p)
+    hot = movement_hot_keys(spark, d)
+    return al.alert_timeline(al.updates_from_admission(admitted(spark, d, hot)), p, hot=hot)
 
 
 def q_alert_suggested_qty(spark, d):
