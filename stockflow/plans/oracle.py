@@ -345,6 +345,12 @@ FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1"""
             parts.append(f"SELECT '{t}' AS table_name, {key} AS row_key, '{c}' AS column_name "
                          f"FROM {tname.get(t, t)} c WHERE c.{c} IS NULL")
     q["dq_missing_required"] = with_views(all_views) + "\nUNION ALL\n".join(parts)
+    q["dq_negative_positions"] = with_views(["movements", "opening", "ledger_e"]) + """
+SELECT 'product_stock.qty_on_hand_nonneg' AS rule_name, CAST(log_id AS VARCHAR) AS row_key FROM (
+  SELECT l.log_id, o.qty_on_hand + SUM(l.qty_change) OVER (PARTITION BY l.product_id, l.warehouse_id
+         ORDER BY l.txn_time, l.log_id ROWS UNBOUNDED PRECEDING) AS q
+  FROM ledger_e l JOIN opening o ON o.product_id = l.product_id AND o.warehouse_id = l.warehouse_id) x
+WHERE NOT COALESCE(q >= 0, TRUE)"""
     q["apply_defaults"] = with_views(["products"]) + """
 SELECT product_id, sku, product_name, unit_price, supplier_id, CAST(10 AS BIGINT) AS reorder_min, 'Y' AS active_flag
 FROM products"""

@@ -240,6 +240,13 @@ def q_dq_check_violations(spark, d):
     return out
 
 
+def q_dq_negative_positions(spark, d):
+    """E3 on derived data: positions of the raw events ledger applied to the opening stock
+    without admission - the rows where the stock CHECK (qty_on_hand >= 0) would have failed."""
+    pos = mv.stock_position(dt_.movement_opening(spark, d), dt_.ledger_events(spark, d))
+    return dq.dq_check_violations(pos, "product_stock.qty_on_hand_nonneg", "qty_on_hand >= 0", ["log_id"])
+
+
 def q_dq_missing_required(spark, d):
     t = _tables(spark, d)
     parts = [dq.dq_missing_required(t[name], dq.required_columns(name), _TABLE_KEYS[name], name)
@@ -290,6 +297,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_duplicate_keys": q_dq_duplicate_keys,
     "dq_orphans": q_dq_orphans,
     "dq_check_violations": q_dq_check_violations,
+    "dq_negative_positions": q_dq_negative_positions,
     "dq_missing_required": q_dq_missing_required,
     "apply_defaults": q_apply_defaults,
     "stream_daily_issue": q_stream_daily_issue,
