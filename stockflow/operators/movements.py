@@ -54,15 +54,16 @@ def _fold(batches):
     for pdf in batches:
         n = len(pdf)
         acc, why, avail, after, upd = [None] * n, [None] * n, [None] * n, [None] * n, [None] * n
-        pid, wid = pdf["product_id"].to_numpy(), pdf["warehouse_id"].to_numpy()
-        kind, qty = pdf["kind"].to_numpy(), pdf["qty_v"].to_numpy()
-        qnull = pdf["qty_null"].to_numpy()
-        s_ex, s_bal = pdf["start_exists"].to_numpy(), pdf["start_balance"].to_numpy()
+        # plain Python lists: per-row access is several times faster than numpy scalars
+        pid, wid = pdf["product_id"].tolist(), pdf["warehouse_id"].tolist()
+        kind, qty = pdf["kind"].tolist(), pdf["qty_v"].tolist()
+        qnull = pdf["qty_null"].tolist()
+        s_ex, s_bal = pdf["start_exists"].tolist(), pdf["start_balance"].tolist()
         for i in range(n):
             key = (pid[i], wid[i])
             if key != cur:
                 cur, exists, bal = key, bool(s_ex[i]), int(s_bal[i])
-            k, q = kind[i], int(qty[i])
+            k, q = kind[i], qty[i]
             before = bal if exists else None
             ok, reason, updated = True, None, False
             if k == "ORDER":
@@ -100,7 +101,7 @@ def _fold(batches):
             "request_id": pdf["request_id"], "request_time": pdf["request_time"],
             "product_id": pdf["product_id"], "warehouse_id": pdf["warehouse_id"],
             "kind": pdf["kind"],
-            "qty": pd.array([None if nn else int(v) for v, nn in zip(qty, qnull)], dtype="Int64"),
+            "qty": pd.array([None if nn else v for v, nn in zip(qty, qnull)], dtype="Int64"),
             "accepted": acc, "reject_reason": why,
             "available": pd.array(avail, dtype="Int64"), "qty_after": pd.array(after, dtype="Int64"),
             "stock_updated": upd})
