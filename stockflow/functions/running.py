@@ -54,14 +54,17 @@ PROBE = "probe"
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
     """Keys with more than ``hot_rows`` rows in ``df``, or None when there is none.
 
-    One partial aggregate and a one-row probe reach the driver; the returned frame has at most
+    One partial aggregate and its maximum reach the driver; the returned frame has at most
     ``rows / hot_rows`` rows (a proven bound), so it may be broadcast.
     """
     if hot_rows is None:
         hot_rows = int(df.sparkSession.conf.get(HOT_KEY_CONF, str(HOT_KEY_ROWS)))
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > hot_rows).select(*keys))
-    return hot if hot.take(1) else None
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # one job, one number to the driver (take(1) on an empty result would scan in rounds)
+    biggest = counts.agg(F.max("_n").alias("m")).collect()[0].m
+    if biggest is None or biggest <= hot_rows:
+        return None
+    return counts.filter(F.col("_n") > hot_rows).select(*keys)
 
 
 def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column,

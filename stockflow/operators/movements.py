@@ -221,7 +221,8 @@ def receive_stock(stock: DataFrame, receipts: DataFrame, products: DataFrame | N
     if warehouses is not None:
         r = r.join(warehouses.select("warehouse_id"), "warehouse_id", "left_semi")
     odd_keys = r.filter(F.col("qty").isNull() | (F.col("qty") < 0)).select(*KEY).distinct()
-    if not odd_keys.take(1):   # the usual case: every receipt is a plain addition
+    if r.agg(F.count(F.when(F.col("qty").isNull() | (F.col("qty") < 0), 1)).alias("n")).collect()[0].n == 0:
+        # the usual case: every receipt is a plain addition (checked with one global count)
         return _merge_receipts(stock, r)
     simple = r.join(odd_keys, KEY, "left_anti")
     s = stock.select(*KEY, "qty_on_hand", "last_updated")
