@@ -79,3 +79,17 @@ def test_demo_min_25(spark):
     assert r["final"][(1, 1)] == 120
     assert [a.resolved_flag for a in r["resolved_scan"]] == ["Y"]
     assert [a.resolved_flag for a in r["resolved_trig"]] == ["Y"]
+
+
+def test_report_views_with_sql(spark):
+    """The demo's closing queries, as SQL over the registered report views."""
+    from stockflow.plans.views import register_report_views
+    t = seed.seed_tables(spark)
+    adm = cut_lineage(mv.admit_movements(seed.demo_orders(spark, 8), t["product_stock"]))
+    tables = dict(t, product_stock=mv.closing_stock(adm, t["product_stock"]), stock_txn_log=mv.movement_ledger(adm))
+    names = register_report_views(spark, tables, T0, prefix="demo_")
+    assert set(names) == {"demo_stock_health", "demo_monthly_consumption", "demo_top_moving_products"}
+    health = spark.sql("SELECT sku, qty_on_hand, stock_status FROM demo_stock_health ORDER BY sku").collect()
+    assert [tuple(r) for r in health] == [("SKU-1001", 20, "HEALTHY"), ("SKU-1002", 60, "HEALTHY")]
+    mc = spark.sql("SELECT * FROM demo_monthly_consumption ORDER BY sku, txn_month").collect()
+    assert [(r.sku, r.txn_month, r.units_issued) for r in mc] == [("SKU-1001", "2024-03", 80)]
