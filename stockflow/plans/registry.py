@@ -36,13 +36,15 @@ def movement_hot_keys(spark, d):
     return hot_keys(dt_.movements(spark, d).select(*KEY), KEY)
 
 
-def admitted(spark, d, hot=PROBE) -> DataFrame:
+def admitted(spark, d, hot=PROBE, shared: bool = False) -> DataFrame:
     """C1 over the events movements with the movement opening stock.
 
-    The admitted batch feeds several consumers (ledger, positions, alerts, forecasts); it is
-    materialised once in the shared checkpoint folder so none of them re-runs the fold.
+    ``shared``: the batch feeds several consumers (alert epochs, ledger, forecasts), so it is
+    materialised once in the shared checkpoint folder and none of them re-runs the fold. A single
+    consumer reads the plan directly.
     """
-    return cut_lineage(mv.admit_movements(dt_.movements(spark, d), dt_.movement_opening(spark, d), hot=hot))
+    adm = mv.admit_movements(dt_.movements(spark, d), dt_.movement_opening(spark, d), hot=hot)
+    return cut_lineage(adm) if shared else adm
 
 
 def movement_log(spark, d) -> DataFrame:
@@ -59,7 +61,7 @@ def scan_alerts(spark, d) -> DataFrame:
 def timeline(spark, d) -> DataFrame:
     p, s, _ = _dims(spark, d)
     hot = movement_hot_keys(spark, d)
-    adm = admitted(spark, d, hot)
+    adm = admitted(spark, d, hot, shared=True)
     raised = cut_lineage(al.alert_timeline(al.updates_from_admission(adm), p, hot=hot))
     return al.alert_suggested_qty(raised, mv.movement_ledger(adm, ACTOR), p, s, hot=hot)
 
@@ -174,7 +176,7 @@ def q_stock_position(spark, d):
 def q_raise_low_stock_alerts(spark, d):
     p, s, _ = _dims(spark, d)
     hot = movement_hot_keys(spark, d)
-    adm = admitted(spark, d, hot)
+    adm = admitted(spark, d, hot, shared=True)
     raised = cut_lineage(al.raise_low_stock_alerts(al.updates_from_admission(adm), p, scan_alerts(spark, d),
                                                    hot=hot))
     return al.alert_suggested_qty(raised, mv.movement_ledger(adm, ACTOR), p, s, hot=hot)
@@ -188,7 +190,7 @@ def q_resolve_alerts_on_receipt(spark, d):
 def q_alert_timeline(spark, d):
     p = dt_.products(spark, d)
     hot = movement_hot_keys(spark, d)
-    return al.alert_timeline(al.updates_from_admission(admitted(spark, d, hot)), p, hot=hot)
+    return al.alert_timeline(al.updates_from_admission(admitted(spark, d, hot, shared=True)), p, hot=hot)
 
 
 def q_alert_suggested_qty(spark, d):
