@@ -35,12 +35,19 @@ def test_partial_aggregation_before_shuffle(spark):
 
 
 @pytest.mark.parametrize("name", ["stock_health", "monthly_consumption", "reorder_scan", "forecast_reorder_qty",
-                                  "cancel_restock", "dq_duplicate_keys", "alert_timeline", "stock_position"])
+                                  "cancel_restock", "dq_duplicate_keys", "alert_timeline"])
 def test_no_python_in_batch_plans(spark, name):
     p, _ = plan(spark, name)
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "MapInPandas" not in p
 
 
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_python_only_as_the_admission_fold(spark, name):
+    p, _ = plan(spark, name)
+    assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+    assert p.count("MapInPandas _fold") == p.count("MapInPandas") <= 1
+
+
 def test_admission_python_only_in_fold(spark):
     from stockflow.operators import movements as mv
     from stockflow.sources import driver_tables as D
