@@ -1,8 +1,6 @@
 """Golden values of the source module's demo (seed rows, ten orders, scan, receipt), SURVEY §5."""
 
-import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 from stockflow.operators import alerts as al
