@@ -55,7 +55,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Only when nothing is configured (a local test run) do we create a scratch folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:   # Spark Connect: the server applies its own spark.checkpoint.dir
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if current:
         return current
