@@ -53,7 +53,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, taking the cluster's ``spark.checkpoint.dir`` when set.
 
-    Only when nothing is configured (a local test run) do we create a scratch folder.
+    Only a session on a ``local`` master gets a scratch folder when nothing is configured; any
+    other master must name a shared one.
     """
     try:
         sc = spark.sparkContext
@@ -65,6 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="stockflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return configured
