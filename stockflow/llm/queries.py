@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm import mixing, packing, quality, secret_scan, simhash
+from stockflow.llm import int8_join, mixing, one_bit, packing, quality, secret_scan, simhash
 from stockflow.llm.common import read, small_batches
 
 
@@ -19,10 +19,18 @@ def op1_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.score_quality(read(spark, d, "documents"), read(spark, d, "labels"))
 
 
+def op3_nearest(spark: SparkSession, d: str) -> DataFrame:
+    return one_bit.nearest(read(spark, d, "embeddings"), every=50, k=5)
+
+
 def op5_secrets(spark: SparkSession, d: str) -> DataFrame:
     return secret_scan.scan_secrets(read(spark, d, "documents"))
 
 
+def op7_near_vectors(spark: SparkSession, d: str) -> DataFrame:
+    return int8_join.near_vectors(read(spark, d, "embeddings"), threshold=0.9)
+
+
 def op8_simhash(spark: SparkSession, d: str) -> DataFrame:
     return simhash.simhash_groups(read(spark, d, "documents"), shingle=4, radius=4)
 
@@ -44,7 +52,7 @@ def _bound(f: Callable) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-QUERIES = {f.__name__: _bound(f) for f in (op1_quality, op5_secrets, op8_simhash, op9_mixing, op10_packing)}
+QUERIES = {f.__name__: _bound(f) for f in (op1_quality, op3_nearest, op5_secrets, op7_near_vectors, op8_simhash, op9_mixing, op10_packing)}
 
 #: Places come from a running sum over all rows of a source, targets from the caps in the order
 #: in which sources fill.
