@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm import int8_join, mixing, one_bit, packing, quality, secret_scan, simhash
+from stockflow.llm import int8_join, mixing, one_bit, packing, quality, secret_scan, simhash, toxicity
 from stockflow.llm.common import read, small_batches
 
 
@@ -23,6 +23,10 @@ def op3_nearest(spark: SparkSession, d: str) -> DataFrame:
     return one_bit.nearest(read(spark, d, "embeddings"), every=50, k=5)
 
 
+def op4_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.score_toxicity(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
 def op5_secrets(spark: SparkSession, d: str) -> DataFrame:
     return secret_scan.scan_secrets(read(spark, d, "documents"))
 
@@ -52,7 +56,7 @@ def _bound(f: Callable) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-QUERIES = {f.__name__: _bound(f) for f in (op1_quality, op3_nearest, op5_secrets, op7_near_vectors, op8_simhash, op9_mixing, op10_packing)}
+QUERIES = {f.__name__: _bound(f) for f in (op1_quality, op3_nearest, op4_toxicity, op5_secrets, op7_near_vectors, op8_simhash, op9_mixing, op10_packing)}
 
 #: Places come from a running sum over all rows of a source, targets from the caps in the order
 #: in which sources fill.
