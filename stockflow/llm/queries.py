@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm import int8_join, mixing, one_bit, packing, quality, secret_scan, simhash, toxicity
+from stockflow.llm import int8_join, mixing, one_bit, packing, ppm, quality, secret_scan, simhash, toxicity
 from stockflow.llm.common import read, small_batches
 
 
@@ -31,6 +31,10 @@ def op5_secrets(spark: SparkSession, d: str) -> DataFrame:
     return secret_scan.scan_secrets(read(spark, d, "documents"))
 
 
+def op6_ppm(spark: SparkSession, d: str) -> DataFrame:
+    return ppm.score_texts(read(spark, d, "documents"))
+
+
 def op7_near_vectors(spark: SparkSession, d: str) -> DataFrame:
     return int8_join.near_vectors(read(spark, d, "embeddings"), threshold=0.9)
 
@@ -56,7 +60,7 @@ def _bound(f: Callable) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-QUERIES = {f.__name__: _bound(f) for f in (op1_quality, op3_nearest, op4_toxicity, op5_secrets, op7_near_vectors, op8_simhash, op9_mixing, op10_packing)}
+QUERIES = {f.__name__: _bound(f) for f in (op1_quality, op3_nearest, op4_toxicity, op5_secrets, op6_ppm, op7_near_vectors, op8_simhash, op9_mixing, op10_packing)}
 
 #: Places come from a running sum over all rows of a source, targets from the caps in the order
 #: in which sources fill.
