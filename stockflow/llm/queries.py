@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm import int8_join, mixing, one_bit, packing, ppm, quality, secret_scan, simhash, toxicity
+from stockflow.llm import int8_join, mixing, one_bit, packing, ppm, quality, secret_scan, simhash, suffix_dedup, toxicity
 from stockflow.llm.common import read, small_batches
 
 
@@ -19,6 +19,10 @@ def op1_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.score_quality(read(spark, d, "documents"), read(spark, d, "labels"))
 
 
+def op2_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, d, "documents")).drop("kept")
+
+
 def op3_nearest(spark: SparkSession, d: str) -> DataFrame:
     return one_bit.nearest(read(spark, d, "embeddings"), every=50, k=5)
 
@@ -60,7 +64,7 @@ def _bound(f: Callable) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-QUERIES = {f.__name__: _bound(f) for f in (op1_quality, op3_nearest, op4_toxicity, op5_secrets, op6_ppm, op7_near_vectors, op8_simhash, op9_mixing, op10_packing)}
+QUERIES = {f.__name__: _bound(f) for f in (op1_quality, op2_suffix_dedup, op3_nearest, op4_toxicity, op5_secrets, op6_ppm, op7_near_vectors, op8_simhash, op9_mixing, op10_packing)}
 
 #: Places come from a running sum over all rows of a source, targets from the caps in the order
 #: in which sources fill.
