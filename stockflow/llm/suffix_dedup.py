@@ -285,12 +285,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bytes).
 
     Null and empty texts, and texts below ``length`` bytes, lose nothing. Null ids come after all
-    others, as one document. Rows that share an id are one document laid over each other: of their
+    others, as one document (the largest long counts as null). Rows that share an id are one document laid over each other: of their
     strings the start alone decides, so exact repeats of a row neither remove one another nor
     differ in result, and any of them removes from others. Other columns are ignored; an empty
     table gives no rows.
     """
-    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"), F.col(text_col).alias("text"))
+    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"),
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     bitmap = _repeated_bitmap(base, "text", length)
     places = cut_lineage(_places(base, "text", bitmap, length))
     kinds = places.groupBy("h", "seg").agg(
@@ -327,8 +328,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .select("doc", "a", F.col("a").alias("b")))
     removed = (marks.unionByName(later).groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("marks"))
                .withColumnRenamed("doc", "_doc"))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.join(removed, F.coalesce("doc_id", F.lit(LAST_ID)) == F.col("_doc"), "left").drop("_doc")
+    # the same two columns by the same key as above: one exchange of the texts serves both joins
+    rows = base.join(removed, F.col("doc") == F.col("_doc"), "left").select("doc", "text", "marks")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 500):
@@ -345,12 +346,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 out.append((len(t), len(t) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept))
             cols = list(zip(*out))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), *[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3]), pa.array(cols[4], pa.binary())],
+                [_given_ids(b.column(0)), *[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3]), pa.array(cols[4], pa.binary())],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     return rows.mapInArrow(apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
+def _given_ids(column: pa.Array) -> pa.Array:
+    """Ids as given: the last of all stands for null."""
+    ids = column.to_numpy()
+    return pa.array(ids, mask=ids == LAST_ID)
+
+
 def _lists(column: pa.ListArray) -> Iterator[np.ndarray]:
     """Each row's pairs as an array; null is none."""
     for i in range(len(column)):
