@@ -30,7 +30,7 @@ V = {
   FROM part, region)""",
     "ledger_e": """ledger_e AS (
   SELECT CAST(event_id AS BIGINT) AS log_id, CAST(user_id AS BIGINT) AS product_id,
-         CAST(event_id % 2 AS BIGINT) AS warehouse_id,
+         CAST(event_id % 5 AS BIGINT) AS warehouse_id,
          CASE WHEN event_type IN ('purchase', 'view', 'click') THEN 'ISSUE'
               WHEN event_type = 'signup' THEN 'RECEIPT' WHEN event_type = 'error' THEN 'ADJUSTMENT' END AS txn_type,
          CAST(CASE WHEN event_type IN ('purchase', 'view', 'click') THEN -u
@@ -46,7 +46,7 @@ V = {
   FROM lineitem)""",
     "movements": """movements AS (
   SELECT CAST(event_id AS BIGINT) AS request_id, ts AS request_time, CAST(user_id AS BIGINT) AS product_id,
-         CAST(event_id % 2 AS BIGINT) AS warehouse_id,
+         CAST(event_id % 5 AS BIGINT) AS warehouse_id,
          CASE WHEN event_type IN ('purchase', 'view', 'click') THEN 'ORDER'
               WHEN event_type = 'signup' THEN 'RECEIPT' WHEN event_type = 'error' THEN 'RESTOCK' END AS kind,
          CAST(CASE WHEN event_type = 'signup' THEN 2 * u ELSE u END AS BIGINT) AS qty

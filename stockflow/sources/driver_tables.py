@@ -105,7 +105,7 @@ def ledger_events(spark, sf_dir) -> DataFrame:
     return e.select(
         F.col("event_id").cast("long").alias("log_id"),
         F.col("user_id").cast("long").alias("product_id"),
-        (F.col("event_id") % 2).cast("long").alias("warehouse_id"),
+        (F.col("event_id") % 5).cast("long").alias("warehouse_id"),
         txn_type.alias("txn_type"), qty.cast("long").alias("qty_change"),
         F.col("ts").cast("timestamp_ntz").alias("txn_time"),
         F.lit(ACTOR).alias("performed_by"))
@@ -142,7 +142,7 @@ def movements(spark, sf_dir) -> DataFrame:
         F.col("event_id").cast("long").alias("request_id"),
         F.col("ts").cast("timestamp_ntz").alias("request_time"),
         F.col("user_id").cast("long").alias("product_id"),
-        (F.col("event_id") % 2).cast("long").alias("warehouse_id"),
+        (F.col("event_id") % 5).cast("long").alias("warehouse_id"),
         kind.alias("kind"), qty.cast("long").alias("qty"))
 
 

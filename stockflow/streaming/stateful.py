@@ -18,7 +18,6 @@ from __future__ import annotations
 import datetime as dt
 import json
 import math
-import uuid
 from fractions import Fraction
 
 import pandas as pd
@@ -125,8 +124,7 @@ def _make_processor(lookback: int):
             if ok and r.kind == "ORDER":
                 d = t.date().toordinal()
                 days[d] = days.get(d, 0) + q
-                for old in [k for k in days if k < d - lookback - 1]:
-                    del days[old]
+                # no day is evicted: a future-dated row must not erase history that a later alert sees
         state.update((ex, bal, is_open, json.dumps(open_ids), json.dumps({str(k): v for k, v in days.items()})))
         if out:
             yield pd.DataFrame(out, columns=[f.name for f in EVENT_SCHEMA.fields])
@@ -158,5 +156,7 @@ def stream_alerts(events: DataFrame) -> DataFrame:
 
 
 def stream_checkpoint(spark, name: str) -> str:
-    """A fresh checkpoint location for a streaming query under the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:8]}"
+    """The checkpoint location of a named streaming query in the shared checkpoint folder.
+
+    It depends on the name alone, so a restarted query goes on from its offsets and state."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"

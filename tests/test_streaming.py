@@ -2,6 +2,7 @@
 
 import os
 import time
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +19,14 @@ from stockflow.streaming import stateful as ss
 SF = "/root/testdata/sf0.001"
 
 
+@pytest.fixture(params=["UTC", "America/Los_Angeles"])
+def zone(spark, request):
+    """Results must not depend on the session's zone."""
+    spark.conf.set("spark.sql.session.timeZone", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def write_daily_files(df, path, time_col):
     """Split a small batch into one parquet file per day, oldest first (file mtime order)."""
     pdf = df.toPandas()
@@ -34,7 +43,7 @@ def write_daily_files(df, path, time_col):
 
 def run_stream(spark, df, name, mode="append"):
     q = (df.writeStream.outputMode(mode).format("memory").queryName(name)
-         .option("checkpointLocation", ss.stream_checkpoint(spark, name))
+         .option("checkpointLocation", ss.stream_checkpoint(spark, f"{name}-{uuid.uuid4().hex}"))
          .trigger(availableNow=True).start())
     q.awaitTermination(600)
     out = spark.table(name)
@@ -73,7 +82,7 @@ def test_stream_admission_and_alerts_equal_batch(spark, movement_dir):
         assert (k in resolved) == (b.resolved_flag == "Y")
 
 
-def test_stream_daily_issue_closed_days(spark, tmp_path):
+def test_stream_daily_issue_closed_days(spark, tmp_path, zone):
     path = str(tmp_path / "ledger")
     write_daily_files(D.ledger_events(spark, SF), path, "txn_time")
     stream = spark.readStream.schema(schemas.STOCK_TXN_LOG).option("maxFilesPerTrigger", 1).parquet(path)
@@ -88,7 +97,7 @@ def test_stream_daily_issue_closed_days(spark, tmp_path):
     assert closed <= set(got)          # every day the watermark has passed was emitted, exactly
 
 
-def test_stream_monthly_consumption(spark, tmp_path):
+def test_stream_monthly_consumption(spark, tmp_path, zone):
     path = str(tmp_path / "ledger")
     led = D.ledger_lineitem(spark, SF).filter(F.col("txn_time") < "1995-06-01")
     write_daily_files(led, path, "txn_time")
@@ -114,3 +123,7 @@ def test_idempotent_sink(spark, movement_dir, tmp_path):
     again = first.filter(F.col("batch_id") == batches[0]).drop("batch_id")
     write_batch(again, batches[0], out)
     assert spark.read.parquet(out).count() == n
+
+
+def test_checkpoint_location_is_stable(spark):
+    assert ss.stream_checkpoint(spark, "q") == ss.stream_checkpoint(spark, "q") != ss.stream_checkpoint(spark, "r")
