@@ -8,9 +8,15 @@ next shorter one, in which all symbols of the longer one are excluded. Because e
 after a context is also seen after its suffix, the excluded counts are one number per context, so
 the whole chain is a few table look-ups per byte.
 
+The trie is whole and grows with the corpus. Its most frequent contexts, with all their shorter
+ones, travel with the scorers; a byte after any other context is set aside by its 5-gram. The
+distinct 5-grams set aside meet the corpus's 5-grams by their last three context bytes, where a
+partition holds everything after these contexts and works out the same chain, and return to their
+texts in a join. A context of three bytes has at most 65 536 5-grams, so none of them is hot.
+
 The word scores need the count of every word. Words above a share of all tokens are few by
 arithmetic (at most one over that share) and travel with the scorers; the others meet their
-counts in a join.
+counts in the same join.
 """
 
 from __future__ import annotations
@@ -21,15 +27,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm.common import crc_fold, slices, text_bytes
 from stockflow.session import cut_lineage
 
 ORDER = 4
-#: Contexts of an order that the trie keeps, the most frequent first; the rest use shorter ones.
+#: Contexts of four bytes that travel with the scorers, the most frequent first; no score depends on it.
 CONTEXTS = 1 << 17
+#: 5-grams, wanted or counted, in a partition that scores the rest.
+SHARD_GRAMS = 1 << 20
 #: Words with at least this share of all training tokens travel with the scorers.
 COMMON_SHARE = 2.0 ** -20
 #: Distinct counts a task holds before it hands them on.
@@ -37,6 +45,7 @@ HELD = 3_000_000
 GRAMS, WORDS, ENDS = 0, 1, 2
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_KEY_BITS = np.uint64(8 * (ORDER + 1))
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -116,6 +125,7 @@ class Trie:
 
     def __init__(self, grams: list[tuple[np.ndarray, np.ndarray]]):
         self.name = uuid.uuid4().hex
+        self.grams = grams
         ctx, total, kinds, self.entry, self.log_n = [], [], [], [], []
         for key, n in grams:                               # contexts of each order in one numbering
             c, first = np.unique(key >> np.uint64(8), return_index=True)
@@ -193,9 +203,10 @@ class Trie:
     def _slot(self, key: np.ndarray) -> np.ndarray:
         return ((key * _MIX) >> np.uint64(64 - self.bits)).astype(np.int64)
 
-    def log10(self, key: np.ndarray) -> np.ndarray:
-        """log10 probability of each byte given its predecessors (numbers of ``gram_keys``)."""
-        out = np.zeros(len(key))
+    def log10(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 probability of each byte given its predecessors (numbers of ``gram_keys``), and
+        which bytes follow a context that this trie lacks (their value is 0)."""
+        out, rare = np.zeros(len(key)), np.zeros(len(key), bool)
         at, todo = self._slot(key), np.arange(len(key))
         while len(todo):
             found = self.slot_key[at]
@@ -204,11 +215,13 @@ class Trie:
             more = ~hit & (found != _EMPTY)
             if not hit.all():
                 miss = todo[~hit & ~more]
-                out[miss] = self._chain(key[miss])
+                known = self._find_context(ORDER, key[miss] >> np.uint64(8))[1]
+                rare[miss[~known]] = True
+                out[miss[known]] = self.chain(key[miss[known]])
             todo, at = todo[more], (at[more] + 1) & ((1 << self.bits) - 1)
-        return out
+        return out, rare
 
-    def _chain(self, key: np.ndarray) -> np.ndarray:
+    def chain(self, key: np.ndarray) -> np.ndarray:
         """The same for any byte: longest known context, then escapes with exclusion."""
         u, back = np.unique(key, return_inverse=True)
         out = np.zeros(len(u))
@@ -231,25 +244,61 @@ class Trie:
         return out[back]
 
 
-def fit_trie(counts: DataFrame, limit: int = CONTEXTS) -> Trie:
-    """The trie from the corpus's 5-gram counts: per order at most ``limit`` contexts reach the driver."""
-    grams = counts.filter(F.col("kind") == GRAMS).select("key", "n")
+def low_bytes(column: Column, n: int) -> Column:
+    return column.bitwiseAND(F.lit((1 << (8 * n)) - 1).cast("long"))
+
+
+def fit_trie(grams: DataFrame, limit: int = CONTEXTS) -> Trie:
+    """The trie of the ``limit`` most frequent contexts of four bytes and all contexts that a chain
+    from them can meet, from the corpus's 5-gram counts (``key``, ``n``). Orders 0 to 2 are whole,
+    the alphabet bounds them.
+    """
+    top = (grams.groupBy(F.shiftright("key", 8).alias("c")).agg(F.sum("n").alias("t"))
+           .orderBy(F.desc("t"), "c").limit(limit).select(F.col("c").alias("_c")))
     levels = []
     for j in range(ORDER + 1):
-        mask = (1 << (8 * (j + 1))) - 1
-        level = grams.groupBy(F.col("key").bitwiseAND(F.lit(mask).cast("long")).alias("k")).agg(F.sum("n").alias("n")) if j < ORDER else grams.withColumnRenamed("key", "k")
-        if j > 2:                                          # shorter orders are bounded by the alphabet
-            ctx = F.shiftright("k", 8).alias("c")
-            top = (level.groupBy(ctx).agg(F.sum("n").alias("t")).orderBy(F.desc("t"), "c").limit(limit)
-                   .select(F.col("c").alias("_c")))
-            level = level.join(top, F.shiftright("k", 8) == F.col("_c"), "left_semi")
-        got = level.select("k", "n").toArrow()
-        k = got["k"].to_numpy().astype(np.uint64)
-        at = np.argsort(k)
-        levels.append((k[at], got["n"].to_numpy()[at]))
+        level = grams.groupBy(low_bytes(F.col("key"), j + 1).alias("k")).agg(F.sum("n").alias("n"))
+        if j > 2:
+            kept = top if j == ORDER else top.select(low_bytes(F.col("_c"), j).alias("_c")).distinct()
+            level = level.join(kept, F.shiftright("k", 8) == F.col("_c"), "left_semi")
+        got = level.toArrow()
+        levels.append(_sorted(got["k"].to_numpy(), got["n"].to_numpy()))
     return Trie(levels)
 
 
+def _sorted(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    at = np.argsort(key)
+    return key[at].astype(np.uint64), n[at]
+
+
+def score_rest(grams: DataFrame, wanted: DataFrame, low: list[tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """``key`` and ``log`` (log10 probability of its byte) of every distinct 5-gram of ``wanted``.
+
+    ``low``: the whole orders 0 to 2. Both sides are dealt by the last three bytes of the context;
+    a partition's 5-grams make its contexts of four and three bytes complete.
+    """
+    rows = wanted.distinct().select("key", F.lit(0).cast("long").alias("n")).unionByName(grams)
+    shards = 1 + rows.count() // SHARD_GRAMS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+        if not parts:
+            return
+        key, n = (np.concatenate(p) for p in zip(*parts))
+        ask = key[n == 0].astype(np.uint64)
+        if not len(ask):
+            return
+        longest = _sorted(key[n > 0], n[n > 0])
+        shorter = _sum_up([longest[0] & np.uint64((1 << (8 * ORDER)) - 1)], [longest[1]])
+        log = Trie([*low, shorter, longest]).chain(ask)
+        for i in range(0, len(ask), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(ask[i:i + 100_000].astype(np.int64)), pa.array(log[i:i + 100_000])],
+                                             names=["key", "log"])
+
+    return (rows.repartition(shards, low_bytes(F.shiftright("key", 8), ORDER - 1))
+            .mapInArrow(run, "key long, log double"))
+
+
 _READY: dict[str, Trie] = {}
 
 
@@ -263,7 +312,7 @@ def _ready(trie: Trie) -> Trie:
 
 
 SCORED = ("doc_id long, n_tokens long, known long, base double, score double, "
-          "rare array<struct<h:long,c:int>>")
+          "word array<long>, word_n array<int>, gram array<long>, gram_n array<int>")
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", skip_fold: int = 1,
@@ -281,7 +330,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     held = crc_fold(F.col(id_col)) == skip_fold
     counts = cut_lineage(count(docs.filter(~held), text_col))
-    trie = fit_trie(counts, contexts)
+    grams = counts.filter(F.col("kind") == GRAMS).select("key", "n")
+    trie = fit_trie(grams, contexts)
+    low = trie.grams[:ORDER - 1]
     words = counts.filter(F.col("kind") == WORDS).select("key", "n")
     ends = counts.filter(F.col("kind") == ENDS).agg(F.sum("n")).first()[0] or 0
     size = words.agg(F.sum("n"), F.count(F.lit(1))).first()
@@ -297,12 +348,16 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _ready(trie)
-        kind = pa.struct([("h", pa.int64()), ("c", pa.int32())])
         for b in slices(batches, 300):
             texts = text_bytes(b.column(1))
             key, ends_at = gram_keys(texts)
-            total = np.append(0.0, np.cumsum(model.log10(key)))
+            log_p, apart = model.log10(key)
+            total = np.append(0.0, np.cumsum(log_p))
             score = np.diff(total[ends_at], prepend=0.0)
+            doc = np.repeat(np.arange(len(texts), dtype=np.uint64), np.diff(ends_at, prepend=0))
+            both, gram_n = np.unique((doc[apart] << _KEY_BITS) | key[apart], return_counts=True)
+            gram = (both & ((np.uint64(1) << _KEY_BITS) - np.uint64(1))).astype(np.int64)
+            gram_cuts = np.searchsorted(both >> _KEY_BITS, np.arange(len(texts) + 1, dtype=np.uint64))
             h, nums = word_types(texts)
             at = np.minimum(np.searchsorted(common, h), max(0, len(common) - 1))
             known = common[at] == h if len(common) else np.zeros(len(h), bool)
@@ -317,23 +372,33 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 hs.append(h[rest])
                 cs.append(c)
                 cuts.append(cuts[-1] + len(rest))
-            pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(hs), pa.int64()),
-                                                pa.array(np.concatenate(cs).astype(np.int32))], fields=list(kind))
+            def lists(cut, values):
+                return pa.ListArray.from_arrays(pa.array(np.asarray(cut, np.int32)), pa.array(values))
+
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()),
-                 pa.array(score), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pairs)],
-                names=["doc_id", "n_tokens", "known", "base", "score", "rare"])
+                 pa.array(score), lists(cuts, np.concatenate(hs)), lists(cuts, np.concatenate(cs).astype(np.int32)),
+                 lists(gram_cuts, gram), lists(gram_cuts, gram_n.astype(np.int32))],
+                names=["doc_id", "n_tokens", "known", "base", "score", "word", "word_n", "gram", "gram_n"])
 
     first = cut_lineage(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(run, SCORED)
                         .withColumn("row", F.monotonically_increasing_id()))
-    pairs = first.select("row", F.explode("rare").alias("r")).select("row", F.col("r.h").alias("h"), F.col("r.c").alias("c"))
-    scarce = words.filter(F.col("n") < least).select(F.col("key").alias("_k"), "n")
-    rare = (pairs.join(scarce, F.col("h") == F.col("_k"), "left")
-            .groupBy("row").agg(F.sum(F.col("c") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("more"),
-                                F.sum(F.when(F.col("n") > 0, F.col("c")).otherwise(0)).alias("more_known")))
-    return (first.drop("rare").join(rare, "row", "left")
+
+    def asked(kind: int, name: str) -> DataFrame:
+        return (first.select("row", F.explode(F.arrays_zip(F.col(name).alias("key"), F.col(f"{name}_n").alias("c"))).alias("r"))
+                .select("row", F.lit(kind).alias("kind"), F.col("r.key").alias("key"), F.col("r.c").alias("c")))
+
+    rest = score_rest(grams, first.select(F.explode("gram").alias("key")), low)
+    value = (words.filter(F.col("n") < least).select(F.lit(WORDS).alias("kind"), "key", F.log10(F.col("n") + 0.5).alias("log"))
+             .unionByName(rest.select(F.lit(GRAMS).alias("kind"), "key", "log")))
+    of_word = F.col("kind") == WORDS
+    rare = (asked(WORDS, "word").unionByName(asked(GRAMS, "gram")).join(value, ["kind", "key"], "left")
+            .groupBy("row").agg(F.sum(F.when(of_word, F.col("c") * F.coalesce("log", F.log10(F.lit(0.5))))).alias("more"),
+                                F.sum(F.when(of_word & F.col("log").isNotNull(), F.col("c"))).alias("more_known"),
+                                F.sum(F.when(~of_word, F.col("c") * F.col("log"))).alias("more_score")))
+    return (first.drop("word", "word_n", "gram", "gram_n").join(rare, "row", "left")
             .select("doc_id", (crc_fold(F.col("doc_id")) == skip_fold).alias("held_out"), "n_tokens",
                     (F.col("known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
                     F.lit(tokens).cast("long").alias("train_tokens"),
                     (F.col("base") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * F.lit(bottom)).alias("base_score"),
-                    "score"))
+                    (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score")))

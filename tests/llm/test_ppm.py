@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from stockflow.llm import ppm
 from stockflow.llm.ppm import score_texts
 
 
@@ -51,8 +52,10 @@ def brute_score(seen, text):
     return total
 
 
-@pytest.mark.parametrize("share", [2.0 ** -20, 0.05])
-def test_scores_by_brute_force(make_docs, share):
+@pytest.mark.parametrize("share, contexts", [(2.0 ** -20, 1 << 17), (0.05, 1 << 17), (2.0 ** -20, 0), (0.05, 7)])
+def test_scores_by_brute_force(make_docs, share, contexts, monkeypatch):
+    """The same scores, whether contexts travel with the scorers or not."""
+    monkeypatch.setattr(ppm, "SHARD_GRAMS", 300)
     rows = corpus()
     train = [(t or "").encode() for i, t in rows if fold(i) != 1]
     seen = brute_model(train)
@@ -67,16 +70,13 @@ def test_scores_by_brute_force(make_docs, share):
         want.append((i, fold(i) == 1, len(counts), sum(k > 0 for k in counts), n, round(base, 6),
                      round(brute_score(seen, b), 3)))
     got = [(*tuple(r)[:5], round(r.base_score, 6), round(r.score, 3)) for r in
-           score_texts(make_docs(rows), common_share=share).collect()]
+           score_texts(make_docs(rows), common_share=share, contexts=contexts).collect()]
     for a, b in zip(sorted(got, key=str), sorted(want, key=str)):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-4, abs=2e-3)
     assert len(got) == len(want)
 
 
-def test_pruned_trie_and_empty(make_docs):
-    rows = corpus()
-    got = score_texts(make_docs(rows), contexts=5).collect()
-    assert all(r.score <= 0 for r in got) and len(got) == len(rows)
+def test_empty_and_untrained(make_docs):
     assert score_texts(make_docs([])).count() == 0
     only = score_texts(make_docs([(i, "ab") for i in range(30) if fold(i) == 1])).first()
     assert only.score == pytest.approx(-2 * math.log10(256)) and only.base_score == 0
