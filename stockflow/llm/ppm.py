@@ -326,7 +326,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Null and empty texts have one token, the end, and a score of 0. Null ids count as the empty
     text in the fold. Repeated rows are trained on and returned as often as given. Without any
     training text every byte costs log10(256). Other columns are ignored; an empty table gives no
-    rows. Words are told apart by 64-bit hashes.
+    rows. Words are told apart by 64-bit hashes. ``contexts`` and ``common_share`` set what travels
+    with the scorers, not the results.
     """
     held = crc_fold(F.col(id_col)) == skip_fold
     counts = cut_lineage(count(docs.filter(~held), text_col))
