@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.llm.common import crc_fold, slices, text_bytes
+from stockflow.session import cut_lineage
 
 #: Labelled texts that the model is fitted on, at most, chosen by hash of the id; every fourth calibrates.
 FIT_ROWS = 16_000
@@ -288,8 +289,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     y = (labels.select(F.col("doc_id").alias("_id"), F.col(label_col).cast("int").alias("y"))
          .filter("y in (0, 1)").filter(crc_fold(F.col("_id")) != 0).groupBy("_id").agg(F.max("y").alias("y"))
          .withColumn("_h", F.xxhash64("_id")).orderBy("_h", "_id").limit(fit_rows))
-    sample = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")).join(
-        y, F.col("doc_id") == F.col("_id")).withColumn("part", F.pmod(F.col("_h"), F.lit(4)))
+    # at most fit_rows ids are broadcast, so the texts stay in place; the sample is read several times
+    sample = cut_lineage(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")).join(
+        F.broadcast(y), F.col("doc_id") == F.col("_id")).withColumn("part", F.pmod(F.col("_h"), F.lit(4))))
     learn, calibrate = sample.filter("part != 0"), sample.filter("part = 0")
     odds = _counts(learn)
     got = _telling(learn, odds).toArrow()
