@@ -104,5 +104,19 @@ FOREIGN_KEYS = {
 }
 
 
+# Declared keys (PRIMARY KEY and UNIQUE) of the source tables.
+DECLARED_KEYS = {
+    "suppliers.pk": ("suppliers", ["supplier_id"]),
+    "warehouses.pk": ("warehouses", ["warehouse_id"]),
+    "products.pk": ("products", ["product_id"]),
+    "products.sku_unique": ("products", ["sku"]),
+    "product_stock.pk": ("product_stock", ["product_id", "warehouse_id"]),
+    "orders.pk": ("orders", ["order_id"]),
+    "order_items.pk": ("order_items", ["order_item_id"]),
+    "stock_txn_log.pk": ("stock_txn_log", ["log_id"]),
+    "low_stock_alerts.pk": ("low_stock_alerts", ["alert_id"]),
+}
+
+
 def required_columns(table: str) -> list[str]:
     return [f.name for f in schemas.TABLES[table].fields if not f.nullable]

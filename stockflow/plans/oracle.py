@@ -320,14 +320,13 @@ FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1"""
                      f"WHERE c.{fk} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {tname.get(par, par)} p WHERE p.{pk} = c.{fk})")
     q["dq_orphans"] = with_views(all_views) + "\nUNION ALL\n".join(parts)
     checks = {
-        "low_stock_alerts.resolved_flag_in_YN": None,
         "order_items.qty_ordered_positive": ("order_items", "qty_ordered > 0"),
         "orders.status_domain": ("orders", "status IN ('PLACED', 'FULFILLED', 'CANCELLED')"),
         "product_stock.qty_on_hand_nonneg": ("product_stock", "qty_on_hand >= 0"),
         "products.active_flag_in_YN": ("products", "active_flag IN ('Y', 'N')"),
     }
     parts = [f"SELECT '{n}' AS rule_name, {rk(t)} AS row_key FROM {tname.get(t, t)} c WHERE NOT COALESCE({pred}, TRUE)"
-             for n, v in sorted(checks.items()) if v for t, pred in [v]]
+             for n, v in sorted(checks.items()) for t, pred in [v]]
     q["dq_check_violations"] = with_views(all_views) + "\nUNION ALL\n".join(parts)
     required = {
         "order_items": ["order_item_id", "order_id", "product_id", "qty_ordered"],
@@ -354,6 +353,28 @@ WHERE NOT COALESCE(q >= 0, TRUE)"""
     q["apply_defaults"] = with_views(["products"]) + """
 SELECT product_id, sku, product_name, unit_price, supplier_id, CAST(10 AS BIGINT) AS reorder_min, 'Y' AS active_flag
 FROM products"""
+    declared = {"suppliers.pk": ("suppliers", ["supplier_id"]), "warehouses.pk": ("warehouses", ["warehouse_id"]),
+                "products.pk": ("products", ["product_id"]), "products.sku_unique": ("products", ["sku"]),
+                "product_stock.pk": ("product_stock", ["product_id", "warehouse_id"]),
+                "orders.pk": ("inv_orders", ["order_id"]), "order_items.pk": ("order_items", ["order_item_id"]),
+                "stock_txn_log.pk": ("ledger_e", ["log_id"])}
+    q["dq_declared_keys"] = with_views(all_views) + "\nUNION ALL\n".join(
+        f"SELECT DISTINCT * FROM (SELECT '{name}' AS key_name, concat_ws('|', {', '.join(f'CAST({c} AS VARCHAR)' for c in cols)}) "
+        f"AS row_key, COUNT(*) OVER (PARTITION BY {', '.join(cols)}) AS n FROM {t}) WHERE n > 1"
+        for name, (t, cols) in declared.items())
+    q["dq_inactive_references"] = with_views(["products", "order_items"]) + """
+SELECT i.order_item_id, i.order_id, i.product_id, i.qty_ordered FROM order_items i
+LEFT JOIN products p ON p.product_id = i.product_id WHERE p.active_flag IS DISTINCT FROM 'Y'"""
+    q["dq_missing_supplier"] = """
+SELECT 'products' AS table_name, CAST(p_partkey AS VARCHAR) AS row_key, 'supplier_id' AS column_name
+FROM part WHERE p_partkey % 17 = 0"""
+    q["apply_defaults_stock"] = with_views(["product_stock"]) + f"""
+SELECT product_id, warehouse_id, CAST(0 AS BIGINT) AS qty_on_hand, {EVENTS_AS_OF} AS last_updated FROM product_stock"""
+    q["apply_defaults_orders"] = with_views(["inv_orders"]) + """
+SELECT order_id, warehouse_id, order_date, 'PLACED' AS status FROM inv_orders"""
+    q["apply_defaults_ledger"] = with_views(["ledger_e"]) + f"""
+SELECT log_id, product_id, warehouse_id, txn_type, qty_change, {EVENTS_AS_OF} AS txn_time,
+       'INVENTORY_APP' AS performed_by FROM ledger_e"""
     q["stream_daily_issue"] = with_views(["ledger_e"]) + """
 SELECT product_id, warehouse_id, date_trunc('day', txn_time) AS window_start, CAST(SUM(ABS(qty_change)) AS BIGINT) AS daily_qty
 FROM ledger_e WHERE txn_type = 'ISSUE' GROUP BY product_id, warehouse_id, date_trunc('day', txn_time)"""

@@ -210,6 +210,38 @@ def q_dq_duplicate_keys(spark, d):
     return dq.dq_duplicate_keys(dt_.order_lines(spark, d), ["order_id", "line_number"])
 
 
+#: The alerts are no table of the driver's data; their rules need the alert pipeline first.
+NOT_STORED = {"low_stock_alerts"}
+
+
+def q_dq_declared_keys(spark, d):
+    """E1 over every declared key of the stored tables, UNIQUE(sku) included."""
+    t = _tables(spark, d)
+    parts = []
+    for name, (tab, cols) in sorted(dq.DECLARED_KEYS.items()):
+        if tab in NOT_STORED:
+            continue
+        parts.append(dq.dq_duplicate_keys(t[tab], cols).select(
+            F.lit(name).alias("key_name"), F.concat_ws("|", *[F.col(c).cast("string") for c in cols]).alias("row_key"), "n"))
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+def q_dq_inactive_references(spark, d):
+    """E2 with the active products as the parent: order items of products no longer active."""
+    active = dt_.products(spark, d).filter("active_flag = 'Y'")
+    return dq.dq_orphans(dt_.order_items(spark, d), ["product_id"], active, ["product_id"]).select(
+        "order_item_id", "order_id", "product_id", "qty_ordered")
+
+
+def q_dq_missing_supplier(spark, d):
+    """E4 with the optional supplier of a product taken as required."""
+    return dq.dq_missing_required(dt_.products(spark, d), [*dq.required_columns("products"), "supplier_id"],
+                                  ["product_id"], "products")
+
+
 _TABLE_KEYS = {"products": ["product_id"], "suppliers": ["supplier_id"], "warehouses": ["warehouse_id"],
                "product_stock": KEY, "orders": ["order_id"], "order_items": ["order_item_id"],
                "stock_txn_log": ["log_id"]}
@@ -235,7 +267,7 @@ def q_dq_orphans(spark, d):
 def q_dq_check_violations(spark, d):
     t = _tables(spark, d)
     parts = [dq.dq_check_violations(t[tab], name, pred, keys)
-             for name, (tab, pred, keys) in sorted(dq.CHECK_RULES.items()) if tab in t]
+             for name, (tab, pred, keys) in sorted(dq.CHECK_RULES.items()) if tab not in NOT_STORED]
     out = parts[0]
     for x in parts[1:]:
         out = out.unionByName(x)
@@ -264,6 +296,20 @@ def q_apply_defaults(spark, d):
     return dq.apply_defaults(p, "products", EVENTS_AS_OF, ACTOR)
 
 
+def q_apply_defaults_stock(spark, d):
+    stock = dt_.product_stock(spark, d).drop("qty_on_hand", "last_updated")
+    return dq.apply_defaults(stock, "product_stock", EVENTS_AS_OF, ACTOR)
+
+
+def q_apply_defaults_orders(spark, d):
+    return dq.apply_defaults(dt_.orders_after(spark, d).drop("status"), "orders", LINEITEM_AS_OF, ACTOR)
+
+
+def q_apply_defaults_ledger(spark, d):
+    log = dt_.ledger_events(spark, d).drop("txn_time", "performed_by")
+    return dq.apply_defaults(log, "stock_txn_log", EVENTS_AS_OF, ACTOR)
+
+
 # -- S: batch twin of the streaming day aggregate -------------------------------------------
 
 def q_stream_daily_issue(spark, d):
@@ -302,5 +348,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_negative_positions": q_dq_negative_positions,
     "dq_missing_required": q_dq_missing_required,
     "apply_defaults": q_apply_defaults,
+    "dq_declared_keys": q_dq_declared_keys,
+    "dq_inactive_references": q_dq_inactive_references,
+    "dq_missing_supplier": q_dq_missing_supplier,
+    "apply_defaults_stock": q_apply_defaults_stock,
+    "apply_defaults_orders": q_apply_defaults_orders,
+    "apply_defaults_ledger": q_apply_defaults_ledger,
     "stream_daily_issue": q_stream_daily_issue,
 }
