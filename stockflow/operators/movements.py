@@ -269,10 +269,13 @@ def ledger_append(existing: DataFrame | None, rows: DataFrame, as_of: dt.datetim
 
 
 def write_ledger(ledger: DataFrame, path: str) -> None:
-    """Append to a day-partitioned parquet ledger (partition pruning for the windowed reads)."""
+    """Append to a day-partitioned parquet ledger (partition pruning for the windowed reads).
+
+    Rows are rebalanced by day: small days share a task, AQE splits a large day over several.
+    """
     if "txn_date" not in ledger.columns:
         ledger = ledger.withColumn("txn_date", F.to_date("txn_time"))
-    (ledger.repartition("txn_date").write.mode("append").partitionBy("txn_date").parquet(path))
+    (ledger.hint("rebalance", "txn_date").write.mode("append").partitionBy("txn_date").parquet(path))
 
 
 def read_ledger(spark, path: str, since: dt.datetime | None = None) -> DataFrame:

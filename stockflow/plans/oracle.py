@@ -368,6 +368,11 @@ LEFT JOIN products p ON p.product_id = i.product_id WHERE p.active_flag IS DISTI
     q["dq_missing_supplier"] = """
 SELECT 'products' AS table_name, CAST(p_partkey AS VARCHAR) AS row_key, 'supplier_id' AS column_name
 FROM part WHERE p_partkey % 17 = 0"""
+    q["ledger_append_restock"] = with_views(["ledger_e"]) + f"""
+SELECT *, CAST(txn_time AS DATE) AS txn_date FROM ledger_e
+UNION ALL
+SELECT log_id, product_id, warehouse_id, txn_type, qty_change, {EVENTS_AS_OF}, 'INVENTORY_APP',
+       CAST({EVENTS_AS_OF} AS DATE) FROM ({q["cancel_restock_ledger"]})"""
     q["apply_defaults_stock"] = with_views(["product_stock"]) + f"""
 SELECT product_id, warehouse_id, CAST(0 AS BIGINT) AS qty_on_hand, {EVENTS_AS_OF} AS last_updated FROM product_stock"""
     q["apply_defaults_orders"] = with_views(["inv_orders"]) + """

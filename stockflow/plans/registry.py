@@ -296,6 +296,12 @@ def q_apply_defaults(spark, d):
     return dq.apply_defaults(p, "products", EVENTS_AS_OF, ACTOR)
 
 
+def q_ledger_append_restock(spark, d):
+    """C3 onto existing rows: restock rows without time and user join the events ledger."""
+    rows = q_cancel_restock_ledger(spark, d).drop("txn_time", "performed_by")
+    return mv.ledger_append(dt_.ledger_events(spark, d), rows, EVENTS_AS_OF, ACTOR)
+
+
 def q_apply_defaults_stock(spark, d):
     stock = dt_.product_stock(spark, d).drop("qty_on_hand", "last_updated")
     return dq.apply_defaults(stock, "product_stock", EVENTS_AS_OF, ACTOR)
@@ -351,6 +357,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_declared_keys": q_dq_declared_keys,
     "dq_inactive_references": q_dq_inactive_references,
     "dq_missing_supplier": q_dq_missing_supplier,
+    "ledger_append_restock": q_ledger_append_restock,
     "apply_defaults_stock": q_apply_defaults_stock,
     "apply_defaults_orders": q_apply_defaults_orders,
     "apply_defaults_ledger": q_apply_defaults_ledger,
