@@ -137,20 +137,21 @@ def _repeated_bitmap(docs: DataFrame, text_col: str, length: int) -> np.ndarray:
 
 
 def _places(docs: DataFrame, text_col: str, bitmap: np.ndarray, length: int) -> DataFrame:
-    """Segments whose anchor may repeat: ``h``, ``seg``, ``doc``, ``lo``, ``n``."""
+    """Segments whose anchor may repeat: ``h``, ``seg``, ``doc``, ``row``, ``lo``, ``n``."""
     mask = np.int64((1 << BITMAP_BITS) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 1000):
-            ids = b.column(0).to_numpy()
-            for doc, lo, n, h, seg in segments(text_bytes(b.column(1)), length):
+            ids, rows = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for doc, lo, n, h, seg in segments(text_bytes(b.column(2)), length):
                 bit = h & mask
                 ok = np.flatnonzero(bitmap[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[ok]), pa.array(seg[ok]), pa.array(ids[doc[ok]]), pa.array(lo[ok]), pa.array(n[ok].astype(np.int32))],
-                    names=["h", "seg", "doc", "lo", "n"])
+                    [pa.array(h[ok]), pa.array(seg[ok]), pa.array(ids[doc[ok]]), pa.array(rows[doc[ok]]), pa.array(lo[ok]),
+                     pa.array(n[ok].astype(np.int32))],
+                    names=["h", "seg", "doc", "row", "lo", "n"])
 
-    return docs.select("doc", text_col).mapInArrow(run, "h long, seg long, doc long, lo long, n int")
+    return docs.select("doc", "row", text_col).mapInArrow(run, "h long, seg long, doc long, row long, lo long, n int")
 
 
 def suffix_array(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndarray:
@@ -245,7 +246,7 @@ def repeated_starts(parts: list[bytes], doc: np.ndarray, lo: np.ndarray, n: np.n
 
 
 def _sorted_marks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Rows (h, doc, lo, n, text) sorted by h; whole groups share suffix arrays."""
+    """Rows (h, doc, row, lo, n, text) sorted by h; whole groups share suffix arrays."""
     held: list[pa.RecordBatch] = []
     size = 0
 
@@ -255,12 +256,13 @@ def _sorted_marks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa
         head = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (off[1:] != off[:-1] + 1)]) if len(part) else np.zeros(0, int)
         last = np.append(head[1:], len(part)) - 1 if len(part) else head
         return pa.RecordBatch.from_arrays(
-            [pa.array(doc[part[head]]), pa.array(lo[part[head]] + off[head]), pa.array(lo[part[head]] + off[last])],
-            names=["doc", "a", "b"])
+            [pa.array(doc[part[head]]), pa.array(t["row"].to_numpy()[part[head]]), pa.array(lo[part[head]]),
+             pa.array(lo[part[head]] + off[head]), pa.array(lo[part[head]] + off[last])],
+            names=["doc", "row", "lo", "a", "b"])
 
     for b in batches:
         held.append(b)
-        size += b.column(4).nbytes
+        size += b.column(5).nbytes
         if size > ARRAY_BYTES:
             t = pa.Table.from_batches(held)
             h = t["h"].to_numpy()
@@ -268,7 +270,7 @@ def _sorted_marks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa
             if cut:
                 yield flush(t.slice(0, cut))
                 held = t.slice(cut).combine_chunks().to_batches()
-                size = sum(x.column(4).nbytes for x in held)
+                size = sum(x.column(5).nbytes for x in held)
     if held:
         t = pa.Table.from_batches(held)
         if t.num_rows:
@@ -285,51 +287,62 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bytes).
 
     Null and empty texts, and texts below ``length`` bytes, lose nothing. Null ids come after all
-    others, as one document (the largest long counts as null). Rows that share an id are one document laid over each other: of their
-    strings the start alone decides, so exact repeats of a row neither remove one another nor
-    differ in result, and any of them removes from others. Other columns are ignored; an empty
+    others, as one document (the largest long counts as null). Among rows that share an id the
+    start alone decides which string is earlier, so exact repeats of a row neither remove one
+    another nor differ in result, and any of them removes from others; each row loses only what
+    its own text repeats. A row is known by its id and a 64-bit hash of its text. Other columns are ignored; an empty
     table gives no rows.
     """
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    base = base.select("doc", F.xxhash64("text").alias("row"), "text")
     bitmap = _repeated_bitmap(base, "text", length)
     places = cut_lineage(_places(base, "text", bitmap, length))
     kinds = places.groupBy("h", "seg").agg(
-        F.min(F.struct("doc", "lo")).alias("first"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
+        F.min(F.struct("doc", "lo", "row")).alias("first"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
     groups = kinds.groupBy("h").agg(F.sum("copies").alias("_all"), F.count(F.lit(1)).alias("kinds"))
     kinds = cut_lineage(kinds.join(groups.filter("_all > 1").withColumnRenamed("h", "_h"), F.col("h") == F.col("_h"))
-                        .select("h", "seg", F.col("first.doc").alias("doc"), F.col("first.lo").alias("lo"), "n", "copies", "kinds"))
+                        .select("h", "seg", F.col("first.doc").alias("doc"), F.col("first.row").alias("row"), F.col("first.lo").alias("lo"),
+                                "n", "copies", "kinds"))
     # all but the earliest of equal segments go whole
     repeats = kinds.filter("copies > 1").select(
-        F.col("h").alias("_h"), F.col("seg").alias("_s"), F.col("doc").alias("_d"), F.col("lo").alias("_lo"))
-    later = (places.join(repeats, (F.col("h") == F.col("_h")) & (F.col("seg") == F.col("_s")))
-             .filter((F.col("doc") != F.col("_d")) | (F.col("lo") != F.col("_lo")))
-             .select("doc", F.col("lo").alias("a"), (F.col("lo") + F.col("n") - 1).alias("b")))
+        F.col("h").alias("_h"), F.col("seg").alias("_s"), F.col("doc").alias("_d"), F.col("row").alias("_r"), F.col("lo").alias("_lo"))
+    copies = places.join(repeats, (F.col("h") == F.col("_h")) & (F.col("seg") == F.col("_s")))
+    level = (F.col("doc") == F.col("_d")) & (F.col("lo") == F.col("_lo"))
+    later = copies.filter(~level).select("doc", "row", F.col("lo").alias("a"), (F.col("lo") + F.col("n") - 1).alias("b"))
 
     # the earliest of each, with its bytes
-    asked = kinds.groupBy("doc").agg(F.collect_list(F.struct("h", "lo", "n", "kinds")).alias("want")).withColumnRenamed("doc", "_doc")
-    own_text = F.col("text").cast("binary")
-    cut = (base.join(asked, F.col("doc") == F.col("_doc")).select("doc", own_text.alias("t"), F.explode("want").alias("w"))
-           .select("doc", F.col("w.h").alias("h"), F.col("w.lo").alias("lo"), F.col("w.n").alias("n"), F.col("w.kinds").alias("kinds"),
+    asked = (kinds.groupBy("doc", "row").agg(F.collect_list(F.struct("h", "lo", "n", "kinds")).alias("want"))
+             .withColumnsRenamed({"doc": "_doc", "row": "_row"}))
+    own = (F.col("doc") == F.col("_doc")) & (F.col("row") == F.col("_row"))
+    # exact repeats of a row meet in the join, one of them is cut
+    cut = (base.join(asked, own).groupBy("doc", "row").agg(F.first("text").cast("binary").alias("t"), F.first("want").alias("want"))
+           .select("doc", "row", "t", F.explode("want").alias("w"))
+           .select("doc", "row", F.col("w.h").alias("h"), F.col("w.lo").alias("lo"), F.col("w.n").alias("n"), F.col("w.kinds").alias("kinds"),
                    F.substring("t", (F.col("w.lo") + 1).cast("int"), F.col("w.n") + F.lit(length - 1)).alias("text")))
-    # rows that share an id may hold another text at the place; equal rows give equal segments
-    cut = cut.filter(F.length("text") == F.col("n") + F.lit(length - 1))
     crowded = (kinds.agg(F.max("kinds")).first()[0] or 0) > group_kinds
     plain = cut.filter(F.col("kinds") <= group_kinds) if crowded else cut
-    marks = (plain.select("h", "doc", "lo", "n", "text").repartition("h").sortWithinPartitions("h")
-             .mapInArrow(lambda it: _sorted_marks(it, length), "doc long, a long, b long"))
+    marks = (plain.select("h", "doc", "row", "lo", "n", "text").repartition("h").sortWithinPartitions("h")
+             .mapInArrow(lambda it: _sorted_marks(it, length), "doc long, row long, lo long, a long, b long"))
     if crowded:                # a group with very many contexts: its strings are the keys
         strings = (cut.filter(F.col("kinds") > group_kinds)
-                   .select("doc", "lo", "text", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("o"))
-                   .select("doc", (F.col("lo") + F.col("o")).alias("a"), F.substring("text", F.col("o") + 1, F.lit(length)).alias("s")))
+                   .select("doc", "row", "lo", "text", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("o"))
+                   .select("doc", "row", "lo", (F.col("lo") + F.col("o")).alias("a"), F.substring("text", F.col("o") + 1, F.lit(length)).alias("s")))
         firsts = strings.groupBy("s").agg(F.min(F.struct("doc", "a")).alias("first")).withColumnRenamed("s", "_s")
         marks = marks.unionByName(
             strings.join(firsts, F.col("s") == F.col("_s")).filter(F.struct("doc", "a") != F.col("first"))
-            .select("doc", "a", F.col("a").alias("b")))
-    removed = (marks.unionByName(later).groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("marks"))
-               .withColumnRenamed("doc", "_doc"))
-    # the same two columns by the same key as above: one exchange of the texts serves both joins
-    rows = base.join(removed, F.col("doc") == F.col("_doc"), "left").select("doc", "text", "marks")
+            .select("doc", "row", "lo", "a", F.col("a").alias("b")))
+    if base.groupBy("doc").agg((F.min("row") != F.max("row")).alias("_m")).filter("_m").limit(1).count():
+        # other texts of an id that hold a cut segment at the same start share its marks
+        marks = cut_lineage(marks)
+        shared = marks.select(*(F.col(c).alias(f"_m{c}") for c in marks.columns))
+        tied = (copies.filter(level & (F.col("row") != F.col("_r"))).select("doc", "row", "lo", "_r").distinct()
+                .join(shared, (F.col("doc") == F.col("_mdoc")) & (F.col("_r") == F.col("_mrow")) & (F.col("lo") == F.col("_mlo"))))
+        later = later.unionByName(tied.select("doc", "row", F.col("_ma").alias("a"), F.col("_mb").alias("b")))
+    removed = (marks.drop("lo").unionByName(later).groupBy("doc", "row").agg(F.collect_set(F.struct("a", "b")).alias("marks"))
+               .withColumnsRenamed({"doc": "_doc", "row": "_row"}))
+    # the same columns by the same key as above: one exchange of the texts serves both joins
+    rows = base.join(removed, own, "left").select("doc", "text", "marks")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 500):

@@ -74,3 +74,16 @@ def test_segments_part_all_starts():
     texts = ["".join(rng.choice("ab ") for _ in range(n)).encode() for n in (0, 99, 100, 101, 400, 5, 1000)]
     got = {(int(d), s) for doc, lo, n, _, _ in segments(texts, 100) for d, a, k in zip(doc, lo, n) for s in range(a, a + k)}
     assert got == {(d, s) for d, t in enumerate(texts) for s in range(len(t) - 99)}
+
+
+@pytest.mark.parametrize("kinds", [20_000, 2])
+def test_different_texts_under_null_and_repeated_ids(make_docs, kinds):
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, head, own = text(150), text(260), text(400)
+    rows = [(None, text(300) + passage + text(200)), (None, own + text(300)), (None, text(700)), (None, own + text(300)),
+            (4, passage + text(300)), (4, text(50) + passage + text(300)), (4, text(600)), (6, head + text(200)), (6, head + text(250)),
+            (6, head[:180] + text(300)), (5, text(30) + head[60:200] + text(90)), (6, text(800)), (None, None), (None, "")]
+    rows += [rows[0]] * 3 + [rows[7]] * 2
+    got = remove_repeats(make_docs(rows), group_kinds=kinds)
+    assert sorted((tuple(r) for r in got.drop("kept").collect()), key=str) == brute([(i, (t or "").encode()) for i, t in rows], 100)
