@@ -26,7 +26,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each SimHash group."""
     small_batches(spark)
-    return simhash.keep_one(docs, simhash.simhash_groups(docs, shingle=4, radius=4))
+    return simhash.keep_one(docs, shingle=4, radius=4)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,6 +30,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def row_key(text_col: str, *others: str) -> Column:
+    """A key of a row's values: rows agree where text and other columns do, nulls included."""
+    parts = [x for c in (text_col, *others) for x in (F.col(c).isNull(), F.col(c))]
+    return F.concat(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")), F.hex(F.xxhash64(*parts)))
+
+
 def crc_fold(id_col: Column, mod: int = 5) -> Column:
     """``crc32(id as text) mod 5``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % mod

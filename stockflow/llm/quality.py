@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.common import slices, text_bytes
+from stockflow.llm.common import row_key, slices, text_bytes
 from stockflow.session import cut_lineage
 
 #: Labelled rows the classifier is fitted on, at most; chosen by hash of the id.
@@ -65,16 +65,17 @@ class Logistic:
         return np.clip(self._expand(x) @ self.w, -LOGIT, LOGIT)
 
 
-def _features_of(docs: DataFrame, id_col: str, text_col: str, host, path) -> DataFrame:
+def _features_of(docs: DataFrame, id_col: str, text_col: str, host, path, key) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 500):
             x = np.array([features(t) for t in text_bytes(b.column(3))], np.float64).reshape(-1, N_FEATURES)
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:3], pa.FixedSizeListArray.from_arrays(x.ravel(), N_FEATURES).cast(pa.list_(pa.float64()))],
-                names=["doc_id", "host", "path", "x"])
+                [*b.columns[:3], b.column(4), pa.FixedSizeListArray.from_arrays(x.ravel(), N_FEATURES).cast(pa.list_(pa.float64()))],
+                names=["doc_id", "host", "path", "key", "x"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), host.alias("host"), path.alias("path"),
-                       F.col(text_col)).mapInArrow(run, "doc_id long, host string, path string, x array<double>")
+                       F.col(text_col), key.alias("key")).mapInArrow(
+        run, "doc_id long, host string, path string, key string, x array<double>")
 
 
 def fit(rows: DataFrame, labels: DataFrame, label_col: str, fit_rows: int) -> Logistic | None:
@@ -133,8 +134,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """Quality of every document, one row per input row.
 
     Returns ``doc_id``, ``evidence`` (the text's own log-odds), ``host_mean``, ``path_mean``
-    (posterior means of its site), ``score`` (posterior probability of good quality) and ``keep``
-    (score at or above ``threshold``). A site is host ``host_col`` and path ``path_col`` below it;
+    (posterior means of its site), ``score`` (posterior probability of good quality), ``keep``
+    (score at or above ``threshold``) and ``key`` (of text, host and path, on which the score depends). A site is host ``host_col`` and path ``path_col`` below it;
     null hosts and paths are sites of their own. The site moves the log-odds by ``site_weight`` x
     its own log-odds relative to the corpus.
 
@@ -143,29 +144,32 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     repeated labels count each. Other columns are ignored; an empty table gives no rows.
     ``fit_rows`` bounds the labelled rows that the classifier is fitted on.
     """
-    rows = cut_lineage(_features_of(docs, id_col, text_col, F.col(host_col).cast("string"), F.col(path_col).cast("string")))
+    rows = cut_lineage(_features_of(docs, id_col, text_col, F.col(host_col).cast("string"), F.col(path_col).cast("string"),
+                                     row_key(text_col, host_col, path_col)))
     model = fit(rows, labels, label_col, fit_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = b.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES)
+            x = b.column(4).flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES)
             z = model.logit(x) if model is not None and len(x) else np.zeros(len(x))
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(z)], names=["doc_id", "host", "path", "evidence"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(z)], names=["doc_id", "host", "path", "key", "evidence"])
 
-    scored = rows.mapInArrow(run, "doc_id long, host string, path string, evidence double")
+    scored = rows.mapInArrow(run, "doc_id long, host string, path string, key string, evidence double")
     sites = site_posteriors(scored.withColumn("p", 1 / (1 + F.exp(-F.col("evidence")))))
     sites = sites.withColumnsRenamed({"host": "_h", "path": "_p"})
     out = scored.join(sites, F.col("host").eqNullSafe(F.col("_h")) & F.col("path").eqNullSafe(F.col("_p")))
     shift = F.lit(float(site_weight)) * (_logit(F.col("path_mean")) - _logit(F.col("corpus_mean")))
     out = out.withColumn("score", 1 / (1 + F.exp(-(F.col("evidence") + shift))))
     return out.select("doc_id", "evidence", "host_mean", "path_mean", "score",
-                      (F.col("score") >= F.lit(float(threshold))).alias("keep"))
+                      (F.col("score") >= F.lit(float(threshold))).alias("keep"), "key")
 
 
-def keep_good(docs: DataFrame, scores: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def keep_good(docs: DataFrame, scores: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              host_col: str = "source", path_col: str = "lang") -> DataFrame:
     """The documents without those that score below the threshold, with the columns of ``docs``.
 
-    A rejected id drops all its rows; documents with a null id are judged together.
+    Every row is judged by the score of its own text and site, whatever its id.
     """
-    bad = scores.filter(~F.col("keep")).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__bad")), "left_anti")
+    bad = scores.filter(~F.col("keep")).select(F.col("key").alias("__bad")).distinct()
+    keyed = docs.withColumn("__key", row_key(text_col, host_col, path_col))
+    return keyed.join(bad, F.col("__key") == F.col("__bad"), "left_anti").select(*docs.columns)

@@ -16,7 +16,7 @@ VOCABULARY = packing.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"),
 
 
 def op1_quality(spark: SparkSession, d: str) -> DataFrame:
-    return quality.score_quality(read(spark, d, "documents"), read(spark, d, "labels"))
+    return quality.score_quality(read(spark, d, "documents"), read(spark, d, "labels")).drop("key")
 
 
 def op2_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:

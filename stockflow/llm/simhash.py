@@ -19,8 +19,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.common import local_components, slices, text_bytes
+from stockflow.llm.common import local_components, row_key, slices, text_bytes
 from stockflow.llm.components import components
+from stockflow.session import cut_lineage
 
 #: Members of a shard above which it is dealt again by the blocks of its remaining bits.
 SHARD_ROWS = 2048
@@ -46,16 +47,18 @@ def fingerprint(words: list[bytes], shingle: int, seed: int = 42) -> int:
     return int(bits.view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``doc_id`` and the 64-bit fingerprint as a signed long ``fp``."""
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, key_col: str | None = None) -> DataFrame:
+    """``doc_id`` and the 64-bit fingerprint as a signed long ``fp``, and the string ``key`` if asked for."""
+    extra = [] if key_col is None else [F.col(key_col).alias("key")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 500):
             fp = np.array([fingerprint(t.lower().split(), shingle) for t in text_bytes(b.column(1))], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), *b.columns[2:]],
+                                             names=["doc_id", "fp", "key"][:b.num_columns])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(
-        run, "doc_id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col), *extra).mapInArrow(
+        run, "doc_id long, fp long" + (", key string" if extra else ""))
 
 
 def blocks(n_bits: int, parts: int) -> list[tuple[int, int]]:
@@ -188,21 +191,36 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     never name a group unless all its ids are null (then the group is null). Repeated rows are
     returned as often as given. Other columns are ignored; an empty table gives no rows.
     """
-    from stockflow.session import cut_lineage
-
     marked = cut_lineage(fingerprints(docs, id_col, text_col, shingle))
     nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    # a node is named by its fingerprint; roots are fingerprints too, then the smallest id of each
-    roots = components(hamming_links(nodes.select("fp"), radius))
-    named = (nodes.join(roots, F.col("fp") == F.col("node"), "left")
-             .select("fp", F.coalesce("root", "fp").alias("root"), "low"))
+    named = _rooted(nodes, radius)
     lows = named.groupBy("root").agg(F.min("low").alias("component_id"))
     ids = named.join(lows, "root").select("fp", "component_id")
     return (marked.join(ids, "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
-def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents whose id names their group, one row each."""
-    keep = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(keep, docs[id_col].eqNullSafe(F.col("_keep")), "left_semi").dropDuplicates([id_col])
+def _rooted(nodes: DataFrame, radius: int) -> DataFrame:
+    """Distinct fingerprints ``fp`` and their ``low`` with the fingerprint ``root`` that names their group."""
+    roots = components(hamming_links(nodes.select("fp"), radius))
+    return (nodes.join(roots, F.col("fp") == F.col("node"), "left")
+            .select("fp", F.coalesce("root", "fp").alias("root"), "low"))
+
+
+def keep_one(docs: DataFrame, groups: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
+             shingle: int = 4, radius: int = 4) -> DataFrame:
+    """One document of each group, with the columns of ``docs``: that of the smallest id (null last).
+
+    Of rows that share this id the smallest hash of text and columns decides. Groups are told
+    apart by their fingerprints: ids may be null or repeat, so ``groups`` (the result of
+    ``simhash_groups``) cannot tell them and is not read.
+    """
+    keyed = docs.withColumn("__key", row_key(text_col, *(c for c in docs.columns if c != text_col)))
+    slim = keyed.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col("__key").alias("key"))
+    marked = cut_lineage(fingerprints(slim, "doc_id", "text", shingle, "key"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    named = _rooted(marked.groupBy("fp").agg(F.min(order).alias("low")), radius)
+    keep = named.groupBy("root").agg(F.min("low").alias("low")).select(F.col("low.key").alias("__keep"))
+    # rows alike in all columns are one before they meet the join
+    once = keyed.dropDuplicates(["__key"])
+    return once.join(keep, F.col("__key") == F.col("__keep"), "left_semi").select(*docs.columns)

@@ -53,3 +53,17 @@ def test_features_are_finite():
     for t in (b"", b" ", b"a", b"\n\n", "é".encode() * 50):
         x = features(t)
         assert len(x) == N_FEATURES and np.isfinite(x).all()
+
+
+def test_rows_are_judged_each_on_its_own(make_docs, llm_spark):
+    rows, labels = corpus()
+    lab = llm_spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    rows = [r for r in rows if r[0] is not None and r[0] < 400]
+    rows += [(None, rows[k][1], "s1") for k in range(40)] + [(7000, rows[k][1], "s2") for k in range(40)]
+    docs = make_docs(rows)
+    scores = score_quality(docs, lab)
+    kept = keep_good(docs, scores).select("doc_id", "text").collect()
+    want = [(r.doc_id, r.keep) for r in scores.collect()]
+    for i in (None, 7000):
+        assert 20 < sum(k for d, k in want if d == i) == sum(r.doc_id == i for r in kept) < 40
+    assert len(kept) == sum(k for _, k in want)

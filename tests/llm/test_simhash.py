@@ -89,3 +89,17 @@ def test_groups_by_brute_force(make_docs):
 def test_fingerprint_small():
     for t in ("", "a", "a b c d", "a b c d e f g a b c d"):
         assert fingerprint(t.encode().split(), 4) == brute_fp(t)
+
+
+def test_one_row_of_each_group_under_null_and_repeated_ids(make_docs):
+    rng = random.Random(2)
+    text = lambda: " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(80))
+    rows = [(None, text()), (None, text()), (None, text()), (7, text()), (7, text()), (8, text())]
+    rows += [rows[0]] * 3 + [(None, rows[5][1]), (9, rows[1][1]), (8, rows[5][1]), (None, None), (None, "")]
+    lab = brute_groups([brute_fp(t) for _, t in rows], 4)
+    kept = sorted(((r.doc_id, r.text) for r in keep_one(make_docs(rows)).collect()), key=str)
+    by = {r: g for r, g in zip(rows, lab)}
+    assert sorted(by[r] for r in kept) == sorted(set(lab)) and len(set(lab)) == 7
+    low = lambda g: min((r[0] is None, r[0] or 0) for r in rows if by[r] == g)
+    assert all((i is None, i or 0) == low(by[i, t]) for i, t in kept)
+    assert sorted(((r.doc_id, r.text) for r in keep_one(make_docs(rows[::-1])).collect()), key=str) == kept
