@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stockflow.llm import int8_join, mixing, one_bit, packing, ppm, quality, secret_scan, simhash, suffix_dedup, toxicity
+from stockflow.llm import (collocations, hard_negatives, int8_join, line_dedup, mixing, one_bit, packing, ppm, quality,
+                           secret_scan, simhash, suffix_dedup, toxicity)
 from stockflow.llm.common import read, small_batches
 
 
@@ -56,6 +58,20 @@ def op10_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.best_fit_pack(read(spark, d, "documents"), VOCABULARY)
 
 
+def op11_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return line_dedup.remove_shared_lines(read(spark, d, "documents"), min_chars=40, min_docs=5).drop("kept")
+
+
+def op12_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(read(spark, d, "embeddings"), label=moved, every=100, positives=5,
+                                              negatives=10, low=30, high=90)
+
+
+def op13_collocations(spark: SparkSession, d: str) -> DataFrame:
+    return collocations.mine_collocations(read(spark, d, "documents"), at_least=30, top=2000)
+
+
 def _bound(f: Callable) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, d: str) -> DataFrame:
         small_batches(spark)
@@ -64,7 +80,8 @@ def _bound(f: Callable) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-QUERIES = {f.__name__: _bound(f) for f in (op1_quality, op2_suffix_dedup, op3_nearest, op4_toxicity, op5_secrets, op6_ppm, op7_near_vectors, op8_simhash, op9_mixing, op10_packing)}
+QUERIES = {f.__name__: _bound(f) for f in (op1_quality, op2_suffix_dedup, op3_nearest, op4_toxicity, op5_secrets, op6_ppm, op7_near_vectors, op8_simhash, op9_mixing, op10_packing,
+                                          op11_line_dedup, op12_hard_negatives, op13_collocations)}
 
 #: Places come from a running sum over all rows of a source, targets from the caps in the order
 #: in which sources fill.
@@ -103,4 +120,5 @@ select doc_id, cast(size as bigint) as size, source_size, target,
 from p
 """
 
-ORACLE_SQL: dict[str, str] = {"op9_mixing": OP9_SQL}
+ORACLE_SQL: dict[str, str] = {"op9_mixing": OP9_SQL, "op11_line_dedup": line_dedup.SQL,
+                              "op12_hard_negatives": hard_negatives.SQL, "op13_collocations": collocations.SQL}
