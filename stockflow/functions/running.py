@@ -1,25 +1,17 @@
-"""Skew-safe running (prefix) sums per key.
-
-A plain ``sum(x) over (partition by key order by seq)`` sends every row of a key to one task;
-a key holding a third of the ledger would then run as one task. Here the ordered sequence of a
-key is cut into chunks (``chunk`` = a bucket of the ordering, e.g. the hour of the event time),
-which is the classic two-level parallel prefix sum:
-
-1. a running sum inside each (key, chunk) - bounded size, many tasks;
-2. one total per (key, chunk), and an exclusive running sum of the totals per key - a table
-   with one row per (key, chunk), tiny compared to the rows;
-3. the per-chunk offset joined back on (key, chunk) - the big side is already partitioned by
-   (key, chunk) after step 1, so only the small offset table moves.
-
-Only keys that are actually big take that path. A first cheap pass counts rows per key (partial
-aggregation); keys above ``hot_rows`` rows are "hot". There are at most ``N / hot_rows`` of them,
-a proven bound, so their list is broadcast. Cold keys (at most ``hot_rows`` rows each, so one task
-per key is fine) use the plain per-key window; hot keys use the chunked form. When the probe finds
-no hot key at all, the plan is just the per-key window.
-
-Optionally the running *minimum* of a prefix sum is produced the same way (minimum inside the
-chunk so far, combined with the minimum over all earlier chunks) - "has the balance ever dipped
-below zero up to this row" without any per-key sort.
+"""Ordered sequences over many keys, cut into chunks of a set number of rows.
+
+A per-key window sends every row of a key to one task; a key that holds half of the ledger would
+run as one task. Here the whole table is range-sorted by (key, order) and cut into chunks of about
+``CHUNK_ROWS`` rows, whatever the keys: a chunk holds many small keys, or a piece of a large one,
+even when all its rows carry the same time. Everything that follows the order is computed in two
+levels, in one plan for every key:
+
+1. inside each (chunk, key) segment, many tasks of bounded size;
+2. over the summaries of a key's segments, one row each. Only the first key of a chunk can go on from
+   the chunk before, so the results of this level that matter (the carries) are at most one a
+   chunk: a proven bound, and they are broadcast back to the rows.
+
+The chunk number is fixed in the checkpoint, so a lost executor cannot change the cut.
 """
 
 from __future__ import annotations
@@ -29,108 +21,78 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockflow.session import cut_lineage
+
 CHUNK = "_chunk"
+CHUNK_ROWS = 1_000_000                 # rows of a chunk, the most a task meets of one key
+CHUNK_CONF = "stockflow.chunkRows"     # session setting overriding CHUNK_ROWS
 
 
-def time_chunk(ts_col: str, seconds: int = 3600) -> Column:
-    """Chunk id = the ``seconds``-wide bucket of a zone-less timestamp (contiguous in time order).
+def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int | None = None) -> DataFrame:
+    """``df`` range-sorted by keys and order, with its chunk number in ``_chunk``, checkpointed.
 
-    Seconds since 1970-01-01 are computed from the wall-clock fields, so no session zone (and no
-    daylight-saving jump) can reorder the buckets.
+    ``order`` must be a total order inside a key. Chunk numbers ascend along (keys, order).
     """
-    t = F.col(ts_col)
-    secs = (F.datediff(F.to_date(t), F.lit("1970-01-01").cast("date")).cast("long") * 86400
-            + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t))
-    return F.floor(secs / F.lit(seconds)).cast("long")
+    conf = df.sparkSession.conf
+    if chunk_rows is None:
+        chunk_rows = int(conf.get(CHUNK_CONF, str(CHUNK_ROWS)))
+    chunks = max(int(conf.get("spark.sql.shuffle.partitions")), -(-df.count() // chunk_rows))
+    ranged = df.repartitionByRange(chunks, *keys, *order)
+    return cut_lineage(ranged.withColumn(CHUNK, F.spark_partition_id()))
 
 
-HOT_KEY_ROWS = 4_000_000   # rows per key above which a key is split into chunks
-HOT_KEY_CONF = "stockflow.hotKeyRows"   # session setting overriding HOT_KEY_ROWS
+def segment_window(keys: Sequence[str], order: Sequence[str]):
+    """Running window inside a (chunk, key) segment."""
+    return (Window.partitionBy(CHUNK, *keys).orderBy(*[F.col(c) for c in order])
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
 
 
-PROBE = "probe"
+def earlier_segments(keys: Sequence[str]):
+    """Window over the segments of a key before the current one."""
+    return Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows in ``df``, or None when there is none.
+def with_carries(rows: DataFrame, carries: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` with the carry columns of their segment; NULL where a key starts in the segment.
 
-    One partial aggregate and its maximum reach the driver; the returned frame has at most
-    ``rows / hot_rows`` rows (a proven bound), so it may be broadcast.
-    """
-    if hot_rows is None:
-        hot_rows = int(df.sparkSession.conf.get(HOT_KEY_CONF, str(HOT_KEY_ROWS)))
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    # one job, one number to the driver (take(1) on an empty result would scan in rounds)
-    biggest = counts.agg(F.max("_n").alias("m")).collect()[0].m
-    if biggest is None or biggest <= hot_rows:
-        return None
-    return counts.filter(F.col("_n") > hot_rows).select(*keys)
-
-
-def running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column,
-                 values: dict[str, Column], mins: Sequence[str] = (),
-                 hot_rows: int | None = None, probe: DataFrame | None = None,
-                 hot: DataFrame | None | str = PROBE) -> DataFrame:
-    """Inclusive running sums per key, skew-safe (see the module text); arguments as in
-    ``chunked_running_sums``. ``hot_rows`` (default ``HOT_KEY_ROWS``) separates cold from hot keys;
-    ``probe`` is an optional cheaper frame with (nearly) the same rows per key to count on.
-
-    ``hot`` may carry the hot keys already known to the caller (a frame over a subset of
-    ``keys``, or None for "no key is hot"), which skips the probe.
+    ``carries`` holds at most one row a chunk (see the module text), so it is broadcast.
     """
+    on = [CHUNK, *keys]
+    right = carries.select(*[F.col(c).alias(f"_c_{c}") for c in on], *[c for c in carries.columns if c not in on])
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_c_{c}"))
+    return rows.join(F.broadcast(right), cond, "left").drop(*[f"_c_{c}" for c in on])
+
+
+def running_sums(rows: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column]) -> DataFrame:
+    """Add inclusive running sums ``out = sum(expr)`` per ``keys`` in ``order`` to rows that went
+    through ``chunked`` (and perhaps lost some since: segments stay in order)."""
     keys = list(keys)
-    w = (Window.partitionBy(*keys).orderBy(*[F.col(c) for c in order])
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-
-    def per_key_window(rows: DataFrame) -> DataFrame:
-        out = rows.select("*", *[F.sum(e).over(w).cast("long").alias(o) for o, e in values.items()])
-        if mins:
-            out = out.select("*", *[F.min(o).over(w).cast("long").alias(f"{o}_min") for o in mins])
-        return out
-
-    if isinstance(hot, str):
-        # A tiny existence probe (one partial aggregate, one row to the driver) decides the plan
-        # shape: without hot keys the plain per-key window is exact and cheapest.
-        hot = hot_keys(probe.select(*keys) if probe is not None else df.select(*keys), keys, hot_rows)
-    if hot is None:
-        return per_key_window(df)
-    on = list(hot.columns)
-    hot = F.broadcast(hot)   # at most rows / hot_rows keys
-    cold = per_key_window(df.join(hot, on, "left_anti"))
-    return cold.unionByName(chunked_running_sums(df.join(hot, on, "left_semi"), keys, order, chunk,
-                                                 values, mins))
-
-
-def chunked_running_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column,
-                         values: dict[str, Column], mins: Sequence[str] = ()) -> DataFrame:
-    """Add inclusive running sums ``out = sum(expr)`` per ``keys`` in ``order``; for each name in
-    ``mins`` also ``{out}_min`` = the minimum of that running sum over the rows so far.
-
-    ``order`` must be a total order inside a key and ``chunk`` monotone in it (non-decreasing
-    along the order), so that chunk boundaries cut the sequence into contiguous pieces.
+    w = segment_window(keys, order)
+    local = rows.select("*", *[F.sum(e).over(w).alias(f"_loc_{o}") for o, e in values.items()])
+    totals = rows.groupBy(CHUNK, *keys).agg(*[F.sum(e).alias(f"_tot_{o}") for o, e in values.items()])
+    ahead = earlier_segments(keys)
+    carries = (totals.select(CHUNK, *keys, F.count(F.lit(1)).over(ahead).alias("_before"),
+                             *[F.sum(f"_tot_{o}").over(ahead).alias(f"_off_{o}") for o in values])
+               .filter(F.col("_before") > 0).drop("_before"))
+    joined = with_carries(local, carries, keys)
+    zero = F.lit(0)
+    return joined.select(*rows.columns, *[
+        (F.coalesce(F.col(f"_off_{o}"), zero) + F.coalesce(F.col(f"_loc_{o}"), zero)).cast("long").alias(o) for o in values])
+
+
+def dense_ids(df: DataFrame, order: Sequence[str], name: str, start: int = 1) -> DataFrame:
+    """Number the rows ``start``, ``start + 1``, ... in ``order`` (a total order), without a window
+    over all rows: range sort, rows per partition, and the sum of the partitions before.
+
+    Numbers depend on the rows and their order alone, never on partitions or reruns.
     """
-    keys = list(keys)
-    part = keys + [CHUNK]
-    staged = df.withColumn(CHUNK, chunk)
-    w_local = (Window.partitionBy(*part).orderBy(*[F.col(c) for c in order])
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = staged.select("*", *[F.sum(e).over(w_local).alias(f"_loc_{o}") for o, e in values.items()])
-    if mins:
-        local = local.select("*", *[F.min(f"_loc_{o}").over(w_local).alias(f"_lmin_{o}") for o in mins])
-    # Per-chunk totals (and minima) on the (key, chunk) partitioning the window already has.
-    aggs = [F.sum(e).alias(f"_tot_{o}") for o, e in values.items()]
-    aggs += [F.min(f"_loc_{o}").alias(f"_cmin_{o}") for o in mins]
-    totals = local.groupBy(*part).agg(*aggs)
-    w_prev = Window.partitionBy(*keys).orderBy(F.col(CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*part, *[f"_cmin_{o}" for o in mins],
-                            *[F.coalesce(F.sum(f"_tot_{o}").over(w_prev), F.lit(0)).alias(f"_off_{o}")
-                              for o in values])
-    if mins:
-        offsets = offsets.select(*part, *[f"_off_{o}" for o in values], *[
-            F.min(F.col(f"_off_{o}") + F.col(f"_cmin_{o}")).over(w_prev).alias(f"_pmin_{o}") for o in mins])
-    joined = local.join(offsets, on=part, how="inner")
-    outs = [(F.col(f"_off_{o}") + F.col(f"_loc_{o}")).cast("long").alias(o) for o in values]
-    outs += [F.least(F.coalesce(F.col(f"_pmin_{o}"), F.col(f"_off_{o}") + F.col(f"_lmin_{o}")),
-                     F.col(f"_off_{o}") + F.col(f"_lmin_{o}")).cast("long").alias(f"{o}_min") for o in mins]
-    keep = [c for c in df.columns]
-    return joined.select(*keep, *outs)
+    ranged = cut_lineage(df.repartitionByRange(*[F.col(c) for c in order]).withColumn(CHUNK, F.spark_partition_id()))
+    sizes = ranged.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("_n"))
+    ahead = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)       # one row a partition
+    starts = sizes.select(CHUNK, F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
+    inside = F.row_number().over(Window.partitionBy(CHUNK).orderBy(*[F.col(c) for c in order]))
+    return (ranged.withColumn("_at", inside).join(F.broadcast(starts), CHUNK)
+            .withColumn(name, (F.col("_ahead") + F.col("_at") + F.lit(start - 1)).cast("long"))
+            .drop("_ahead", "_at", CHUNK))

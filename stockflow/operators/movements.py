@@ -1,165 +1,25 @@
-"""Stock movements (C1-C5): order admission, receipts, ledger append, cancellation restock and
-running stock positions, as bulk operators over a batch of movements.
-
-C1 (admission) is the only inherently sequential rule: an order is admitted when the stock left
-by the earlier *admitted* movements of its key covers it, and a rejected order consumes nothing,
-so it is not a cumulative sum. Plan:
-
-* row-local rejections (invalid quantity) are decided by expressions;
-* the opening stock is put into the sequence as a first pseudo-row and the unconstrained balance
-  is a skew-safe chunked prefix sum (``functions.running``);
-* every row of a key before the first point where that balance turns negative is exactly the
-  unconstrained walk - admitted, with balances from the prefix sum (the common case, relational);
-* only the remaining suffix of the keys that dip (and keys without a stock row) is folded in
-  order: hash-partitioned by key, sorted inside partitions, and streamed through ``mapInPandas``
-  holding one balance per key, so no group is ever collected in memory.
+"""Stock movements (C1b-C5): order outputs, receipts, ledger append, cancellation restock and
+running stock positions, as bulk operators over a batch of movements. The admission itself (C1) is in
+``operators.admission``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from stockflow.functions.exprs import insufficient_message, ts_lit
-from stockflow.functions.running import PROBE, running_sums, time_chunk
-
-KEY = ["product_id", "warehouse_id"]
-ORDER_COLS = ["_is_req", "request_time", "request_id"]   # opening pseudo-row first, then arrival
-MIN_CHUNK = -(2 ** 62)
-
-# Reject reasons (the source raises an error in each case and leaves no trace).
-NO_STOCK_ROW = "NO_STOCK_ROW"
-INSUFFICIENT_STOCK = "INSUFFICIENT_STOCK"
-INVALID_QTY = "INVALID_QTY"
-NEGATIVE_STOCK = "NEGATIVE_STOCK"     # a receipt that would leave negative stock (CHECK >= 0)
-
-ADMITTED_SCHEMA = T.StructType([
-    T.StructField("request_id", T.LongType()), T.StructField("request_time", T.TimestampNTZType()),
-    T.StructField("product_id", T.LongType()), T.StructField("warehouse_id", T.LongType()),
-    T.StructField("kind", T.StringType()), T.StructField("qty", T.LongType()),
-    T.StructField("accepted", T.BooleanType()), T.StructField("reject_reason", T.StringType()),
-    T.StructField("available", T.LongType()), T.StructField("qty_after", T.LongType()),
-    T.StructField("stock_updated", T.BooleanType()),
-])
-
-
-def _fold(batches):
-    """Sequential admission over rows sorted by (key, order); state = one key's balance."""
-    cur = None
-    exists, bal = False, 0
-    for pdf in batches:
-        n = len(pdf)
-        acc, why, avail, after, upd = [None] * n, [None] * n, [None] * n, [None] * n, [None] * n
-        # plain Python lists: per-row access is several times faster than numpy scalars
-        pid, wid = pdf["product_id"].tolist(), pdf["warehouse_id"].tolist()
-        kind, qty = pdf["kind"].tolist(), pdf["qty_v"].tolist()
-        qnull = pdf["qty_null"].tolist()
-        s_ex, s_bal = pdf["start_exists"].tolist(), pdf["start_balance"].tolist()
-        for i in range(n):
-            key = (pid[i], wid[i])
-            if key != cur:
-                cur, exists, bal = key, bool(s_ex[i]), int(s_bal[i])
-            k, q = kind[i], qty[i]
-            before = bal if exists else None
-            ok, reason, updated = True, None, False
-            if k == "ORDER":
-                if not exists:
-                    ok, reason = False, NO_STOCK_ROW
-                elif qnull[i] or q <= 0:
-                    ok, reason = False, INVALID_QTY
-                elif bal < q:
-                    ok, reason = False, INSUFFICIENT_STOCK
-                else:
-                    bal -= q
-                    updated = True
-            elif k == "RECEIPT":
-                if qnull[i]:
-                    ok, reason = False, INVALID_QTY
-                elif not exists:
-                    if q >= 0:
-                        exists, bal = True, q          # MERGE insert: creates the row, no UPDATE
-                    else:
-                        ok, reason = False, NEGATIVE_STOCK
-                elif bal + q < 0:
-                    ok, reason = False, NEGATIVE_STOCK
-                else:
-                    bal += q
-                    updated = True
-            else:  # RESTOCK: an UPDATE; touches nothing when the row is missing
-                if qnull[i] or q <= 0:
-                    ok, reason = False, INVALID_QTY
-                elif exists:
-                    bal += q
-                    updated = True
-            acc[i], why[i], avail[i], upd[i] = ok, reason, before, updated
-            after[i] = bal if exists else None
-        yield pd.DataFrame({
-            "request_id": pdf["request_id"], "request_time": pdf["request_time"],
-            "product_id": pdf["product_id"], "warehouse_id": pdf["warehouse_id"],
-            "kind": pdf["kind"],
-            "qty": pd.array([None if nn else v for v, nn in zip(qty, qnull)], dtype="Int64"),
-            "accepted": acc, "reject_reason": why,
-            "available": pd.array(avail, dtype="Int64"), "qty_after": pd.array(after, dtype="Int64"),
-            "stock_updated": upd})
-
-
-def admit_movements(requests: DataFrame, stock: DataFrame, chunk_seconds: int = 3600,
-                    fold_partitions: int | None = None, hot=PROBE) -> DataFrame:
-    """Apply order requests (and interleaved receipts / restocks) in (request_time, request_id)
-    order per (product, warehouse) against the opening ``stock``.
-
-    Output per request: accepted, reject_reason (NO_STOCK_ROW, INSUFFICIENT_STOCK, INVALID_QTY,
-    NEGATIVE_STOCK), available (stock before), qty_after, stock_updated (an UPDATE of an existing
-    stock row happened - what the alert rules react to) and the rejection message.
-    ``hot``: hot (product, warehouse) keys if already known (see ``running.running_sums``).
-    """
-    q = F.col("qty")
-    invalid = (q.isNull() | ((F.col("kind") != "RECEIPT") & (q <= 0)))
-    req = requests.select(
-        "request_id", "request_time", *KEY, "kind", "qty", F.lit(1).alias("_is_req"),
-        F.when(invalid, F.lit(0)).when(F.col("kind") == "ORDER", -q).otherwise(q).cast("long").alias("_delta"))
-    opening = stock.select(*KEY, F.lit(None).cast("long").alias("request_id"),
-                           F.lit(None).cast("timestamp_ntz").alias("request_time"),
-                           F.lit("OPEN").alias("kind"), F.col("qty_on_hand").cast("long").alias("qty"),
-                           F.lit(0).alias("_is_req"), F.col("qty_on_hand").cast("long").alias("_delta"))
-    seq = req.unionByName(opening)
-    chunk = F.when(F.col("_is_req") == 0, F.lit(MIN_CHUNK)).otherwise(time_chunk("request_time", chunk_seconds))
-    walked = running_sums(seq, KEY, ORDER_COLS, chunk,
-                          {"_bal": F.col("_delta"), "_has_open": (1 - F.col("_is_req")).cast("long")},
-                          mins=["_bal"], probe=req.select(*KEY), hot=hot)
-    rows = walked.filter(F.col("_is_req") == 1)
-    before = F.col("_bal") - F.col("_delta")
-    # From the first row where the unconstrained walk dips below zero (or for a key without a
-    # stock row) the outcome depends on earlier rejections: those rows go through the fold.
-    in_fold = (F.col("_has_open") == 0) | (F.col("_bal_min") < 0)
-
-    # Rows before a key's first dip are exactly the unconstrained walk (never INSUFFICIENT).
-    fast = rows.filter(~in_fold).select(
-        "request_id", "request_time", *KEY, "kind", "qty",
-        (~invalid).alias("accepted"),
-        F.when(invalid, F.lit(INVALID_QTY)).alias("reject_reason"),
-        before.alias("available"), F.col("_bal").alias("qty_after"),
-        (~invalid).alias("stock_updated"), F.lit(None).cast("string").alias("message"))
-
-    # The walk is exact up to the first folded row of a key, so that row's balance-before is the
-    # fold's starting balance; the fold reads it when the key changes.
-    slow_in = rows.filter(in_fold).select(
-        "request_id", "request_time", *KEY, "kind",
-        F.coalesce(q, F.lit(0)).cast("long").alias("qty_v"), q.isNull().alias("qty_null"),
-        (F.col("_has_open") > 0).alias("start_exists"),
-        before.cast("long").alias("start_balance"))
-    # Without a fixed count AQE sizes the fold's partitions from the rows that actually dip.
-    parted = slow_in.repartition(fold_partitions, *KEY) if fold_partitions else slow_in.repartition(*KEY)
-    slow = (parted
-            .sortWithinPartitions(*KEY, "request_time", "request_id")
-            .mapInPandas(_fold, ADMITTED_SCHEMA))
-    slow = slow.select("*", F.when(F.col("reject_reason") == INSUFFICIENT_STOCK,
-                                   insufficient_message("available", "qty")).alias("message"))
-    return fast.unionByName(slow)
+
+from stockflow.functions.exprs import ts_lit
+from stockflow.functions.running import CHUNK, chunked, dense_ids, running_sums
+from stockflow.operators.admission import (INSUFFICIENT_STOCK, INVALID_QTY, KEY, NEGATIVE_STOCK, NO_STOCK_ROW, SCAN,
+                                           admit_movements, admit_sequence)
+
+__all__ = ["INSUFFICIENT_STOCK", "INVALID_QTY", "KEY", "NEGATIVE_STOCK", "NO_STOCK_ROW", "SCAN", "admit_movements",
+           "admit_sequence", "order_outputs", "movement_ledger", "closing_stock", "receive_stock", "receipt_ledger",
+           "ledger_append", "write_ledger", "read_ledger", "cancel_restock", "cancel_updates", "stock_position"]
+
+UNKNOWN_KEY = "UNKNOWN_KEY"           # a receipt for a product or warehouse that does not exist (foreign keys)
 
 
 def order_outputs(admitted: DataFrame, actor: str = "SYSTEM") -> dict[str, DataFrame]:
@@ -181,9 +41,10 @@ def order_outputs(admitted: DataFrame, actor: str = "SYSTEM") -> dict[str, DataF
 def movement_ledger(admitted: DataFrame, actor: str = "SYSTEM") -> DataFrame:
     """The ledger rows written by admitted movements: ISSUE (-qty), RECEIPT (+qty), ADJUSTMENT (+qty).
 
-    A restock is logged even when no stock row exists (the source writes the row regardless).
+    A restock is logged even when no stock row exists (the source writes the row regardless); a
+    scan moves nothing.
     """
-    ok = admitted.filter(F.col("accepted"))
+    ok = admitted.filter(F.col("accepted") & (F.col("kind") != SCAN))
     k = F.col("kind")
     return ok.select(
         F.col("request_id").alias("log_id"), *KEY,
@@ -195,7 +56,7 @@ def movement_ledger(admitted: DataFrame, actor: str = "SYSTEM") -> DataFrame:
 def closing_stock(admitted: DataFrame, opening: DataFrame) -> DataFrame:
     """Stock after the batch: per key the balance and time of the last movement that wrote the
     stock row (accepted, row present); keys without one keep their opening row."""
-    last = (admitted.filter(F.col("accepted") & F.col("qty_after").isNotNull())
+    last = (admitted.filter(F.col("accepted") & F.col("qty_after").isNotNull() & (F.col("kind") != SCAN))
             .groupBy(*KEY).agg(F.max_by(F.struct("qty_after", "request_time"),
                                         F.struct("request_time", "request_id")).alias("_l")))
     o = opening.select(*KEY, "qty_on_hand", "last_updated")
@@ -204,65 +65,79 @@ def closing_stock(admitted: DataFrame, opening: DataFrame) -> DataFrame:
                     F.coalesce("_l.request_time", "last_updated").alias("last_updated"))
 
 
-def receive_stock(stock: DataFrame, receipts: DataFrame, products: DataFrame | None = None,
-                  warehouses: DataFrame | None = None) -> DataFrame:
-    """Upsert receipts into the stock snapshot (MERGE: matched -> add, else insert).
+def judge_receipts(stock: DataFrame, receipts: DataFrame, products: DataFrame | None = None,
+                   warehouses: DataFrame | None = None) -> DataFrame:
+    """Every receipt with its verdict: ``accepted``, ``reject_reason`` (UNKNOWN_KEY, INVALID_QTY,
+    NEGATIVE_STOCK) beside ``receipt_id``, key, ``qty``, ``received_at``.
 
-    Receipts per key are summed (partial aggregation, then one full outer join). A key with a
-    negative or NULL receipt depends on order (the stock may not go below zero in between), so
-    those keys alone go through the exact admission fold. New rows need a known product and
-    warehouse (foreign keys); receipts that fail are dropped.
+    A receipt that is not negative always stands on its own. Only keys with a negative receipt depend
+    on the order (the stock may not go below zero in between); those go through the admission.
     """
     r = receipts.select(*KEY, F.col("qty").cast("long").alias("qty"),
                         F.col("received_at").cast("timestamp_ntz").alias("received_at"),
                         F.col("receipt_id").cast("long").alias("receipt_id"))
-    if products is not None:
-        r = r.join(products.select("product_id"), "product_id", "left_semi")
-    if warehouses is not None:
-        r = r.join(warehouses.select("warehouse_id"), "warehouse_id", "left_semi")
-    odd_keys = r.filter(F.col("qty").isNull() | (F.col("qty") < 0)).select(*KEY).distinct()
-    if r.agg(F.count(F.when(F.col("qty").isNull() | (F.col("qty") < 0), 1)).alias("n")).collect()[0].n == 0:
-        # the usual case: every receipt is a plain addition (checked with one global count)
-        return _merge_receipts(stock, r)
-    simple = r.join(odd_keys, KEY, "left_anti")
-    s = stock.select(*KEY, "qty_on_hand", "last_updated")
-    merged = _merge_receipts(s, simple)
-    # Exact path for order-dependent keys.
-    hard = r.join(odd_keys, KEY, "left_semi").select(
-        F.col("receipt_id").alias("request_id"), F.col("received_at").alias("request_time"), *KEY,
-        F.lit("RECEIPT").alias("kind"), "qty")
-    hard_stock = s.join(odd_keys, KEY, "left_semi")
-    folded = closing_stock(admit_movements(hard, hard_stock), hard_stock)
-    return merged.join(odd_keys, KEY, "left_anti").unionByName(folded)
-
-
-def _merge_receipts(stock: DataFrame, receipts: DataFrame) -> DataFrame:
-    add = receipts.groupBy(*KEY).agg(F.sum("qty").cast("long").alias("_add"),
-                                     F.max("received_at").alias("_at"))
+    known = F.col("product_id").isNotNull() & F.col("warehouse_id").isNotNull()
+    for dim, key in ((products, "product_id"), (warehouses, "warehouse_id")):
+        if dim is not None:
+            r = r.join(dim.select(key).withColumn(f"_{key}", F.lit(True)), key, "left")
+            known = known & F.col(f"_{key}").isNotNull()
+    reason = F.when(~known, UNKNOWN_KEY).when(F.col("qty").isNull(), INVALID_QTY)
+    r = r.select("receipt_id", *KEY, "qty", "received_at", reason.alias("reject_reason"))
+    cols = ["receipt_id", *KEY, "qty", "received_at", "accepted", "reject_reason"]
+    odd = (r.filter(F.col("reject_reason").isNull() & (F.col("qty") < 0)).select(*KEY).distinct())
+    plain = r.filter(F.col("reject_reason").isNull()).join(odd, KEY, "left_anti")
+    requests = (r.filter(F.col("reject_reason").isNull()).join(odd, KEY, "left_semi")
+                .select(F.col("receipt_id").alias("request_id"), F.col("received_at").alias("request_time"), *KEY,
+                        F.lit("RECEIPT").alias("kind"), "qty"))
+    judged = admit_movements(requests, stock.join(odd, KEY, "left_semi")).select(
+        F.col("request_id").alias("receipt_id"), *KEY, "qty", F.col("request_time").alias("received_at"), "accepted", "reject_reason")
+    return (r.filter(F.col("reject_reason").isNotNull()).withColumn("accepted", F.lit(False)).select(*cols)
+            .unionByName(plain.withColumn("accepted", F.lit(True)).select(*cols)).unionByName(judged.select(*cols)))
+
+
+def receive_stock(stock: DataFrame, receipts: DataFrame, products: DataFrame | None = None,
+                  warehouses: DataFrame | None = None) -> DataFrame:
+    """Upsert receipts into the stock snapshot (MERGE: matched -> add, else insert).
+
+    Accepted receipts (``judge_receipts``) are summed per key (partial aggregation, then one full
+    outer join). New rows need a known product and warehouse (foreign keys); receipts that fail
+    leave no trace.
+    """
+    ok = judge_receipts(stock, receipts, products, warehouses).filter("accepted")
+    add = ok.groupBy(*KEY).agg(F.sum("qty").cast("long").alias("_add"), F.max("received_at").alias("_at"))
     s = stock.select(*KEY, "qty_on_hand", "last_updated")
     return s.join(add, KEY, "full_outer").select(
         *KEY, (F.coalesce("qty_on_hand", F.lit(0)) + F.coalesce("_add", F.lit(0))).cast("long").alias("qty_on_hand"),
         F.coalesce("_at", "last_updated").alias("last_updated"))
 
 
-def receipt_ledger(receipts: DataFrame, actor: str = "SYSTEM") -> DataFrame:
-    """RECEIPT ledger rows of a receipt batch (one per receipt)."""
-    return receipts.select(F.col("receipt_id").alias("log_id"), *KEY, F.lit("RECEIPT").alias("txn_type"),
-                           F.col("qty").cast("long").alias("qty_change"),
-                           F.col("received_at").alias("txn_time"), F.lit(actor).alias("performed_by"))
+def receipt_ledger(judged: DataFrame, actor: str = "SYSTEM") -> DataFrame:
+    """RECEIPT ledger rows of the accepted receipts of ``judge_receipts``; rejected ones rolled back."""
+    return judged.filter("accepted").select(
+        F.col("receipt_id").alias("log_id"), *KEY, F.lit("RECEIPT").alias("txn_type"),
+        F.col("qty").cast("long").alias("qty_change"), F.col("received_at").alias("txn_time"),
+        F.lit(actor).alias("performed_by"))
 
 
 LEDGER_COLS = ["log_id", "product_id", "warehouse_id", "txn_type", "qty_change", "txn_time", "performed_by"]
 
 
 def ledger_append(existing: DataFrame | None, rows: DataFrame, as_of: dt.datetime,
-                  actor: str = "SYSTEM") -> DataFrame:
+                  actor: str = "SYSTEM", number_by: list[str] | None = None) -> DataFrame:
     """Append typed movement rows to the ledger; omitted txn_time / performed_by take the
-    defaults (the clock ``as_of`` and the acting user). Adds ``txn_date``, the partition column."""
+    defaults (the clock ``as_of`` and the acting user). Adds ``txn_date``, the partition column.
+
+    ``number_by`` (a total order of ``rows``) gives the rows new ids that follow the largest of the
+    ledger without gaps, as the source's identity column does.
+    """
     if "txn_time" not in rows.columns:
         rows = rows.withColumn("txn_time", ts_lit(as_of))
     if "performed_by" not in rows.columns:
         rows = rows.withColumn("performed_by", F.lit(actor))
+    if number_by:
+        last = existing.agg(F.max("log_id")).first()[0] if existing is not None else None
+        rows = dense_ids(rows.withColumnRenamed("log_id", "_from"), ["_from" if c == "log_id" else c for c in number_by],
+                         "log_id", 1 if last is None else last + 1)
     rows = rows.select(*LEDGER_COLS)
     out = rows if existing is None else existing.select(*LEDGER_COLS).unionByName(rows)
     return out.withColumn("txn_date", F.to_date("txn_time"))
@@ -287,6 +162,14 @@ def read_ledger(spark, path: str, since: dt.datetime | None = None) -> DataFrame
     return df
 
 
+def cancelled_items(orders_before: DataFrame, orders_after: DataFrame, items: DataFrame) -> DataFrame:
+    """Items of the orders that went from FULFILLED to CANCELLED, with the order's warehouse."""
+    b = orders_before.filter(F.col("status") == "FULFILLED").select("order_id")
+    a = orders_after.filter(F.col("status") == "CANCELLED").select("order_id", "warehouse_id")
+    it = items.select("order_item_id", "order_id", "product_id", "qty_ordered")
+    return a.join(b, "order_id", "inner").join(it, "order_id", "inner")
+
+
 def cancel_restock(orders_before: DataFrame, orders_after: DataFrame, items: DataFrame,
                    stock: DataFrame, as_of: dt.datetime, actor: str = "SYSTEM") -> dict[str, DataFrame]:
     """C4: FULFILLED -> CANCELLED transitions return every item to the order's warehouse.
@@ -295,11 +178,7 @@ def cancel_restock(orders_before: DataFrame, orders_after: DataFrame, items: Dat
     alone, but the ADJUSTMENT ledger row is still written (ledger and stock may then disagree,
     as in the source). Returns the new stock snapshot and the ADJUSTMENT rows.
     """
-    b = orders_before.filter(F.col("status") == "FULFILLED").select("order_id")
-    a = orders_after.filter(F.col("status") == "CANCELLED").select("order_id", "warehouse_id")
-    trans = a.join(b, "order_id", "inner")
-    it = items.select("order_item_id", "order_id", "product_id", "qty_ordered")
-    moved = trans.join(it, "order_id", "inner")
+    moved = cancelled_items(orders_before, orders_after, items)
     ledger = moved.select(F.col("order_item_id").alias("log_id"), *KEY,
                           F.lit("ADJUSTMENT").alias("txn_type"),
                           F.col("qty_ordered").cast("long").alias("qty_change"),
@@ -312,19 +191,32 @@ def cancel_restock(orders_before: DataFrame, orders_after: DataFrame, items: Dat
     return {"stock": new_stock, "ledger": ledger}
 
 
-def stock_position(opening: DataFrame, ledger: DataFrame, chunk_seconds: int = 3600,
-                   hot=PROBE) -> DataFrame:
+def cancel_updates(orders_before: DataFrame, orders_after: DataFrame, items: DataFrame, stock: DataFrame,
+                   as_of: dt.datetime) -> DataFrame:
+    """The stock UPDATEs of a cancellation batch, one per item in item order, as events for the
+    alert rules (columns of ``alerts.updates_from_admission``). Pairs without a stock row have none."""
+    moved = cancelled_items(orders_before, orders_after, items).join(stock.select(*KEY, "qty_on_hand"), KEY)
+    q = F.col("qty_ordered").cast("long")
+    rows = chunked(moved.select(F.col("order_item_id").alias("seq"), *KEY, ts_lit(as_of).alias("txn_time"),
+                                q.alias("_q"), "qty_on_hand"), KEY, ["seq"])
+    after = F.col("qty_on_hand") + F.col("_sum")
+    return running_sums(rows, KEY, ["seq"], {"_sum": F.col("_q")}).select(
+        "seq", *KEY, "txn_time", (after - F.col("_q")).alias("qty_before"), after.alias("qty_after"),
+        F.lit(0).cast("long").alias("issued"), F.lit(False).alias("scan"), CHUNK)
+
+
+def stock_position(opening: DataFrame, ledger: DataFrame) -> DataFrame:
     """On-hand quantity per key after every ledger movement, in (txn_time, log_id) order.
 
     ``qty_on_hand = opening + running sum(qty_change)``; the opening row is the first element of
-    each key's sequence, so one chunked prefix sum does it (no per-key window, no extra join).
+    each key's sequence, so one chunked running sum does it (no extra join).
     Keys with ledger rows but no opening row start from 0.
     """
     lg = ledger.select("log_id", *KEY, "txn_type", "qty_change", "txn_time", F.lit(1).alias("_is_req"))
     op = opening.select(F.lit(None).cast("long").alias("log_id"), *KEY, F.lit("OPEN").alias("txn_type"),
                         F.col("qty_on_hand").cast("long").alias("qty_change"),
                         F.lit(None).cast("timestamp_ntz").alias("txn_time"), F.lit(0).alias("_is_req"))
-    chunk = F.when(F.col("_is_req") == 0, F.lit(MIN_CHUNK)).otherwise(time_chunk("txn_time", chunk_seconds))
-    walked = running_sums(lg.unionByName(op), KEY, ["_is_req", "txn_time", "log_id"], chunk,
-                          {"qty_on_hand": F.col("qty_change")}, probe=ledger.select(*KEY), hot=hot)
-    return walked.filter(F.col("_is_req") == 1).drop("_is_req")
+    order = ["_is_req", "txn_time", "log_id"]
+    rows = chunked(lg.unionByName(op), KEY, order)
+    return (running_sums(rows, KEY, order, {"qty_on_hand": F.col("qty_change")})
+            .filter(F.col("_is_req") == 1).drop("_is_req", CHUNK))

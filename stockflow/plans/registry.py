@@ -17,7 +17,6 @@ from stockflow.operators import movements as mv
 from stockflow.operators import quality as dq
 from stockflow.operators import reports as rp
 from stockflow.sources import driver_tables as dt_
-from stockflow.functions.running import PROBE, hot_keys
 from stockflow.session import cut_lineage
 from stockflow.sources.driver_tables import ACTOR, EVENTS_AS_OF, LINEITEM_AS_OF
 
@@ -30,21 +29,19 @@ def _dims(spark, d):
     return dt_.products(spark, d), dt_.suppliers(spark, d), dt_.warehouses(spark, d)
 
 
-def movement_hot_keys(spark, d):
-    """Hot (product, warehouse) keys of the movement batch, probed once per pipeline: every later
-    per-key sequence (updates, ledger, alerts) has at most twice a key's movement rows."""
-    return hot_keys(dt_.movements(spark, d).select(*KEY), KEY)
+def admitted(spark, d) -> DataFrame:
+    """C1 over the events movements with the movement opening stock (one consumer)."""
+    return mv.admit_movements(dt_.movements(spark, d), dt_.movement_opening(spark, d))
 
 
-def admitted(spark, d, hot=PROBE, shared: bool = False) -> DataFrame:
-    """C1 over the events movements with the movement opening stock.
-
-    ``shared``: the batch feeds several consumers (alert epochs, ledger, forecasts), so it is
-    materialised once in the shared checkpoint folder and none of them re-runs the fold. A single
-    consumer reads the plan directly.
-    """
-    adm = mv.admit_movements(dt_.movements(spark, d), dt_.movement_opening(spark, d), hot=hot)
-    return cut_lineage(adm) if shared else adm
+def sequence(spark, d, scans: bool = False) -> DataFrame:
+    """The admitted batch for several consumers (alert rules, ledger, forecasts), with its chunks:
+    materialised once in the shared checkpoint folder, so none of them runs the admission again.
+    ``scans`` puts the reorder scans of the run into the sequence."""
+    m = dt_.movements(spark, d)
+    if scans:
+        m = m.unionByName(dt_.movement_scans(spark, d))
+    return cut_lineage(mv.admit_sequence(m, dt_.movement_opening(spark, d)))
 
 
 def movement_log(spark, d) -> DataFrame:
@@ -58,12 +55,15 @@ def scan_alerts(spark, d) -> DataFrame:
                            EVENTS_AS_OF).withColumn("resolved_flag", F.lit("N"))
 
 
-def timeline(spark, d) -> DataFrame:
+def alerts_table(spark, d, seq: DataFrame | None = None) -> DataFrame:
+    """``low_stock_alerts`` after the movement run with its scans: alerts of both paths."""
     p, s, _ = _dims(spark, d)
-    hot = movement_hot_keys(spark, d)
-    adm = admitted(spark, d, hot, shared=True)
-    raised = cut_lineage(al.alert_timeline(al.updates_from_admission(adm), p, hot=hot))
-    return al.alert_suggested_qty(raised, mv.movement_ledger(adm, ACTOR), p, s, hot=hot)
+    seq = sequence(spark, d, scans=True) if seq is None else seq
+    return al.low_stock_alerts(al.updates_from_admission(seq), p, s, mv.movement_ledger(seq, ACTOR), whole_log=True)
+
+
+def _restock(spark, d, items: DataFrame) -> tuple:
+    return dt_.orders_before(spark, d), dt_.orders_after(spark, d), items
 
 
 # -- A: reports -----------------------------------------------------------------------------
@@ -75,7 +75,7 @@ def q_stock_health(spark, d):
 
 def q_open_reorder_alerts(spark, d):
     p, s, w = _dims(spark, d)
-    return rp.open_reorder_alerts(timeline(spark, d), p, w, s)
+    return rp.open_reorder_alerts(alerts_table(spark, d), p, w, s)
 
 
 def q_monthly_consumption(spark, d):
@@ -137,64 +137,80 @@ def q_closing_stock(spark, d):
     return mv.closing_stock(admitted(spark, d), dt_.movement_opening(spark, d))
 
 
-def _receipts(spark, d):
-    lg = dt_.ledger_events(spark, d).filter(F.col("txn_type") == "RECEIPT")
-    return lg.select(F.col("log_id").alias("receipt_id"), *KEY, F.col("qty_change").alias("qty"),
-                     F.col("txn_time").alias("received_at"))
+def q_receive_stock(spark, d):
+    p, _, w = _dims(spark, d)
+    return mv.receive_stock(dt_.product_stock(spark, d), dt_.receipts(spark, d), p, w)
 
 
-def q_receive_stock(spark, d):
+def q_receive_stock_ledger(spark, d):
     p, _, w = _dims(spark, d)
-    return mv.receive_stock(dt_.product_stock(spark, d), _receipts(spark, d), p, w)
+    return mv.receipt_ledger(mv.judge_receipts(dt_.product_stock(spark, d), dt_.receipts(spark, d), p, w), ACTOR)
 
 
 def q_ledger_append(spark, d):
     return mv.ledger_append(None, movement_log(spark, d), EVENTS_AS_OF, ACTOR)
 
 
-def _cancel(spark, d):
-    return mv.cancel_restock(dt_.orders_before(spark, d), dt_.orders_after(spark, d),
-                             dt_.order_items(spark, d), dt_.product_stock(spark, d), LINEITEM_AS_OF, ACTOR)
-
-
 def q_cancel_restock(spark, d):
-    return _cancel(spark, d)["stock"]
+    return mv.cancel_restock(*_restock(spark, d, dt_.unnumbered_items(spark, d)), dt_.product_stock(spark, d),
+                             LINEITEM_AS_OF, ACTOR)["stock"]
 
 
 def q_cancel_restock_ledger(spark, d):
-    return _cancel(spark, d)["ledger"]
+    return mv.cancel_restock(*_restock(spark, d, dt_.order_items(spark, d)), dt_.product_stock(spark, d),
+                             LINEITEM_AS_OF, ACTOR)["ledger"]
+
+
+def q_cancel_restock_alerts(spark, d):
+    """C4 as updates into D1 and D2: the scan's open alerts, and those the restocks raise (pairs the
+    scan leaves out), with what the restocks resolve."""
+    p, stock = dt_.products(spark, d), dt_.product_stock(spark, d)
+    updates = mv.cancel_updates(*_restock(spark, d, dt_.order_items(spark, d)), stock, LINEITEM_AS_OF)
+    scanned = scan_alerts(spark, d)
+    old = al.resolve_alerts_on_receipt(scanned, updates, p).select(
+        F.lit("SCAN").alias("raised_by"), F.lit(None).cast("long").alias("order_item_id"), *KEY, "qty_on_hand", "resolved_flag")
+    new = al.raise_low_stock_alerts(updates, p, scanned).select(
+        F.lit("RESTOCK").alias("raised_by"), F.col("alert_id").alias("order_item_id"), *KEY, "qty_on_hand", "resolved_flag")
+    return old.unionByName(new)
 
 
 def q_stock_position(spark, d):
-    hot = movement_hot_keys(spark, d)
-    log = mv.movement_ledger(admitted(spark, d, hot), ACTOR)
-    return mv.stock_position(dt_.movement_opening(spark, d), log, hot=hot)
+    return mv.stock_position(dt_.movement_opening(spark, d), movement_log(spark, d))
 
 
 # -- D: alerts ------------------------------------------------------------------------------
 
 def q_raise_low_stock_alerts(spark, d):
     p, s, _ = _dims(spark, d)
-    hot = movement_hot_keys(spark, d)
-    adm = admitted(spark, d, hot, shared=True)
-    raised = cut_lineage(al.raise_low_stock_alerts(al.updates_from_admission(adm), p, scan_alerts(spark, d),
-                                                   hot=hot))
-    return al.alert_suggested_qty(raised, mv.movement_ledger(adm, ACTOR), p, s, hot=hot)
+    seq = sequence(spark, d)
+    raised = cut_lineage(al.raise_low_stock_alerts(al.updates_from_admission(seq), p, scan_alerts(spark, d)))
+    return al.alert_suggested_qty(raised, mv.movement_ledger(seq, ACTOR), p, s, issued=al.ISSUED)
 
 
 def q_resolve_alerts_on_receipt(spark, d):
+    """D2 on alerts of both paths: what the run left open meets the restocks of the cancelled orders."""
     p = dt_.products(spark, d)
-    return al.resolve_alerts_on_receipt(scan_alerts(spark, d), al.updates_from_admission(admitted(spark, d)), p)
+    seq = sequence(spark, d, scans=True)
+    closing = mv.closing_stock(seq, dt_.movement_opening(spark, d))
+    updates = mv.cancel_updates(*_restock(spark, d, dt_.order_items(spark, d)), closing, LINEITEM_AS_OF)
+    return al.resolve_alerts_on_receipt(alerts_table(spark, d, seq), updates, p)
 
 
 def q_alert_timeline(spark, d):
     p = dt_.products(spark, d)
-    hot = movement_hot_keys(spark, d)
-    return al.alert_timeline(al.updates_from_admission(admitted(spark, d, hot, shared=True)), p, hot=hot)
+    seq = mv.admit_sequence(dt_.movements(spark, d), dt_.movement_opening(spark, d))
+    return al.alert_timeline(al.updates_from_admission(seq), p).drop(al.ISSUED)
 
 
 def q_alert_suggested_qty(spark, d):
-    return timeline(spark, d)
+    p, s, _ = _dims(spark, d)
+    seq = sequence(spark, d)
+    raised = cut_lineage(al.alert_timeline(al.updates_from_admission(seq), p))
+    return al.alert_suggested_qty(raised, mv.movement_ledger(seq, ACTOR), p, s, issued=al.ISSUED)
+
+
+def q_low_stock_alerts(spark, d):
+    return alerts_table(spark, d)
 
 
 # -- E: table rules -------------------------------------------------------------------------
@@ -203,24 +219,21 @@ def _tables(spark, d) -> dict[str, DataFrame]:
     p, s, w = _dims(spark, d)
     return {"products": p, "suppliers": s, "warehouses": w, "product_stock": dt_.product_stock(spark, d),
             "orders": dt_.orders_after(spark, d), "order_items": dt_.order_items(spark, d),
-            "stock_txn_log": dt_.ledger_events(spark, d)}
+            "stock_txn_log": dt_.ledger_events(spark, d), "low_stock_alerts": alerts_table(spark, d)}
 
 
 def q_dq_duplicate_keys(spark, d):
     return dq.dq_duplicate_keys(dt_.order_lines(spark, d), ["order_id", "line_number"])
 
 
-#: The alerts are no table of the driver's data; their rules need the alert pipeline first.
-NOT_STORED = {"low_stock_alerts"}
-
-
 def q_dq_declared_keys(spark, d):
-    """E1 over every declared key of the stored tables, UNIQUE(sku) included."""
+    """E1 over every declared key of the eight tables, UNIQUE(sku) included, and over one that the
+    source does not declare: a pair with several open alerts (each scan raises again)."""
     t = _tables(spark, d)
+    t["open_alerts"] = t["low_stock_alerts"].filter("resolved_flag = 'N'")
+    keys = {**dq.DECLARED_KEYS, "low_stock_alerts.open_pair": ("open_alerts", KEY)}
     parts = []
-    for name, (tab, cols) in sorted(dq.DECLARED_KEYS.items()):
-        if tab in NOT_STORED:
-            continue
+    for name, (tab, cols) in sorted(keys.items()):
         parts.append(dq.dq_duplicate_keys(t[tab], cols).select(
             F.lit(name).alias("key_name"), F.concat_ws("|", *[F.col(c).cast("string") for c in cols]).alias("row_key"), "n"))
     out = parts[0]
@@ -244,15 +257,16 @@ def q_dq_missing_supplier(spark, d):
 
 _TABLE_KEYS = {"products": ["product_id"], "suppliers": ["supplier_id"], "warehouses": ["warehouse_id"],
                "product_stock": KEY, "orders": ["order_id"], "order_items": ["order_item_id"],
-               "stock_txn_log": ["log_id"]}
+               "stock_txn_log": ["log_id"], "low_stock_alerts": ["alert_id"]}
 
 
 def q_dq_orphans(spark, d):
     t = _tables(spark, d)
     fks = dict(dq.FOREIGN_KEYS)
-    # Undeclared references of the ledger (no FK in the source) are checked as well.
-    fks["stock_txn_log.product_id"] = ("stock_txn_log", ["product_id"], "products", ["product_id"])
-    fks["stock_txn_log.warehouse_id"] = ("stock_txn_log", ["warehouse_id"], "warehouses", ["warehouse_id"])
+    # Undeclared references of the ledger and the alerts (no FK in the source) are checked as well.
+    for tab in ("stock_txn_log", "low_stock_alerts"):
+        fks[f"{tab}.product_id"] = (tab, ["product_id"], "products", ["product_id"])
+        fks[f"{tab}.warehouse_id"] = (tab, ["warehouse_id"], "warehouses", ["warehouse_id"])
     parts = []
     for name, (child, fk, parent, pk) in sorted(fks.items()):
         o = dq.dq_orphans(t[child], fk, t[parent], pk)
@@ -267,7 +281,7 @@ def q_dq_orphans(spark, d):
 def q_dq_check_violations(spark, d):
     t = _tables(spark, d)
     parts = [dq.dq_check_violations(t[tab], name, pred, keys)
-             for name, (tab, pred, keys) in sorted(dq.CHECK_RULES.items()) if tab not in NOT_STORED]
+             for name, (tab, pred, keys) in sorted(dq.CHECK_RULES.items())]
     out = parts[0]
     for x in parts[1:]:
         out = out.unionByName(x)
@@ -297,9 +311,10 @@ def q_apply_defaults(spark, d):
 
 
 def q_ledger_append_restock(spark, d):
-    """C3 onto existing rows: restock rows without time and user join the events ledger."""
+    """C3 onto existing rows: restock rows without time and user join the events ledger, numbered
+    on from its last id in item order."""
     rows = q_cancel_restock_ledger(spark, d).drop("txn_time", "performed_by")
-    return mv.ledger_append(dt_.ledger_events(spark, d), rows, EVENTS_AS_OF, ACTOR)
+    return mv.ledger_append(dt_.ledger_events(spark, d), rows, EVENTS_AS_OF, ACTOR, number_by=["log_id"])
 
 
 def q_apply_defaults_stock(spark, d):
@@ -340,14 +355,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_outputs_items": q_order_outputs_items,
     "closing_stock": q_closing_stock,
     "receive_stock": q_receive_stock,
+    "receive_stock_ledger": q_receive_stock_ledger,
     "ledger_append": q_ledger_append,
     "cancel_restock": q_cancel_restock,
     "cancel_restock_ledger": q_cancel_restock_ledger,
+    "cancel_restock_alerts": q_cancel_restock_alerts,
     "stock_position": q_stock_position,
     "raise_low_stock_alerts": q_raise_low_stock_alerts,
     "resolve_alerts_on_receipt": q_resolve_alerts_on_receipt,
     "alert_timeline": q_alert_timeline,
     "alert_suggested_qty": q_alert_suggested_qty,
+    "low_stock_alerts": q_low_stock_alerts,
     "dq_duplicate_keys": q_dq_duplicate_keys,
     "dq_orphans": q_dq_orphans,
     "dq_check_violations": q_dq_check_violations,

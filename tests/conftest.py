@@ -18,8 +18,8 @@ def spark():
 
 
 @pytest.fixture()
-def hot_all(spark):
-    """Force every key through the chunked (hot-key) path of the running sums."""
-    spark.conf.set("stockflow.hotKeyRows", "0")
+def small_chunks(spark):
+    """Chunks of a few rows, so that every key spans many of them."""
+    spark.conf.set("stockflow.chunkRows", "7")
     yield
-    spark.conf.unset("stockflow.hotKeyRows")
+    spark.conf.unset("stockflow.chunkRows")

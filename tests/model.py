@@ -28,9 +28,10 @@ def forecast(log, key, as_of, lookback=30, lead=7, visible=lambda r: True):
     return math.ceil(Fraction(wsum, wden) * lead * Fraction(6, 5))
 
 
-def simulate(movements, opening, reorder_min, open_alerts=()):
+def simulate(movements, opening, reorder_min, open_alerts=(), active=()):
     """Apply movements (dicts: request_id, request_time, product_id, warehouse_id, kind, qty) in
-    (request_time, request_id) order. Returns (results per request, ledger, alerts)."""
+    (request_time, request_id) order; a SCAN looks at its pair if the product is ``active``.
+    Returns (results per request, ledger, alerts)."""
     stock = dict(opening)
     is_open = {k: True for k in open_alerts}
     results, ledger, alerts = {}, [], []
@@ -41,6 +42,14 @@ def simulate(movements, opening, reorder_min, open_alerts=()):
         res = {"accepted": True, "reject_reason": None, "available": before, "qty_after": before,
                "stock_updated": False}
         updated = False
+        if kind == "SCAN":
+            mn = reorder_min.get(m["product_id"])
+            if before is not None and m["product_id"] in active and before <= mn:
+                alerts.append({"alert_id": m["request_id"], "product_id": key[0], "warehouse_id": key[1],
+                               "qty_on_hand": before, "raised_on": m["request_time"], "resolved_flag": "N",
+                               "_ledger_len": len(ledger), "_scan": True})
+                is_open[key] = True
+            continue
         if kind == "ORDER":
             if before is None:
                 res.update(accepted=False, reject_reason="NO_STOCK_ROW")
@@ -84,7 +93,7 @@ def simulate(movements, opening, reorder_min, open_alerts=()):
                 elif new <= mn and not is_open.get(key, False):
                     alerts.append({"alert_id": m["request_id"], "product_id": key[0], "warehouse_id": key[1],
                                    "qty_on_hand": new, "raised_on": m["request_time"], "resolved_flag": "N",
-                                   "_ledger_len": len(ledger)})
+                                   "_ledger_len": len(ledger), "_scan": False})
                     is_open[key] = True
         if res["accepted"]:
             ttype = {"ORDER": "ISSUE", "RECEIPT": "RECEIPT", "RESTOCK": "ADJUSTMENT"}[kind]

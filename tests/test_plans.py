@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from stockflow.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,22 +36,30 @@ def test_partial_aggregation_before_shuffle(spark):
 
 
 @pytest.mark.parametrize("name", ["stock_health", "monthly_consumption", "reorder_scan", "forecast_reorder_qty",
-                                  "cancel_restock", "dq_duplicate_keys", "alert_timeline"])
+                                  "cancel_restock", "dq_duplicate_keys"])
 def test_no_python_in_batch_plans(spark, name):
     p, _ = plan(spark, name)
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "MapInPandas" not in p
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_python_only_as_the_admission_fold(spark, name):
     p, _ = plan(spark, name)
-    assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
-    assert p.count("MapInPandas _fold") == p.count("MapInPandas") <= 1
+    assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "MapInPandas" not in p
+    python = set(re.findall(r"MapInArrow (\w+)", p))
+    assert python <= {"_fold", "_transfers", "_walk"} and p.count("MapInArrow") <= 6
 
 
-def test_admission_python_only_in_fold(spark):
+def test_admission_is_one_plan(spark):
+    """Sums inside and over chunks are windows; broadcast are the segments of keys that span chunks."""
     from stockflow.operators import movements as mv
     from stockflow.sources import driver_tables as D
     df = mv.admit_movements(D.movements(spark, SF), D.movement_opening(spark, SF))
     p = df._jdf.queryExecution().executedPlan().toString()
-    assert p.count("MapInPandas") == 1 and "BatchEvalPython" not in p
+    assert p.count("MapInArrow _fold") == 1 and "BatchEvalPython" not in p
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_alert_forecast_has_no_explode(spark):
+    p, _ = plan(spark, "alert_suggested_qty")
+    assert "Generate" not in p
