@@ -1,14 +1,19 @@
 """Operator 13: phrase collocations by sampling with a checked negative border (Toivonen).
 
-A sample of the documents, mined at a lowered threshold, proposes phrases. One full pass then counts
+A sample of the documents, mined at a lowered threshold, proposes phrases. The full pass then counts
 exactly all words, all proposals and their negative border: every phrase that is not proposed but
 whose first part and last part (all but its last, or first, word) are. A border phrase that reaches the
-threshold shows that the proposals were short of it; it joins them, and a further full pass counts the
-phrases that this newly puts on the border. The passes end when no border phrase fails, and then every
-frequent phrase has been counted, whatever the sample was.
+threshold shows that the proposals were short of it. Any frequent phrase not counted yet contains such
+a failure: of its parts that are not proposed, the shortest has proposed parts, so it was on the
+border, and is frequent with the whole. So an expansion pass counts all phrases around the failures, up to
+their full length, and closes the border: every frequent phrase has then been counted, whatever the
+sample was.
 
-Proposals travel as a bit filter of bounded size. A bit set by chance only puts more phrases on
-the border, which are counted as exactly as the others.
+The border is long and hardly any of it frequent, so the full pass first adds up 64-bit phrase
+hashes; only phrases whose hash reaches the threshold are then counted by their words.
+
+Sets of phrases travel as bit filters of bounded size. A bit set by chance only puts more phrases
+on the border, which are counted as exactly as the others.
 """
 
 from __future__ import annotations
@@ -41,8 +46,9 @@ TOP_PARTS = 256
 
 LONGEST = 4
 W = [f"w{k}" for k in range(1, LONGEST + 1)]
-COUNTED = "lang string, " + ", ".join(f"{w} long" for w in W) + ", word string, n long"
 GRAM = ["lang", *W]
+PHRASES = "lang string, " + ", ".join(f"{w} long" for w in W)
+COUNTED = PHRASES + ", word string, n long"
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 PIECE_END = np.uint64(1)
@@ -102,104 +108,148 @@ def border_grams(h: np.ndarray, proposed: Proposals) -> list[tuple[np.ndarray, n
     return out
 
 
-def count_grams(h: np.ndarray, now: Proposals, before: Proposals | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Phrases (rows of word hashes) and counts of those that ``now`` proposes or puts on the border
-    and ``before`` did not; a phrase may come in two parts."""
-    old = border_grams(h, before) if before is not None else None
-    for n, (phrase, ok) in enumerate(border_grams(h, now), 1):
-        at = np.flatnonzero(ok & ~old[n - 1][1] if old is not None else ok)
-        if len(at):
-            at = at[np.argsort(phrase[at], kind="stable")]
-            grams = np.stack([h[at + k] for k in range(n)], 1)
-            first = np.flatnonzero(np.concatenate([[True], (grams[1:] != grams[:-1]).any(1)]))
-            yield grams[first], np.diff(np.append(first, len(at)))
-
-
-def count_pass(docs: DataFrame, now: Proposals, before: Proposals | None, seed: int) -> DataFrame:
-    """Exact counts (``lang``, words, ``n``) of the phrases a pass has to count; words with their text."""
-    shared = docs.sparkSession.sparkContext.broadcast((now, before))
+class Tokens:
+    """Word hash streams of batches of documents, by language, gathered to some size."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        new, old = shared.value
-        words: dict[str, Words] = {}
-        held: dict[str, list[np.ndarray]] = {}
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for lang, parts in held.items():
-                for grams, n in count_grams(np.concatenate(parts), new, old):
-                    word = pa.nulls(len(n), pa.string())
-                    if grams.shape[1] == 1:
-                        names = dict(zip(words[lang].values(), words[lang]))
-                        word = pa.array([names[x].decode("utf-8", "replace") for x in grams[:, 0].tolist()], pa.string())
-                    cols = [np.ascontiguousarray(grams[:, k]).view(np.int64) if k < grams.shape[1] else np.zeros(len(n), np.int64)
-                            for k in range(LONGEST)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.repeat(pa.scalar(lang, pa.string()), len(n)), *map(pa.array, cols), word, pa.array(n.astype(np.int64))],
-                        names=[*GRAM, "word", "n"])
-            held.clear()
-            if sum(map(len, words.values())) > KEEP_WORDS:
-                words.clear()
+    def __init__(self, seed: int):
+        self.seed, self.size = seed, 0
+        self.words: dict[str, Words] = {}
+        self.held: dict[str, list[np.ndarray]] = {}
 
+    def streams(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray]]:
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
-                if lang not in words:
-                    words[lang] = Words(lang, seed)
+                if lang not in self.words:
+                    self.words[lang] = Words(lang, self.seed)
                 tokens = text_tokens(text)
-                h = np.fromiter(map(words[lang].__getitem__, tokens), np.uint64, len(tokens))
+                h = np.fromiter(map(self.words[lang].__getitem__, tokens), np.uint64, len(tokens))
                 h = np.append(h[h > 0], PIECE_END)
-                held.setdefault(lang, []).append(h)
-                size += len(h)
-                if size >= GATHER:
-                    yield from flush()
-                    size = 0
-        yield from flush()
+                self.held.setdefault(lang, []).append(h)
+                self.size += len(h)
+                if self.size >= GATHER:
+                    yield from self._flush()
+        yield from self._flush()
+
+    def _flush(self) -> Iterator[tuple[str, np.ndarray]]:
+        for lang, parts in self.held.items():
+            yield lang, np.concatenate(parts)
+        self.held.clear()
+        self.size = 0
+        if sum(map(len, self.words.values())) > KEEP_WORDS:
+            self.words.clear()
+
+    def names(self, lang: str) -> tuple[dict[int, bytes], list[tuple[int, bytes]]]:
+        """Words by their hashes, and those that lost their place to another of the same hash."""
+        words = self.words[lang]
+        names = dict(zip(words.values(), words))
+        return names, [(h, w) for w, h in words.items() if names[h] != w] if len(names) < len(words) else []
+
+
+def frequent_hashes(docs: DataFrame, proposed: Proposals, lengths: list[int], at_least: int, seed: int) -> DataFrame:
+    """Hashes ``h`` of the phrases of the given lengths, proposed or on the border, that reach the
+    threshold (phrases that share a hash together)."""
+    shared = docs.sparkSession.sparkContext.broadcast(proposed)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, h in Tokens(seed).streams(batches):
+            grams = border_grams(h, shared.value)
+            for n in lengths:
+                phrase, ok = grams[n - 1]
+                kinds, times = np.unique(phrase[ok], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(times)], names=["h", "n"])
+
+    # a task's counts are summed already: dealt by hash as they are, one row a hash and gathered stream
+    return (docs.mapInArrow(run, "h long, n long").repartition("h").groupBy("h").agg(F.sum("n").alias("n"))
+            .filter(F.col("n") >= at_least).select("h"))
+
+
+def exact_counts(docs: DataFrame, choose, filters: tuple[Proposals, ...], seed: int, words: bool) -> DataFrame:
+    """Exact counts (``lang``, words, ``n``) of the phrases at the places that ``choose(h, *filters)``
+    names, and with ``words`` of all words, with their text."""
+    shared = docs.sparkSession.sparkContext.broadcast(filters)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = Tokens(seed)
+        for lang, h in tokens.streams(batches):
+            names, doubled = tokens.names(lang) if words else ({}, [])
+            for n, (phrase, ok) in enumerate(choose(h, *shared.value), 1):
+                at = np.flatnonzero(ok)
+                if len(at) == 0 or (n == 1 and not words):
+                    continue
+                at = at[np.argsort(phrase[at], kind="stable")]
+                grams = np.stack([h[at + k] for k in range(n)], 1)
+                first = np.flatnonzero(np.concatenate([[True], (grams[1:] != grams[:-1]).any(1)]))
+                grams, times = grams[first], np.diff(np.append(first, len(at)))
+                word = pa.nulls(len(times), pa.string())
+                if n == 1:      # a second word of some hash comes with no count of its own, and is noticed
+                    held = [*((x, names[x]) for x in grams[:, 0].tolist()), *doubled]
+                    word = pa.array([w.decode("utf-8", "replace") for _, w in held], pa.string())
+                    grams = np.array([x for x, _ in held], np.uint64)[:, None]
+                    times = np.append(times, np.zeros(len(doubled), times.dtype))
+                cols = [np.ascontiguousarray(grams[:, k]).view(np.int64) if k < n else np.zeros(len(times), np.int64)
+                        for k in range(LONGEST)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(pa.scalar(lang, pa.string()), len(times)), *map(pa.array, cols), word, pa.array(times)],
+                    names=[*GRAM, "word", "n"])
 
     return docs.mapInArrow(run, COUNTED).groupBy(*GRAM, "word").agg(F.sum("n").alias("n"))
 
 
-def _hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Length and phrase hash of the rows of a batch of phrases."""
+def on_border(h: np.ndarray, proposed: Proposals, heavy: Proposals) -> list[tuple[np.ndarray, np.ndarray]]:
+    """All words, and the proposed and border phrases whose hash reaches the threshold."""
+    grams = border_grams(h, proposed)
+    return [grams[0], *((phrase, ok & heavy.holds(phrase)) for phrase, ok in grams[1:])]
+
+
+def beyond_border(h: np.ndarray, proposed: Proposals, failed: Proposals, frequent: Proposals) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The phrases of frequent words that contain a failed phrase and were not on the border."""
+    some = (h > PIECE_END) & frequent.holds(h)
+    out, inside = [(h, np.zeros(len(h), bool))], some & failed.holds(h)
+    known = border_grams(h, proposed)
+    for n in range(2, LONGEST + 1):
+        phrase, was = known[n - 1]
+        some = some[:-1] & some[1:]
+        inside = some & (inside[:-1] | inside[1:] | failed.holds(phrase))
+        out.append((phrase, inside & ~was))
+    return out
+
+
+def _hashes(batch: pa.RecordBatch) -> np.ndarray:
+    """Phrase hashes of the rows of a batch of phrases."""
     cols = [batch.column(batch.schema.get_field_index(w)).to_numpy(zero_copy_only=False).view(np.uint64) for w in W]
     length = sum((c != 0).astype(int) for c in cols)
     level, out = cols, cols[0].copy()
     for n in range(2, LONGEST + 1):
         level = [join_hash(a, b) for a, b in zip(level[:-1], level[1:])]
         out = np.where(length == n, level[0], out)
-    return length, out
+    return out
 
 
-def failures(frequent: DataFrame, now: Proposals) -> DataFrame:
-    """Frequent phrases that could be part of a longer one and are not proposed."""
-    shared = frequent.sparkSession.sparkContext.broadcast(now)
+def phrase_hashes(phrases: DataFrame, unless: Proposals | None = None) -> DataFrame:
+    """Hashes ``h`` of phrases, without those that ``unless`` holds."""
+    shared = phrases.sparkSession.sparkContext.broadcast(unless)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            length, h = _hashes(b)
-            yield b.filter(pa.array((length < LONGEST) & ~shared.value.holds(h)))
+            h = _hashes(b)
+            if shared.value is not None:
+                h = h[~shared.value.holds(h)]
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
 
-    return frequent.select(*GRAM).mapInArrow(run, "lang string, " + ", ".join(f"{w} long" for w in W))
+    return phrases.select(*W).mapInArrow(run, "h long")
 
 
-def propose(members: DataFrame) -> Proposals:
-    """The filter of the given phrases, of ``BITS_EACH`` bits or more each up to ``MAX_BITS``.
+def propose(hashes: DataFrame) -> Proposals:
+    """The filter of the given hashes, of ``BITS_EACH`` bits or more each up to ``MAX_BITS``.
 
     Bits are set by Spark, in rows of 2^20 of them; what reaches the driver is the filter itself.
     """
-    bits = 1 << 16
-    n = members.count()
+    bits, n = 1 << 16, hashes.count()
     while bits < n * BITS_EACH and bits < MAX_BITS:
         bits *= 2
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at = _hashes(b)[1] & np.uint64(bits - 1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array((at & np.uint64(63)).astype(np.int32))],
-                names=["cell", "bit"])
-
-    cells = (members.mapInArrow(places, "cell long, bit int").groupBy("cell")
-             .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("set"))
+    at = F.col("h").bitwiseAND(F.lit(bits - 1))
+    cells = (hashes.select(F.shiftright(at, 6).alias("cell"), at.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+             .groupBy("cell").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("set"))
              .withColumn("part", F.shiftright("cell", 14)))
 
     def fill(key: tuple[pa.Scalar, ...], g: pa.Table) -> pa.Table:
@@ -209,29 +259,39 @@ def propose(members: DataFrame) -> Proposals:
 
     out = Proposals(bits)
     for part, row in cells.groupBy("part").applyInArrow(fill, "part long, row binary").collect():
-        at = part << 17
-        out.cells[at:at + len(row)] = np.frombuffer(row, np.uint8)
+        start = part << 17
+        out.cells[start:start + len(row)] = np.frombuffer(row, np.uint8)
     return out
 
 
-def mine(docs: DataFrame, at_least: int, start: DataFrame | None, seed: int, keep_words: bool) -> DataFrame | None:
-    """Every phrase of at least ``at_least`` occurrences with its exact count, from proposals ``start``
-    (None: none, and the passes go up one length at a time). All words are kept with ``keep_words``.
-    None if two different words have one hash."""
-    now, before = propose(start) if start is not None else Proposals(1 << 16), None
-    members, found = start, None
-    while True:
-        counted = count_pass(docs, now, before, seed)
-        some = F.col("n") >= at_least
-        counted = cut_lineage(counted.filter(some | F.col("word").isNotNull() if keep_words else some))
-        if before is None and keep_words and not counted.filter("word is not null").groupBy("w1").count().filter("count > 1").isEmpty():
-            return None
-        found = counted if found is None else found.unionByName(counted)
-        short = cut_lineage(failures(counted.filter(some), now))
-        if short.isEmpty():
-            return found
-        members = short if members is None else members.unionByName(short)
-        before, now = now, propose(members)
+def sample_proposals(sample: DataFrame, at_least: int, seed: int) -> Proposals:
+    """Phrases of up to LONGEST - 1 words that reach the lowered threshold in the sample, found one
+    length at a time (longer ones are part of no other)."""
+    known, proposed = None, Proposals(1 << 16)
+    for n in range(1, LONGEST):
+        level = cut_lineage(frequent_hashes(sample, proposed, [n], at_least, seed))
+        known = level if known is None else known.unionByName(level)
+        proposed = propose(known)
+    return proposed
+
+
+def mine(docs: DataFrame, at_least: int, proposed: Proposals, seed: int) -> DataFrame | None:
+    """All words, and every phrase of at least ``at_least`` occurrences, with exact counts, from any
+    proposals. None if two different words have one hash."""
+    heavy = propose(cut_lineage(frequent_hashes(docs, proposed, list(range(2, LONGEST + 1)), at_least, seed)))
+    counted = exact_counts(docs, on_border, (proposed, heavy), seed, True)
+    enough = F.col("n") >= at_least
+    found = cut_lineage(counted.filter(enough | F.col("word").isNotNull()))
+    words = found.filter("word is not null")
+    if not words.groupBy("w1").count().filter("count > 1").isEmpty():
+        return None
+    # a phrase of full length is part of no other: only shorter ones fail the border
+    failed = cut_lineage(phrase_hashes(found.filter(enough & (F.col(W[-1]) == 0)), unless=proposed))
+    if failed.isEmpty():
+        return found
+    frequent = propose(phrase_hashes(words.filter(enough)))
+    more = exact_counts(docs, beyond_border, (proposed, propose(failed), frequent), seed, False)
+    return found.unionByName(cut_lineage(more.filter(enough)))
 
 
 def lookup(rows: DataFrame, keys: list[str], table: DataFrame) -> DataFrame:
@@ -280,8 +340,7 @@ def mine_collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "
     ease = max(2, int(at_least / one_in * SAMPLE_EASE))
     found = None
     while found is None:
-        proposed = mine(sample, ease, None, seed, False).filter(F.col(W[-1]) == 0).select(*GRAM)
-        found = mine(rows, at_least, proposed, seed, True)
+        found = mine(rows, at_least, sample_proposals(sample, ease, seed), seed)
         seed += 1
 
     words = found.filter("word is not null")
@@ -337,7 +396,8 @@ with d as (
   select coalesce(lang, 'und') as lang,
          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents),
 p as (select lang, unnest(regexp_split_to_array(text, '[.,;:!?
--]')) as piece from d),
+-
+]')) as piece from d),
 w as (select lang, regexp_extract_all(piece, '[^ 	]+') as ws from p),
 i as (select lang, ws, unnest(range(1, len(ws) + 1)) as i from w),
 g as (select lang, list_slice(ws, i, i + k - 1) as g from i, (select unnest([1, 2, 3, 4]) as k) where i + k - 1 <= len(ws)),

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stockflow.llm import collocations as co
@@ -83,46 +84,46 @@ def test_every_key_heavy(docs, monkeypatch):
 
 def test_a_full_filter_changes_no_count(docs, monkeypatch):
     """All bits set: every phrase is on the border and counted; the result stays."""
-    monkeypatch.setattr(co, "propose", lambda members: co.Proposals(1 << 16, np.full(1 << 13, 255, np.uint8)))
+    monkeypatch.setattr(co, "propose", lambda hashes: co.Proposals(1 << 16, np.full(1 << 13, 255, np.uint8)))
     rows = sample(60)
     assert sorted(map(tuple, co.mine_collocations(docs(rows), at_least=5, top=50).collect())) == brute(rows, 5, 50)
 
 
 def test_colliding_hashes_take_another_seed(docs, monkeypatch):
-    """Words that share a hash are noticed, and the corpus is counted with another seed."""
-    seeds = set()
-    true_hash = co.xxhash.xxh64_intdigest
+    """Words that share a hash are noticed (mine gives None), and the corpus is counted with another seed."""
+    seeds = []
 
-    def poor(word, seed):
-        return true_hash(word, seed)
-    monkeypatch.setattr(co, "word_hash", poor)
+    class Poor(co.Words):
+        def __missing__(self, word):
+            same = word in (b"beta", b"gamma") and self.seed == co.xxhash.xxh64_intdigest(b"en", 0)
+            h = self[word] = 5 if same else co.word_hash(word, self.seed)
+            return h
+    monkeypatch.setattr(co, "Words", Poor)
     real = co.mine
 
-    def mine(docs_, at_least, start, seed, keep_words):
-        if keep_words:
-            seeds.add(seed)
-            if seed == 0:
-                return None
-        return real(docs_, at_least, start, seed, keep_words)
+    def mine(docs_, at_least, proposed, seed):
+        seeds.append(seed)
+        return real(docs_, at_least, proposed, seed)
     monkeypatch.setattr(co, "mine", mine)
-    rows = sample(30)
+    rows = [(i, "alpha beta gamma", "en") for i in range(9)]
     assert sorted(map(tuple, co.mine_collocations(docs(rows), at_least=3, top=50).collect())) == brute(rows, 3, 50)
-    assert seeds == {0, 1}
-
-
-def test_collision_is_found(docs, llm_spark):
-    """mine() itself reports two words of one hash."""
-    class Poor(co.Words):
-        def __missing__(self, word):
-            h = self[word] = 5 if word in (b"beta", b"gamma") else co.word_hash(word, self.seed)
-            return h
-    old = co.Words
-    co.Words = Poor
-    try:
-        rows = llm_spark.createDataFrame([("en", "alpha beta gamma")], "lang string, text string")
-        assert co.mine(rows, 1, None, 0, True) is None
-    finally:
-        co.Words = old
+    assert seeds == [0, 1]
+
+
+def test_places_around_failures():
+    """An expansion counts the phrases that hold a failure and were not on the border, no others."""
+    def held(*phrases):
+        p = co.Proposals(1 << 20)
+        for x in phrases:
+            h = co._hashes(pa.RecordBatch.from_pydict({w: pa.array([v], pa.int64()) for w, v in zip(co.W, [*x, 0, 0, 0, 0])}))
+            at = int(h[0]) & (p.bits - 1)
+            p.cells[at >> 3] |= 1 << (at & 7)
+        return p
+    h = np.array([10, 11, 12, 13, 1, 11, 14], np.uint64)
+    got = co.beyond_border(h, held((10,), (11,), (12,), (13,)), held((11, 12)), held((10,), (11,), (12,), (13,)))
+    phrases = [[tuple(map(int, h[i:i + n])) for i in np.flatnonzero(ok)] for n, (_, ok) in enumerate(got, 1)]
+    # 11 12 itself was on the border, its extensions were not
+    assert phrases == [[], [], [(10, 11, 12), (11, 12, 13)], [(10, 11, 12, 13)]]
 
 
 def test_empty_table(docs):

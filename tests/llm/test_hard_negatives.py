@@ -29,7 +29,7 @@ def sample(n=420, d=12, seed=4):
     return rows + [(500, None, 1), (600, [0.0] * d, 1), (700, v, None), (800, [NAN] + v[1:], 1), (801, [INF] + v[1:], 1),
                    (802, [None] + v[1:], 1), (900, [], 1), (901, [], 2), (1000, v[:3], 1), (1001, v[1:4], 1), (1002, v[:3], 2),
                    (None, v, 1), (200, rows[9][1], 0), (31, rows[31][1], 3), (31, rows[31][1], 3), (1100, [3e38] * d, 1),
-                   (1200, [c * 2.0 ** 24 for c in v], 1), (1201, [c * 2.0 ** 23 for c in v], 2), (1203, [c * 2.0 ** 24 for c in v], 1)]
+                   (1200, [c * 2.0 ** 21 for c in v], 1), (1201, [c * 2.0 ** 20 for c in v], 2), (1203, [c * 2.0 ** 21 for c in v], 1)]
 
 
 def brute(rows, every=100, positives=5, negatives=10):
