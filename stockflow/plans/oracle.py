@@ -243,13 +243,15 @@ SELECT sku, product_name, wname[warehouse_id] AS warehouse_name, qty_on_hand, re
 FROM names, product_stock JOIN products USING (product_id)
 WHERE map_contains(wname, warehouse_id)"""
     # sums per product id first (month as a date), names afterwards
-    q["monthly_consumption"] = with_views(["products", "ledger_l"], """months AS (
+    def months(ledger: str) -> str:
+        return with_views(["products", ledger], f"""months AS (
   SELECT product_id, date_trunc('month', txn_time) AS m, CAST(-SUM(qty_change) AS BIGINT) AS units
-  FROM ledger_l WHERE txn_type = 'ISSUE' GROUP BY ALL)""") + """
+  FROM {ledger} WHERE txn_type = 'ISSUE' GROUP BY ALL)""") + """
 SELECT (SELECT sku FROM products p WHERE p.product_id = m.product_id) AS sku,
        (SELECT product_name FROM products p WHERE p.product_id = m.product_id) AS product_name,
        year(m) || '-' || lpad(CAST(month(m) AS VARCHAR), 2, '0') AS txn_month, units AS units_issued
 FROM months m WHERE product_id IN (SELECT product_id FROM products)"""
+    q["monthly_consumption"] = months("ledger_l")
 
     def top(ledger: str, as_of: str) -> str:
         return with_views(["products", ledger], f"""moved AS (
@@ -461,6 +463,19 @@ SELECT log_id, product_id, warehouse_id, txn_type, qty_change, {EVENTS_AS_OF} AS
     q["stream_daily_issue"] = with_views(["ledger_e"]) + """
 SELECT product_id, warehouse_id, date_trunc('day', txn_time) AS window_start, CAST(SUM(ABS(qty_change)) AS BIGINT) AS daily_qty
 FROM ledger_e WHERE txn_type = 'ISSUE' GROUP BY product_id, warehouse_id, date_trunc('day', txn_time)"""
+    q["stream_monthly_consumption"] = months("ledger_e")
+    q["stream_order_admission"] = q["order_admission"]
+    q["stream_alerts"] = with_views(scan_views, _daily(ev), WAVG, LEAD, SCAN, *_sim(blocked), _alert_forecast("sim_alerts"), """known AS (
+  SELECT alert_id, product_id, warehouse_id, rn FROM sim_alerts s JOIN admitted a USING (product_id, warehouse_id)
+  WHERE a.request_id = s.alert_id
+  UNION ALL
+  SELECT -product_id * 5 - warehouse_id - 1, product_id, warehouse_id, 0
+  FROM scan SEMI JOIN movements USING (product_id, warehouse_id))""") + """
+SELECT 'RAISED' AS event, alert_id, product_id, warehouse_id, qty_on_hand, suggested_qty, raised_on AS event_time FROM alert_fc
+UNION ALL
+SELECT 'RESOLVED', k.alert_id, k.product_id, k.warehouse_id, arg_min(c.qty_after, c.rn), CAST(NULL AS BIGINT), arg_min(c.request_time, c.rn)
+FROM known k JOIN admitted c ON c.product_id = k.product_id AND c.warehouse_id = k.warehouse_id AND c.closed AND c.rn > k.rn
+GROUP BY k.alert_id, k.product_id, k.warehouse_id"""
     return q
 
 

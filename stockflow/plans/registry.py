@@ -18,6 +18,9 @@ from stockflow.operators import quality as dq
 from stockflow.operators import reports as rp
 from stockflow.sources import driver_tables as dt_
 from stockflow.session import cut_lineage
+from stockflow.streaming import aggregates as sa
+from stockflow.streaming import finite as fs
+from stockflow.streaming import stateful as ss
 from stockflow.sources.driver_tables import ACTOR, EVENTS_AS_OF, LINEITEM_AS_OF
 
 KEY = ["product_id", "warehouse_id"]
@@ -331,11 +334,37 @@ def q_apply_defaults_ledger(spark, d):
     return dq.apply_defaults(log, "stock_txn_log", EVENTS_AS_OF, ACTOR)
 
 
-# -- S: batch twin of the streaming day aggregate -------------------------------------------
+# -- S: finite streams ----------------------------------------------------------------------
 
 def q_stream_daily_issue(spark, d):
-    from stockflow.streaming.aggregates import daily_issue_frame
-    return daily_issue_frame(dt_.ledger_events(spark, d))
+    """S2 replayed in update mode: the last value of every day."""
+    rows = fs.replay(dt_.ledger_events(spark, d), "txn_time", sa.stream_daily_issue, "update")
+    return fs.latest(rows, [*KEY, "window_start"])
+
+
+def q_stream_monthly_consumption(spark, d):
+    """S3 replayed: the live report after the last slice."""
+    p = dt_.products(spark, d)
+    rows = fs.replay(dt_.ledger_events(spark, d), "txn_time", lambda s: sa.stream_monthly_consumption(s, p), "update")
+    return fs.latest(rows, ["sku", "txn_month"])
+
+
+def q_stream_order_admission(spark, d):
+    """S4 replayed: the C1 columns of every request, from opening balances as initial state."""
+    p, s, _ = _dims(spark, d)
+    rows = fs.replay(dt_.movements(spark, d), "request_time", lambda m: ss.stream_order_admission(
+        ss.inventory_events(m, dt_.movement_opening(spark, d), p, s)))
+    return rows.drop("batch_id")
+
+
+def q_stream_alerts(spark, d):
+    """S1 replayed: alert events, with the scan's alerts on the snapshot open at the start."""
+    p, s, _ = _dims(spark, d)
+    known = scan_alerts(spark, d).join(dt_.movement_keys(spark, d), KEY, "left_semi").withColumn(
+        "alert_id", -F.col("product_id") * 5 - F.col("warehouse_id") - 1)
+    rows = fs.replay(dt_.movements(spark, d), "request_time", lambda m: ss.stream_alerts(
+        ss.inventory_events(m, dt_.movement_opening(spark, d), p, s, open_alerts=known)))
+    return rows.drop("batch_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -380,4 +409,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "apply_defaults_orders": q_apply_defaults_orders,
     "apply_defaults_ledger": q_apply_defaults_ledger,
     "stream_daily_issue": q_stream_daily_issue,
+    "stream_monthly_consumption": q_stream_monthly_consumption,
+    "stream_order_admission": q_stream_order_admission,
+    "stream_alerts": q_stream_alerts,
 }

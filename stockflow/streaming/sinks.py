@@ -23,10 +23,10 @@ def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
 
 
 def start_idempotent_sink(stream: DataFrame, path: str, name: str, available_now: bool = False,
-                          checkpoint_location: str | None = None) -> StreamingQuery:
+                          checkpoint_location: str | None = None, mode: str = "append") -> StreamingQuery:
     """Run ``stream`` into ``path`` through ``foreachBatch`` + ``write_batch``; the checkpoint
     location defaults to a folder under the session's shared checkpoint directory."""
-    w = (stream.writeStream.foreachBatch(lambda df, bid: write_batch(df, bid, path))
+    w = (stream.writeStream.outputMode(mode).foreachBatch(lambda df, bid: write_batch(df, bid, path))
          .option("checkpointLocation", checkpoint_location or stream_checkpoint(stream.sparkSession, name)))
     if available_now:
         w = w.trigger(availableNow=True)

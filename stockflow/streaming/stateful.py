@@ -1,13 +1,17 @@
 """S1 + S4: order admission and the alert life cycle on an unbounded movement stream.
 
-One stateful processor per (product, warehouse) key (``applyInPandasWithState``). State per
-key: whether a stock row exists, the balance, whether an alert is open, and the issued units
-of the last ``lookback + 1`` days (for the forecast at alert time) - a few dozen numbers per
-key, whatever the stream length. Inside a micro-batch the rows of a key are applied in
-(request_time, request_id) order; across micro-batches in arrival order, as the source system
-does. The opening stock, the reorder point and the lead time come from static tables joined to
-the stream before the state operator. A key's rows of one micro-batch are sorted together, so
-bound the micro-batch at the source (``maxFilesPerTrigger`` / ``maxRecordsPerTrigger``).
+One stateful processor per (product, warehouse) key (``transformWithStateInPandas`` on the RocksDB
+store). State per key: the balance (absent while there is no stock row), the open alerts, and the
+issued units per day, one map entry a day, for the forecast at alert time. An entry goes once the
+watermark has left it ``lookback`` days behind, by an event-time timer, so a key without movements
+sheds its days too; a key holds at most ``lookback`` days, those of the watermark delay, and days
+dated in the future.
+
+Inside a micro-batch the rows of a key are applied in (request_time, request_id) order; across
+micro-batches in arrival order, as the source system does. Rows later than the watermark are dropped
+(our rule: the source has no late data). Opening balances, open alerts and earlier issues enter as initial
+state; the reorder point and the lead time come from static tables joined to the stream. A key's rows
+of one micro-batch are sorted together, so bound the micro-batch at the source (``maxFilesPerTrigger``).
 
 Emitted rows (``event``): ADMISSION (one per movement, the C1 columns), RAISED (a new alert with
 its suggested quantity) and RESOLVED (an open alert closed by an increase).
@@ -16,21 +20,24 @@ its suggested quantity) and RESOLVED (an open alert closed by an increase).
 from __future__ import annotations
 
 import datetime as dt
-import json
-import math
-from fractions import Fraction
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from stockflow.functions.exprs import DEFAULT_LEAD_TIME_DAYS, DEFAULT_LOOKBACK_DAYS
+from stockflow.functions.exprs import (DEFAULT_LEAD_TIME_DAYS, DEFAULT_LOOKBACK_DAYS, INSUFFICIENT_MSG, SAFETY_FACTOR_DEN,
+                                       SAFETY_FACTOR_NUM)
+from stockflow.operators.admission import INSUFFICIENT_STOCK, INVALID_QTY, NEGATIVE_STOCK, NO_STOCK_ROW, SCAN
 from stockflow.operators.forecast import product_lead_time
-from stockflow.session import ensure_checkpoint_dir
+from stockflow.session import cut_lineage, ensure_checkpoint_dir
+from stockflow.streaming.aggregates import as_instant
 
 KEY = ["product_id", "warehouse_id"]
+PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+DAY_MS = 86_400_000
 
 EVENT_SCHEMA = T.StructType([
     T.StructField("event", T.StringType()), T.StructField("product_id", T.LongType()),
@@ -38,109 +45,153 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("request_time", T.TimestampNTZType()), T.StructField("kind", T.StringType()),
     T.StructField("qty", T.LongType()), T.StructField("accepted", T.BooleanType()),
     T.StructField("reject_reason", T.StringType()), T.StructField("available", T.LongType()),
-    T.StructField("qty_after", T.LongType()), T.StructField("alert_id", T.LongType()),
+    T.StructField("qty_after", T.LongType()), T.StructField("stock_updated", T.BooleanType()),
+    T.StructField("message", T.StringType()), T.StructField("alert_id", T.LongType()),
     T.StructField("suggested_qty", T.LongType()),
 ])
-STATE_SCHEMA = T.StructType([
-    T.StructField("exists", T.BooleanType()), T.StructField("balance", T.LongType()),
-    T.StructField("is_open", T.BooleanType()), T.StructField("open_ids", T.StringType()),
-    T.StructField("days", T.StringType()),
-])
 
 
-def _suggest(days: dict, today: dt.date, lookback: int, lead: int) -> int:
-    wsum = wden = 0
-    for d, q in days.items():
-        w = lookback - (today - dt.date.fromordinal(int(d))).days
-        if w < 0:
-            continue
-        wsum += q * w
-        wden += w
-    if wden == 0:
-        return 0
-    return math.ceil(Fraction(wsum, wden) * lead * Fraction(6, 5))
-
-
-def _make_processor(lookback: int):
-    def process(key, pdfs, state):
-        if state.exists:
-            ex, bal, is_open, open_ids, days = state.get
-            open_ids, days = json.loads(open_ids), {int(k): v for k, v in json.loads(days).items()}
-        else:
-            ex, bal, is_open, open_ids, days = None, 0, False, [], {}
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["request_time", "request_id"])
+def judge(kind: str, qty: int | None, balance: int | None) -> tuple[str | None, int | None]:
+    """Verdict (None: accepted) on a movement and the balance after it; a balance of None is no row."""
+    if kind == SCAN:
+        return None, balance
+    if kind == "ORDER" and balance is None:
+        return NO_STOCK_ROW, None
+    if qty is None or (kind != "RECEIPT" and qty <= 0):
+        return INVALID_QTY, balance
+    if kind == "ORDER":
+        return (None, balance - qty) if balance >= qty else (INSUFFICIENT_STOCK, balance)
+    if kind == "RECEIPT":
+        after = (balance or 0) + qty
+        return (None, after) if after >= 0 else (NEGATIVE_STOCK, balance)
+    return None, None if balance is None else balance + qty
+
+
+def suggest(days: dict[int, int], today: int, lookback: int, lead: int) -> int:
+    """Exact ceiling of the weighted average x lead time x safety factor over issued units per day."""
+    part = {d: lookback - (today - d) for d in days if today - d < lookback}
+    wden = sum(part.values())
+    wsum = sum(days[d] * w for d, w in part.items())
+    return -(-wsum * lead * SAFETY_FACTOR_NUM // (wden * SAFETY_FACTOR_DEN)) if wden else 0
+
+
+class InventoryProcessor(StatefulProcessor):
+    """The rules of C1, D1, D2 and D4 on one key."""
+
+    def __init__(self, lookback: int):
+        self.lookback = lookback
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.stock = handle.getValueState("stock", "balance long")
+        self.alerts = handle.getMapState("alerts", "alert_id long", "raised boolean")
+        self.days = handle.getMapState("days", "day int", "units long")
+
+    def handleInitialState(self, key, initial, timerValues) -> None:  # noqa: N802
+        for r in initial.itertuples(index=False):
+            if not pd.isna(r.qty_on_hand):
+                self.stock.update((int(r.qty_on_hand),))
+            for a in (r.open_alerts if r.open_alerts is not None else ()):
+                self.alerts.updateValue((int(a),), (True,))
+            for d, q in zip(r.days if r.days is not None else (), r.units if r.units is not None else ()):
+                self.days.updateValue((int(d),), (int(q),))
+                self._expire(int(d))
+
+    def _expire(self, day: int) -> None:
+        """A timer for the time at which no later alert can look back to the day."""
+        self.handle.registerTimer((day + self.lookback) * DAY_MS)
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802
+        held = self.stock.get()
+        bal = int(held[0]) if held is not None else None
+        was = bal
+        open_ids = None          # read when first asked for
+        past = None
+        added: dict[int, int] = {}
         out = []
-        for r in batch.itertuples(index=False):
-            if ex is None:   # first sight of the key: opening row from the static snapshot
-                ex = not pd.isna(r.opening_qty)
-                bal = int(r.opening_qty) if ex else 0
+        movements = sorted((r for pdf in rows for r in pdf.itertuples(index=False)), key=lambda r: (r.request_time, r.request_id))
+        for r in movements:
             q = None if pd.isna(r.qty) else int(r.qty)
-            before = bal if ex else None
-            ok, why, updated = True, None, False
-            if r.kind == "ORDER":
-                if not ex:
-                    ok, why = False, "NO_STOCK_ROW"
-                elif q is None or q <= 0:
-                    ok, why = False, "INVALID_QTY"
-                elif bal < q:
-                    ok, why = False, "INSUFFICIENT_STOCK"
-                else:
-                    bal -= q
-                    updated = True
-            elif r.kind == "RECEIPT":
-                if q is None:
-                    ok, why = False, "INVALID_QTY"
-                elif not ex:
-                    if q >= 0:
-                        ex, bal = True, q
-                    else:
-                        ok, why = False, "NEGATIVE_STOCK"
-                elif bal + q < 0:
-                    ok, why = False, "NEGATIVE_STOCK"
-                else:
-                    bal += q
-                    updated = True
-            else:
-                if q is None or q <= 0:
-                    ok, why = False, "INVALID_QTY"
-                elif ex:
-                    bal += q
-                    updated = True
-            t = r.request_time.to_pydatetime() if hasattr(r.request_time, "to_pydatetime") else r.request_time
-            out.append(("ADMISSION", key[0], key[1], r.request_id, t, r.kind, q, ok, why, before,
-                        bal if ex else None, None, None))
-            mn = None if pd.isna(r.reorder_min) else int(r.reorder_min)
-            if updated and mn is not None:   # the row triggers, before the ledger row exists
-                if bal > before and bal > mn:
-                    for aid in open_ids:
-                        out.append(("RESOLVED", key[0], key[1], r.request_id, t, r.kind, q, None, None,
-                                    before, bal, aid, None))
-                    is_open, open_ids = False, []
-                elif bal <= mn and not is_open:
-                    sug = _suggest(days, t.date(), lookback, int(r.lead_time_days))
-                    out.append(("RAISED", key[0], key[1], r.request_id, t, r.kind, q, None, None,
-                                before, bal, int(r.request_id), sug))
-                    is_open, open_ids = True, open_ids + [int(r.request_id)]
-            if ok and r.kind == "ORDER":
-                d = t.date().toordinal()
-                days[d] = days.get(d, 0) + q
-                # no day is evicted: a future-dated row must not erase history that a later alert sees
-        state.update((ex, bal, is_open, json.dumps(open_ids), json.dumps({str(k): v for k, v in days.items()})))
-        if out:
-            yield pd.DataFrame(out, columns=[f.name for f in EVENT_SCHEMA.fields])
-    return process
+            before = bal
+            why, bal = judge(r.kind, q, before)
+            scan = r.kind == SCAN
+            updated = why is None and before is not None and not scan
+            t = r.request_time.to_pydatetime()
+            row = (*key, int(r.request_id), t, r.kind, q)
+            message = f"{INSUFFICIENT_MSG[0]}{before}{INSUFFICIENT_MSG[1]}{q}" if why == INSUFFICIENT_STOCK else None
+            out.append(("ADMISSION", *row, why is None, why, before, bal, updated, message, None, None))
+            least = None if pd.isna(r.reorder_min) else int(r.reorder_min)
+            looks = scan and before is not None and r.active_flag == "Y"
+            day = t.date().toordinal() - dt.date(1970, 1, 1).toordinal()
+            if least is not None and (updated or looks):      # the rules run before the ledger row exists
+                if open_ids is None:
+                    open_ids = [int(a[0]) for a in self.alerts.keys()]
+                if updated and bal > before and bal > least:
+                    for a in sorted(open_ids):
+                        out.append(("RESOLVED", *row, None, None, before, bal, None, None, a, None))
+                    for a in open_ids:
+                        self.alerts.removeKey((a,))
+                    open_ids = []
+                elif bal <= least and (looks or not open_ids):
+                    if past is None:
+                        past = {int(k[0]): int(v[0]) for k, v in self.days.iterator()}
+                    units = {d: past.get(d, 0) + added.get(d, 0) for d in {**past, **added}}
+                    s = suggest(units, day, self.lookback, int(r.lead_time_days))
+                    out.append(("RAISED", *row, None, None, before, bal, None, None, int(r.request_id), max(s, least) if looks else s))
+                    open_ids.append(int(r.request_id))
+                    self.alerts.updateValue((int(r.request_id),), (True,))
+            if why is None and r.kind == "ORDER":
+                added[day] = added.get(day, 0) + q
+        if bal is not None and bal != was:
+            self.stock.update((bal,))
+        for day, units in added.items():
+            old = self.days.getValue((day,)) if self.days.containsKey((day,)) else None
+            if old is None:
+                self._expire(day)
+            self.days.updateValue((day,), (units + (int(old[0]) if old is not None else 0),))
+        yield pd.DataFrame(out, columns=EVENT_SCHEMA.names).astype(
+            {c: "Int64" for c in ("qty", "available", "qty_after", "alert_id", "suggested_qty")}
+            | {c: "boolean" for c in ("accepted", "stock_updated")})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802
+        self.days.removeKey((expiredTimerInfo.getExpiryTimeInMs() // DAY_MS - self.lookback,))
+        yield pd.DataFrame({f.name: pd.Series([], dtype="object") for f in EVENT_SCHEMA.fields})
+
+    def close(self) -> None:
+        pass
+
+
+def initial_state(opening: DataFrame, open_alerts: DataFrame | None = None, log: DataFrame | None = None) -> DataFrame:
+    """One row per key: opening balance, ids of open alerts, and units issued per earlier day."""
+    out = opening.select(*KEY, F.col("qty_on_hand").cast("long").alias("qty_on_hand"))
+    ids, days = F.lit(None).cast("array<long>"), F.lit(None).cast("array<struct<day:int,units:long>>")
+    if open_alerts is not None:
+        a = open_alerts.filter("resolved_flag = 'N'").groupBy(*KEY).agg(F.collect_list(F.col("alert_id").cast("long")).alias("_ids"))
+        out, ids = out.join(a, KEY, "full_outer"), F.col("_ids")
+    if log is not None:
+        day = F.datediff(F.to_date("txn_time"), F.lit("1970-01-01").cast("date"))
+        d = (log.filter("txn_type = 'ISSUE'").groupBy(*KEY, day.alias("day")).agg(F.sum(F.abs("qty_change")).cast("long").alias("units"))
+             .groupBy(*KEY).agg(F.collect_list(F.struct("day", "units")).alias("_days")))
+        out, days = out.join(d, KEY, "full_outer"), F.col("_days")
+    return out.select(*KEY, "qty_on_hand", ids.alias("open_alerts"), days["day"].alias("days"), days["units"].alias("units"))
 
 
 def inventory_events(movement_stream: DataFrame, opening: DataFrame, products: DataFrame,
-                     suppliers: DataFrame, lookback: int = DEFAULT_LOOKBACK_DAYS) -> DataFrame:
-    """S1 + S4 on a movement stream (schema ``schemas.MOVEMENTS``); returns the event stream."""
-    o = opening.select(*KEY, F.col("qty_on_hand").alias("opening_qty"))
+                     suppliers: DataFrame, lookback: int = DEFAULT_LOOKBACK_DAYS, open_alerts: DataFrame | None = None,
+                     log: DataFrame | None = None, watermark: str = "1 day") -> DataFrame:
+    """S1 + S4 on a movement stream (schema ``schemas.MOVEMENTS``); returns the event stream.
+
+    ``open_alerts`` (with ``alert_id``) and the ledger ``log`` are what came before the stream. The session has
+    to name the RocksDB state store (``streaming.finite.rocksdb`` or ``PROVIDER_CONF``).
+    """
     lead = product_lead_time(products, suppliers)
-    p = products.select("product_id", "reorder_min").join(lead, "product_id", "left")
-    s = (movement_stream.join(o, KEY, "left").join(p, "product_id", "left")
-         .withColumn("lead_time_days", F.coalesce("lead_time_days", F.lit(DEFAULT_LEAD_TIME_DAYS))))
-    return s.groupBy(*KEY).applyInPandasWithState(
-        _make_processor(lookback), EVENT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+    p = products.select("product_id", "reorder_min", "active_flag").join(lead, "product_id", "left")
+    s = (movement_stream.join(p, "product_id", "left")
+         .withColumn("lead_time_days", F.coalesce("lead_time_days", F.lit(DEFAULT_LEAD_TIME_DAYS)))
+         .withColumn("_at", as_instant("request_time")).withWatermark("_at", watermark))
+    return s.groupBy(*KEY).transformWithStateInPandas(
+        InventoryProcessor(lookback), EVENT_SCHEMA, "append", "EventTime",
+        cut_lineage(initial_state(opening, open_alerts, log)).groupBy(*KEY))
 
 
 def stream_order_admission(events: DataFrame) -> DataFrame:

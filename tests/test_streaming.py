@@ -1,6 +1,8 @@
 """S1-S4 on a finite stream (availableNow, one file per trigger): streaming result = batch result."""
 
+import datetime as dt
 import os
+import shutil
 import time
 import uuid
 
@@ -15,6 +17,9 @@ from stockflow.sources import driver_tables as D
 from stockflow.sources import schemas
 from stockflow.streaming import aggregates as sa
 from stockflow.streaming import stateful as ss
+from stockflow.streaming.finite import rocksdb
+from stockflow.streaming.sinks import start_idempotent_sink, write_batch
+from tests.model import forecast
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,7 +34,7 @@ def zone(spark, request):
 
 def write_daily_files(df, path, time_col):
     """Split a small batch into one parquet file per day, oldest first (file mtime order)."""
-    pdf = df.toPandas()
+    pdf = df.toPandas().astype({c: "Int64" for c, t in df.dtypes if t == "bigint"})
     os.makedirs(path, exist_ok=True)
     days = sorted(pdf[time_col].dt.date.unique())
     t0 = time.time() - 10_000
@@ -58,18 +63,28 @@ def movement_dir(spark, tmp_path_factory):
     return path
 
 
-def test_stream_admission_and_alerts_equal_batch(spark, movement_dir):
-    stream = spark.readStream.schema(schemas.MOVEMENTS).option("maxFilesPerTrigger", 1).parquet(movement_dir)
+ADMISSION = ["accepted", "reject_reason", "available", "qty_after", "stock_updated", "message"]
+
+
+def test_stream_admission_and_alerts_equal_batch(spark, movement_dir, tmp_path):
+    """One file a micro-batch, then a restart with another batch size: all C1 columns and all alert
+    events equal the batch operators."""
     opening, prods, sups = D.movement_opening(spark, SF), D.products(spark, SF), D.suppliers(spark, SF)
-    ev = run_stream(spark, ss.inventory_events(stream, opening, prods, sups), "inv_events")
-    ev = cut_lineage(ev)
-    adm = mv.admit_movements(D.movements(spark, SF), opening)
-    got = {r.request_id: (r.accepted, r.reject_reason, r.available, r.qty_after)
-           for r in ss.stream_order_admission(ev).collect()}
-    exp = {r.request_id: (r.accepted, r.reject_reason, r.available, r.qty_after) for r in adm.collect()}
-    assert got == exp
-    assert sum(1 for v in exp.values() if not v[0]) > 0
-    adm = cut_lineage(adm)
+    half = len(os.listdir(movement_dir)) // 2
+    src = tmp_path / "in"
+    src.mkdir()
+    files = sorted(f for f in os.listdir(movement_dir) if f.endswith(".parquet"))
+    for part, per in ((files[:half], 1), (files[half:], 5)):
+        for f in part:
+            shutil.copy2(os.path.join(movement_dir, f), src / f)
+        stream = spark.readStream.schema(schemas.MOVEMENTS).option("maxFilesPerTrigger", per).parquet(str(src))
+        with rocksdb(spark):
+            start_idempotent_sink(ss.inventory_events(stream, opening, prods, sups), str(tmp_path / "out"), f"events-{per}",
+                                  available_now=True, checkpoint_location=str(tmp_path / "state")).awaitTermination(600)
+    ev = cut_lineage(spark.read.parquet(str(tmp_path / "out")).drop("batch_id"))
+    adm = cut_lineage(mv.admit_sequence(D.movements(spark, SF), opening))
+    got = {r.request_id: tuple(r[c] for c in ADMISSION) for r in ss.stream_order_admission(ev).collect()}
+    assert got == {r.request_id: tuple(r[c] for c in ADMISSION) for r in adm.collect()}
     raised = cut_lineage(al.alert_timeline(al.updates_from_admission(adm), prods))
     batch = {r.alert_id: r for r in al.alert_suggested_qty(raised, mv.movement_ledger(adm), prods, sups).collect()}
     alerts = ss.stream_alerts(ev).collect()
@@ -82,6 +97,52 @@ def test_stream_admission_and_alerts_equal_batch(spark, movement_dir):
         assert (k in resolved) == (b.resolved_flag == "Y")
 
 
+def test_state_is_bounded_and_old_days_do_not_count(spark, tmp_path):
+    """A year of daily orders: a key holds a lookback of days, and its alerts forecast from them alone;
+    an idle key sheds its days by the timer; open alerts and earlier issues enter as initial state."""
+    t0 = dt.datetime(2024, 1, 1, 9)
+    prods = spark.createDataFrame([(1, "A", "a", None, None, 5, "Y"), (2, "B", "b", None, None, 5, "Y")],
+                                  "product_id long, sku string, product_name string, unit_price decimal(10,2), supplier_id long, reorder_min long, active_flag string")
+    sups = spark.createDataFrame([], schemas.SUPPLIERS)
+    opening = spark.createDataFrame([(1, 1, 100, t0), (2, 1, 50, t0)], schemas.PRODUCT_STOCK)
+    open_alerts = spark.createDataFrame([(77, 1, 1, "N"), (78, 1, 1, "N"), (79, 2, 1, "Y")],
+                                        "alert_id long, product_id long, warehouse_id long, resolved_flag string")
+    log = spark.createDataFrame([(0, 1, 1, "ISSUE", -9, t0 - dt.timedelta(days=3), "u")], schemas.STOCK_TXN_LOG)
+    rows = []
+    for d in range(365):
+        t = t0 + dt.timedelta(days=d)
+        rows.append((4 * d, t, 1, 1, "ORDER", 1 + d % 4))
+        rows.append((4 * d + 1, t + dt.timedelta(hours=1), 1, 1, "RECEIPT", 1 + d % 4 if d % 30 else 7))
+        if d < 3:
+            rows.append((4 * d + 2, t, 2, 1, "ORDER", 2))
+        if d in (20, 200, 201):
+            rows.append((4 * d + 3, t + dt.timedelta(hours=2), 1, 1, "ORDER", {20: 102, 200: 36, 201: 0}[d]))
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for k in range(0, 365, 73):
+        part = [r for r in rows if k <= (r[1] - t0).days < k + 73]
+        spark.createDataFrame(part, schemas.MOVEMENTS).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schemas.MOVEMENTS).parquet(src)
+        with rocksdb(spark):
+            start_idempotent_sink(ss.inventory_events(stream, opening, prods, sups, open_alerts=open_alerts, log=log), out,
+                                  f"year-{k}", available_now=True, checkpoint_location=str(tmp_path / "state")).awaitTermination(600)
+            days = (spark.read.format("statestore").option("stateVarName", "days").load(str(tmp_path / "state"))
+                    .groupBy("key").count().collect())
+        per = {r["key"]["product_id"]: r["count"] for r in days}
+        # a slice's own days are all alive until the watermark moves after it
+        assert per.get(1, 0) <= 73 + 32 and per.get(2, 0) <= 3
+    assert 2 not in per                                            # idle since day 2
+    ev = spark.read.parquet(out)
+    assert sorted(r.alert_id for r in ev.filter("event = 'RESOLVED'").collect())[:2] == [77, 78]
+    ledger = [dict(product_id=1, warehouse_id=1, txn_type="ISSUE", qty_change=-9, txn_time=t0 - dt.timedelta(days=3))]
+    adm = sorted(ev.filter("event = 'ADMISSION' AND accepted AND kind = 'ORDER' AND product_id = 1").collect(), key=lambda r: r.request_id)
+    ledger += [dict(product_id=1, warehouse_id=1, txn_type="ISSUE", qty_change=-r.qty, txn_time=r.request_time, id=r.request_id) for r in adm]
+    raised = ev.filter("event = 'RAISED'").collect()
+    assert len(raised) > 10
+    for r in raised:
+        visible = [x for x in ledger if x.get("id", -1) < r.request_id]
+        assert r.suggested_qty == forecast(visible, (1, 1), r.request_time)
+
+
 def test_stream_daily_issue_closed_days(spark, tmp_path, zone):
     path = str(tmp_path / "ledger")
     write_daily_files(D.ledger_events(spark, SF), path, "txn_time")
@@ -109,13 +170,13 @@ def test_stream_monthly_consumption(spark, tmp_path, zone):
 
 
 def test_idempotent_sink(spark, movement_dir, tmp_path):
-    from stockflow.streaming.sinks import start_idempotent_sink, write_batch
     stream = spark.readStream.schema(schemas.MOVEMENTS).option("maxFilesPerTrigger", 2).parquet(movement_dir)
     opening, prods, sups = D.movement_opening(spark, SF), D.products(spark, SF), D.suppliers(spark, SF)
     out = str(tmp_path / "events")
-    q = start_idempotent_sink(ss.stream_order_admission(ss.inventory_events(stream, opening, prods, sups)),
-                              out, "admission_sink", available_now=True)
-    q.awaitTermination(600)
+    with rocksdb(spark):
+        q = start_idempotent_sink(ss.stream_order_admission(ss.inventory_events(stream, opening, prods, sups)),
+                                  out, f"admission_sink_{uuid.uuid4().hex}", available_now=True)
+        q.awaitTermination(600)
     first = spark.read.parquet(out)
     n, batches = first.count(), [r.batch_id for r in first.select("batch_id").distinct().collect()]
     assert n == D.movements(spark, SF).count() and len(batches) > 1
@@ -127,3 +188,10 @@ def test_idempotent_sink(spark, movement_dir, tmp_path):
 
 def test_checkpoint_location_is_stable(spark):
     assert ss.stream_checkpoint(spark, "q") == ss.stream_checkpoint(spark, "q") != ss.stream_checkpoint(spark, "r")
+
+
+def test_session_settings_are_restored(spark):
+    old = spark.conf.get(ss.PROVIDER_CONF, None)
+    with rocksdb(spark):
+        assert spark.conf.get(ss.PROVIDER_CONF) == ss.ROCKSDB
+    assert spark.conf.get(ss.PROVIDER_CONF, None) == old
