@@ -76,12 +76,18 @@ def remove_shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = cut_lineage(shared_keys(keyed, min_docs))
     total = shared.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     is_heavy = F.col("n") * HEAVY_PARTS >= F.lit(total)
-    heavy = F.broadcast(shared.filter(is_heavy).drop("n"))
-    light = shared.filter(~is_heavy).drop("n")
+    heavy = shared.filter(is_heavy).select(F.col("a").alias("ha"), F.col("b").alias("hb"), F.struct("holder").alias("h"))
+    light = shared.filter(~is_heavy).select(F.col("a").alias("la"), F.col("b").alias("lb"), F.struct("holder").alias("l"))
     lines = (keyed.select("id", "ta", "tb", F.explode("lines").alias("x"))
              .select("id", "ta", "tb", F.col("x.pos").alias("pos"), F.col("x.k.a").alias("a"), F.col("x.k.b").alias("b")))
-    hit = (lines.join(heavy, ["a", "b"])
-           .unionByName(lines.join(heavy.drop("holder"), ["a", "b"], "left_anti").join(light, ["a", "b"])))
+    seen = lines.join(F.broadcast(heavy), (F.col("a") == F.col("ha")) & (F.col("b") == F.col("hb")), "left")
+    # lines of heavy keys are through: they go on under a key that meets nothing, spread over all tasks
+    through = F.col("h").isNotNull()
+    seen = seen.select("id", "ta", "tb", "pos", "h", F.when(through, F.xxhash64("ta", "pos")).otherwise(F.col("a")).alias("a"),
+                       F.when(~through, F.col("b")).alias("b"))
+    hit = (seen.join(light, (F.col("a") == F.col("la")) & (F.col("b") == F.col("lb")), "left")
+           .select("id", "ta", "tb", "pos", F.coalesce("h", "l").alias("of")).filter(F.col("of").isNotNull())
+           .select("id", "ta", "tb", "pos", "of.holder"))
     # alike rows lose alike positions: a set, no larger than the lines of one text
     drops = (hit.filter(~F.col("id").eqNullSafe(F.col("holder")))
              .groupBy("id", "ta", "tb").agg(F.collect_set("pos").alias("gone"))
