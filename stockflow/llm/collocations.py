@@ -38,7 +38,7 @@ SAMPLE_ONE_IN, SAMPLE_EASE = 8, 0.5
 #: Bits of the filter for each proposal (a power of two above), and its largest size (128 MB).
 BITS_EACH, MAX_BITS = 16, 2 ** 30
 #: Words that a task gathers before it counts them, and different words that it remembers beyond that.
-GATHER, KEEP_WORDS = 2_000_000, 300_000
+GATHER, KEEP_WORDS = 3_000_000, 300_000
 #: A key that holds this part of a join's rows is looked up in a broadcast: there are at most so many.
 HEAVY_PARTS = 4096
 #: Ways a language is dealt for its best phrases.
@@ -202,14 +202,15 @@ def on_border(h: np.ndarray, proposed: Proposals, heavy: Proposals) -> list[tupl
 
 
 def beyond_border(h: np.ndarray, proposed: Proposals, failed: Proposals, frequent: Proposals) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The phrases of frequent words that contain a failed phrase and were not on the border."""
-    some = (h > PIECE_END) & frequent.holds(h)
-    out, inside = [(h, np.zeros(len(h), bool))], some & failed.holds(h)
+    """The phrases that contain a failed phrase and were not on the border, less those with a part
+    that is known to be infrequent: a word or counted phrase that is not among the frequent ones."""
     known = border_grams(h, proposed)
-    for n in range(2, LONGEST + 1):
-        phrase, was = known[n - 1]
-        some = some[:-1] & some[1:]
-        inside = some & (inside[:-1] | inside[1:] | failed.holds(phrase))
+    hopeful = (h > PIECE_END) & frequent.holds(h)
+    out, inside = [(h, np.zeros(len(h), bool))], hopeful & failed.holds(h)
+    for phrase, was in known[1:]:
+        parts = hopeful[:-1] & hopeful[1:]
+        hopeful = parts & (~was | frequent.holds(phrase))
+        inside = parts & (inside[:-1] | inside[1:] | failed.holds(phrase))
         out.append((phrase, inside & ~was))
     return out
 
@@ -289,7 +290,7 @@ def mine(docs: DataFrame, at_least: int, proposed: Proposals, seed: int) -> Data
     failed = cut_lineage(phrase_hashes(found.filter(enough & (F.col(W[-1]) == 0)), unless=proposed))
     if failed.isEmpty():
         return found
-    frequent = propose(phrase_hashes(words.filter(enough)))
+    frequent = propose(phrase_hashes(found.filter(enough & (F.col(W[-1]) == 0))))
     more = exact_counts(docs, beyond_border, (proposed, propose(failed), frequent), seed, False)
     return found.unionByName(cut_lineage(more.filter(enough)))
 

@@ -120,10 +120,15 @@ def test_places_around_failures():
             p.cells[at >> 3] |= 1 << (at & 7)
         return p
     h = np.array([10, 11, 12, 13, 1, 11, 14], np.uint64)
-    got = co.beyond_border(h, held((10,), (11,), (12,), (13,)), held((11, 12)), held((10,), (11,), (12,), (13,)))
-    phrases = [[tuple(map(int, h[i:i + n])) for i in np.flatnonzero(ok)] for n, (_, ok) in enumerate(got, 1)]
+    words = [(10,), (11,), (12,), (13,)]
+
+    def around(*frequent):
+        got = co.beyond_border(h, held(*words), held((11, 12)), held(*words, *frequent))
+        return [[tuple(map(int, h[i:i + n])) for i in np.flatnonzero(ok)] for n, (_, ok) in enumerate(got, 1)]
     # 11 12 itself was on the border, its extensions were not
-    assert phrases == [[], [], [(10, 11, 12), (11, 12, 13)], [(10, 11, 12, 13)]]
+    assert around((10, 11), (11, 12), (12, 13)) == [[], [], [(10, 11, 12), (11, 12, 13)], [(10, 11, 12, 13)]]
+    # 12 13 was counted and is not frequent: nothing that holds it can be
+    assert around((10, 11), (11, 12)) == [[], [], [(10, 11, 12)], []]
 
 
 def test_empty_table(docs):
