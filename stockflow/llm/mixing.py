@@ -1,11 +1,11 @@
 """Operator 9: mixing sources to target weights, with DataFrame functions only.
 
-Each document gets a hash-random key. Within a source, documents are range-partitioned by key
-(a fixed number of equal key ranges, so a source holding a third of all rows is spread over all
-of them) and sorted inside each range. Word counts are summed per range, a running sum over the
-ranges gives each range its offset, and a running sum inside the range gives each document its
-place in the source. The source is then cut at its exact budget, going round as often as the
-budget asks.
+Each document gets a hash-random key. All documents are range-sorted by source and key and cut into
+chunks of a set number of rows, so a source that holds a third of all rows is spread over many
+chunks, rows alike in every column too. Word counts are summed in each chunk and source, the sums
+of the chunks before give each chunk its offset, and a running sum inside the chunk gives each
+document its place in the source. The source is then cut at its exact budget, going round as often
+as the budget asks.
 """
 
 from __future__ import annotations
@@ -13,11 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockflow.llm.common import WORD
-from stockflow.session import cut_lineage
-
-#: Hex digits of the key that name a key range: 16 ** 3 ranges per source, at every size.
-RANGE_DIGITS = 3
+from stockflow.functions.running import chunked, running_sums
+from stockflow.llm.common import WORD, row_key
 
 
 def source_targets(totals: DataFrame, weights=(5, 2, 1), share: float = 1.5,
@@ -64,66 +61,55 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """How many words of each document the mix takes.
 
     Returns one row per input row: ``doc_id``, ``size``, ``source_size``, ``target`` (its
-    source's), ``taken`` and ``source``. ``taken`` counts repeats: whole rounds first, then the
-    documents of one more round in key order up to the budget, whose last document is cut. The
-    taken words of a source sum to its target rounded down.
+    source's), ``taken``, ``source`` and ``row`` (a key of all its columns). ``taken`` counts repeats:
+    whole rounds first, then the documents of one more round in key order up to the budget, whose
+    last document is cut. The taken words of a source sum to its target rounded down.
 
     Null texts and texts without words have size 0 and ``taken`` 0. A null source is a source of
-    its own, ordered last. Null ids share one key. Rows repeated with the same id follow one
-    another (same key, by size); each counts. Other columns are ignored. An empty table gives an
-    empty result. The keys depend on ids and ``seed`` alone, so reruns agree.
+    its own, ordered last. Null ids are keyed by their text. Rows repeated with the same id follow
+    one another (same key, by size, then by their other columns); each counts. Other columns are
+    ignored. An empty table gives an empty result. Keys depend on the rows and ``seed`` alone, so
+    reruns agree, in any partitioning.
     """
-    rows = cut_lineage(docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-        word_count(F.col(text_col)).alias("size"),
-        F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-              .cast("binary")).alias("_key"))
-        .withColumn("_range", F.substring("_key", 1, RANGE_DIGITS)))
-    ranges = rows.groupBy("source", "_range").agg(F.sum("size").alias("_sum"))
-    targets = source_targets(ranges.groupBy("source").agg(F.sum("_sum").alias("source_size")),
-                             weights, share, max_epochs)
-    ahead = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (ranges.withColumn("_start", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)))
-              .select(F.col("source").alias("_s"), F.col("_range").alias("_r"), "_start"))
-    inside = (Window.partitionBy("source", "_range").orderBy("_key", "size")
-              .rowsBetween(Window.unboundedPreceding, -1))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("|"), F.md5(text.cast("binary"))))
+    order = ["_key", "size", "row", "_tie"]
+    rows = chunked(docs.select(
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
+        F.md5(F.concat(F.lit(seed + "|"), key).cast("binary")).alias("_key"),
+        row_key(text_col, *(c for c in docs.columns if c != text_col)).alias("row"),
+        F.monotonically_increasing_id().alias("_tie")), ["source"], order)      # tells rows alike in all else apart
+    targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, max_epochs)
     t = targets.withColumnRenamed("source", "_ts")
-    placed = (rows.withColumn("_in", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-              .join(starts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r")))
+    placed = (running_sums(rows, ["source"], order, {"_upto": F.col("size")})
               .join(t, F.col("source").eqNullSafe(F.col("_ts"))))
-    budget = F.floor("target")
     rounds = F.when(F.col("source_size") > 0, F.expr("floor(target) div source_size")).otherwise(0)
-    rest = budget - F.col("_rounds") * F.col("source_size")
-    part = F.least(F.col("size"), F.greatest(F.lit(0), rest - (F.col("_start") + F.col("_in"))))
+    rest = F.floor("target") - F.col("_rounds") * F.col("source_size")
+    part = F.least(F.col("size"), F.greatest(F.lit(0), rest - (F.col("_upto") - F.col("size"))))
     return (placed.withColumn("_rounds", rounds)
             .select("doc_id", "size", "source_size", "target",
-                    (F.col("_rounds") * F.col("size") + part).cast("long").alias("taken"), "source"))
+                    (F.col("_rounds") * F.col("size") + part).cast("long").alias("taken"), "source", "row"))
 
 
-def mixed_documents(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id",
-                    text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+def mixed_documents(docs: DataFrame, mix: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """The documents as the mix takes them, with the columns of ``docs``.
 
     A document taken twice gives two rows; one taken in part is cut after its last taken word
-    (and its ``n_chars`` set anew). Documents not taken are left out. Rows are matched by id,
-    size and their number among equals, so repeated ids do not multiply.
+    (and its ``n_chars`` set anew). Documents not taken are left out. Rows are matched by the key of all
+    their columns, so it does not matter that ids are null or repeat: of rows alike in every column
+    one meets what the mix takes of each of them.
     """
     cols = docs.columns
-    nth = Window.partitionBy(id_col, "__mx_size").orderBy(F.lit(0))
-    left = (docs.withColumn("__mx_size", word_count(F.col(text_col)))
-            .withColumn("__mx_nth", F.row_number().over(nth)))
-    right = (mix.filter("taken > 0")
-             .select(F.col("doc_id").alias("__mx_id"), F.col("size").alias("__mx_of"), F.col("taken").alias("__mx_taken"))
-             .withColumn("__mx_no", F.row_number().over(
-                 Window.partitionBy("__mx_id", "__mx_of").orderBy(F.desc("__mx_taken")))))
-    joined = left.join(right, F.col(id_col).eqNullSafe(F.col("__mx_id")) & (F.col("__mx_size") == F.col("__mx_of"))
-                       & (F.col("__mx_nth") == F.col("__mx_no")))
+    once = docs.withColumn("__mx_row", row_key(text_col, *(c for c in cols if c != text_col))).dropDuplicates(["__mx_row"])
+    take = mix.filter("taken > 0").select(F.col("row").alias("__mx_of"), F.col("size").alias("__mx_size"),
+                                          F.col("taken").alias("__mx_taken"))
+    joined = take.join(once, F.col("__mx_of") == F.col("__mx_row"))
     size, words = F.col("__mx_size"), F.col("__mx_words")
     word_runs = F.regexp_extract_all(F.col(text_col), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), 0)
     cut = F.array_join(F.slice(word_runs, F.lit(1), words.cast("int")), "")
     out = (joined.withColumn("__mx_copy", F.explode(F.expr("sequence(0L, (__mx_taken - 1) div __mx_size)")))
            .withColumn("__mx_words", F.least(size, F.col("__mx_taken") - F.col("__mx_copy") * size))
-           .withColumn(text_col, F.when(words < size, cut).otherwise(F.col(text_col))))
+           .withColumn("__mx_text", F.when(words < size, cut).otherwise(F.col(text_col))))
     if chars_col in cols:
-        out = out.withColumn(chars_col, F.when(words < size, F.length(text_col).cast("long")).otherwise(F.col(chars_col)))
-    return out.select(*cols)
+        out = out.withColumn(chars_col, F.when(words < size, F.length("__mx_text").cast("long")).otherwise(F.col(chars_col)))
+    return out.withColumn(text_col, F.col("__mx_text")).select(*cols)

@@ -229,11 +229,12 @@ def best_fit_pack(docs: DataFrame, vocabulary: Vocabulary, capacity: int = 2048,
 
     Null and empty texts are one piece of one token. Rows that repeat an id are packed each on
     its own. Null ids are kept. Other columns are ignored; an empty table gives no rows. Very
-    long texts become many pieces, dealt over all groups. The same input gives the same packing.
+    long texts become many pieces, dealt over all groups, and so are rows alike in every column. The
+    same rows in the same partitions give the same packing.
     """
     p = cut_lineage(pieces(docs, vocabulary, capacity, id_col, text_col))
     groups = max(1, round(p.count() / group_pieces))
-    dealt = p.withColumn("_g", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
+    dealt = p.withColumn("_g", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups)))
 
     def pack(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([(c, "ascending") for c in ("doc_id", "piece", "ids_crc32")]).drop_columns("_g")

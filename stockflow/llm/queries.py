@@ -88,7 +88,7 @@ QUERIES = {f.__name__: _bound(f) for f in (op1_quality, op2_suffix_dedup, op3_ne
 OP9_SQL = r"""
 with d as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
-         md5('mix|' || coalesce(cast(doc_id as varchar), '')) as k
+         md5('mix|' || coalesce(cast(doc_id as varchar), '|' || md5(coalesce(text, '')))) as k
   from documents),
 s as (
   select source, sum(size) as source_size,

@@ -289,9 +289,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     y = (labels.select(F.col("doc_id").alias("_id"), F.col(label_col).cast("int").alias("y"))
          .filter("y in (0, 1)").filter(crc_fold(F.col("_id")) != 0).groupBy("_id").agg(F.max("y").alias("y"))
          .withColumn("_h", F.xxhash64("_id")).orderBy("_h", "_id").limit(fit_rows))
-    # at most fit_rows ids are broadcast, so the texts stay in place; the sample is read several times
-    sample = cut_lineage(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")).join(
-        F.broadcast(y), F.col("doc_id") == F.col("_id")).withColumn("part", F.pmod(F.col("_h"), F.lit(4))))
+    # at most fit_rows ids are broadcast, so the texts stay in place; an id may have any number of
+    # rows, so the different texts are told by their hashes and again at most fit_rows are taken
+    text = F.coalesce(text_col, F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"),
+                       F.xxhash64(text).alias("t")).join(F.broadcast(y), F.col("doc_id") == F.col("_id"))
+    chosen = cut_lineage(rows.select("_h", "doc_id", "t").distinct().orderBy("_h", "doc_id", "t").limit(fit_rows)
+                         .select(F.col("doc_id").alias("c_id"), F.col("t").alias("c_t")))
+    sample = cut_lineage(rows.join(F.broadcast(chosen), (F.col("doc_id") == F.col("c_id")) & (F.col("t") == F.col("c_t")))
+                         .dropDuplicates(["doc_id", "t"]).drop("c_id", "c_t", "t").withColumn("part", F.pmod(F.col("_h"), F.lit(4))))
     learn, calibrate = sample.filter("part != 0"), sample.filter("part = 0")
     odds = _counts(learn)
     got = _telling(learn, odds).toArrow()
@@ -323,8 +329,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     Null and empty texts score as one window without words. Null ids count as the empty text in
     the fold and are never learned from; a label row whose id repeats counts once (toxic wins).
-    Without labels of both kinds every score is 0. Repeated rows are returned as given; other
-    columns are ignored; an empty table gives no rows. ``fit_rows`` bounds the labelled texts.
+    Without labels of both kinds every score is 0. Repeated rows are returned as given, and learned
+    from once; other columns are ignored; an empty table gives no rows. ``fit_rows`` bounds the labelled texts.
     """
     net = fit(docs, labels, id_col, text_col, label_col, fit_rows)
     held = (crc_fold(F.col("doc_id")) == 0).alias("held_out")
