@@ -2,7 +2,12 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all documents that its predecessor kept;
 all but the last return the columns of documents. ``run`` writes each stage as Parquet in the
-shared folder and reads it again as the next one's documents.
+shared folder and reads it again as the next one's documents; a stage's table goes once its successor
+is written, the last one stays for the result to be read from.
+
+Rows stand for themselves: null and repeated ids, texts that are null, empty or very long, repeated
+rows and columns of any name pass through every stage, each by the rule of its operator. Of rows alike
+in every column near-duplicate removal keeps one. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -49,10 +54,18 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [("quality classifier", quality_stage), ("SimHash near-dedup", near_dedup_stage),
           ("secret scans", secrets_stage), ("mixing sources", mixing_stage), ("best-fit packing", packing_stage)]
 
-#: Fitted models, tokenizers and fingerprints have no SQL; tests hold the stages against brute force.
+#: Fitted models, tokenizers and fingerprints have no SQL; tests/llm/test_pipeline.py holds every stage
+#: of a run against a brute-force version.
 ORACLE_SQL = None
 
 
+def _drop(spark: SparkSession, path: str) -> None:
+    """Remove a stage's table from the shared folder."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     at = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
@@ -60,4 +73,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{at}/{k}")
         docs = spark.read.parquet(f"{at}/{k}")
+        if k:
+            _drop(spark, f"{at}/{k - 1}")
     return docs
