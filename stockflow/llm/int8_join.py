@@ -3,8 +3,10 @@
 Equal vectors are one node. The nodes are dealt into tiles, every pair of tiles is one group, and
 a group multiplies the int8 codes of its two tiles. With ``u = s q + e`` the true cosine lies
 within ``|e_u| |s_v q_v| + |e_v|`` of the product of the codes, so a pair is linked or dropped at
-once unless the threshold lies inside that range; only such pairs are computed in full precision.
-A group returns counts of links per node and links that span its groups, never all pairs.
+once unless the threshold lies inside that range. Only codes cross the grid of tile pairs. A group
+names the nodes of its undecided pairs, and in a second pass these nodes alone meet there with
+their vectors, where the undecided pairs are computed in full precision. A group returns counts of
+links per node and links that span its groups, never all pairs.
 """
 
 from __future__ import annotations
@@ -21,12 +23,14 @@ from stockflow.llm.components import components
 from stockflow.llm.vectors import cosines, matrix, unit, usable_rows
 from stockflow.session import cut_lineage
 
-#: Mean number of distinct vectors in a tile.
-TILE_ROWS = 2048
+#: Mean number of distinct vectors in a tile, and rows of a tile multiplied at once.
+TILE_ROWS, STEP = 8192, 256
 #: Of rounding in double precision, added to every bound.
 SLACK = 1e-9
 
-CODED = "rep long, copies long, dim int, code binary, scale double, err double, full binary"
+CODED = "node long, copies long, dim int, code binary, scale double, err double"
+FOUND = "kind int, u long, v long, n long, a int, b int"
+COUNT, LINK, UNSURE = 0, 1, 2
 
 
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -46,13 +50,20 @@ def code_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def tile_links(qa, sa, ea, xa, qb, sb, eb, xb, threshold: float) -> np.ndarray:
-    """Boolean matrix of the pairs with cosine at or above the threshold."""
+def judge_pairs(qa, sa, ea, qb, sb, eb, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Boolean matrices of the pairs surely at or above the threshold, and of the undecided ones."""
     est = code_product(qa, qb).astype(np.float64) * sa[:, None] * sb[None]
     length = np.sqrt((qb.astype(np.float64) ** 2).sum(1)) * sb
     bound = ea[:, None] * length[None] + eb[None] + SLACK
     sure = est - bound >= threshold
-    i, j = np.nonzero((est + bound >= threshold) & ~sure)
+    return sure, (est + bound >= threshold) & ~sure
+
+
+def tile_links(qa, sa, ea, xa, qb, sb, eb, xb, threshold: float) -> np.ndarray:
+    """Boolean matrix of the pairs with cosine at or above the threshold; the undecided ones are
+    computed from the unit vectors ``xa`` and ``xb``."""
+    sure, unsure = judge_pairs(qa, sa, ea, qb, sb, eb, threshold)
+    i, j = np.nonzero(unsure)
     hit = cosines(xa, xb, i, j) >= threshold
     sure[i[hit], j[hit]] = True
     return sure
@@ -64,14 +75,49 @@ def _coded(nodes: DataFrame) -> DataFrame:
             dims = b.column(2).to_numpy()
             for d in np.unique(dims):
                 part = b.filter(pa.array(dims == d))
-                x = unit(matrix(part.column(3)))
-                q, scale, err = quantise(x)
+                q, scale, err = quantise(unit(matrix(part.column(3))))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), part.column(2), pa.array([r.tobytes() for r in q], pa.binary()),
-                     pa.array(scale), pa.array(err), pa.array([r.tobytes() for r in x], pa.binary())],
-                    names=["rep", "copies", "dim", "code", "scale", "err", "full"])
+                    [*part.columns[:3], pa.array([r.tobytes() for r in q], pa.binary()), pa.array(scale), pa.array(err)],
+                    names=["node", "copies", "dim", "code", "scale", "err"])
+
+    return nodes.select("node", "copies", "dim", "v").mapInArrow(run, CODED)
+
+
+class Links:
+    """Links of a group, gathered as counts per node and a spanning star of each linked set."""
+
+    def __init__(self, node: np.ndarray, copies: np.ndarray):
+        self.node, self.copies = node, copies
+        self.count = np.zeros(len(node), np.int64)
+        self.us, self.vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
 
-    return nodes.select("rep", "copies", "dim", "v").mapInArrow(run, CODED)
+    def add(self, i: np.ndarray, j: np.ndarray, hit: np.ndarray, both: bool) -> None:
+        """Pairs ``i`` x ``j`` (row numbers) where ``hit``; ``both`` counts them for ``j`` too."""
+        self.count[i] += hit @ self.copies[j]
+        if both:
+            self.count[j] += self.copies[i] @ hit
+        u, v = np.nonzero(hit)
+        if len(u):
+            root = local_components(len(self.node), i[u], j[v])
+            far = np.flatnonzero(root != np.arange(len(root)))
+            self.us.append(far)
+            self.vs.append(root[far])
+
+    def table(self, unsure: np.ndarray, a: int, b: int) -> pa.Table:
+        root = local_components(len(self.node), np.concatenate(self.us), np.concatenate(self.vs))
+        far, some, open_ = np.flatnonzero(root != np.arange(len(root))), np.flatnonzero(self.count), np.flatnonzero(unsure)
+        kinds = np.repeat(np.array([LINK, COUNT, UNSURE], np.int32), [len(far), len(some), len(open_)])
+        u = self.node[np.concatenate([far, some, open_])]
+        v = np.concatenate([self.node[root[far]], self.node[some], self.node[open_]])
+        n = np.concatenate([np.zeros(len(far), np.int64), self.count[some], np.zeros(len(open_), np.int64)])
+        return pa.table({"kind": kinds, "u": u, "v": v, "n": n, "a": np.full(len(u), a, np.int32), "b": np.full(len(u), b, np.int32)})
+
+
+def _sides(t: np.ndarray, a: int, b: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers of the first tile, some at a time, with those of the second."""
+    left, right = np.flatnonzero(t == a), np.flatnonzero(t == b)
+    for at in range(0, len(left), STEP):
+        yield left[at:at + STEP], right
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -88,51 +134,52 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     """
     rows = usable_rows(vectors, id_col, vector_col)
     nodes = rows.groupBy("dim", "v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    # nodes are numbered by a hash of the vector: two different vectors of one id stay two nodes
-    nodes = cut_lineage(nodes.withColumn("node", F.xxhash64("v")))
+    # numbered in the checkpoint: two different vectors are two nodes, whatever their hashes
+    nodes = cut_lineage(nodes.withColumn("node", F.monotonically_increasing_id()))
     tiles = max(1, -(-nodes.count() // tile_rows))
-    coded = _coded(nodes.select(F.col("node").alias("rep"), "copies", "dim", "v"))
-    dealt = (coded.withColumn("t", F.pmod(F.xxhash64("rep"), F.lit(tiles)).cast("int"))
-             .withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))))
+    tile = F.pmod(F.xxhash64("node"), F.lit(tiles)).cast("int").alias("t")
+    dealt = (_coded(nodes).withColumn("t", tile).withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))))
              .withColumn("a", F.least("t", "o")).withColumn("b", F.greatest("t", "o")).drop("o"))
 
-    def join(key: tuple[pa.Scalar, ...], g: pa.Table) -> pa.Table:
+    def by_codes(key: tuple[pa.Scalar, ...], g: pa.Table) -> pa.Table:
         d, a, b = (k.as_py() for k in key)
-        t = g["t"].to_numpy()
-        left = np.flatnonzero(t == a)
-        right = np.flatnonzero(t == b)
-        rep, copies = g["rep"].to_numpy(), g["copies"].to_numpy()
+        node, t = g["node"].to_numpy(), g["t"].to_numpy()
         q = np.frombuffer(b"".join(g["code"].to_pylist()), np.int8).reshape(-1, d)
-        x = np.frombuffer(b"".join(g["full"].to_pylist()), np.float64).reshape(-1, d)
         s, e = g["scale"].to_numpy(), g["err"].to_numpy()
-        n = len(rep)
-        links = np.zeros(n, np.int64)
-        us, vs = [], []
-        for at in range(0, len(left), 512):
-            i = left[at:at + 512]
-            hit = tile_links(q[i], s[i], e[i], x[i], q[right], s[right], e[right], x[right], threshold)
+        links, unsure = Links(node, g["copies"].to_numpy()), np.zeros(len(node), bool)
+        for i, j in _sides(t, a, b):
+            hit, open_ = judge_pairs(q[i], s[i], e[i], q[j], s[j], e[j], threshold)
+            if a == b:
+                own = i[:, None] == j[None]
+                hit, open_ = hit & ~own, open_ & ~own
+            links.add(i, j, hit, a != b)
+            unsure[i] |= open_.any(1)
+            unsure[j] |= open_.any(0)
+        return links.table(unsure, a, b)
+
+    def by_vectors(key: tuple[pa.Scalar, ...], g: pa.Table) -> pa.Table:
+        d, a, b = (k.as_py() for k in key)
+        x = unit(matrix(g["v"]))
+        q, s, e = quantise(x)
+        links = Links(g["node"].to_numpy(), g["copies"].to_numpy())
+        for i, j in _sides(g["t"].to_numpy(), a, b):
+            _, open_ = judge_pairs(q[i], s[i], e[i], q[j], s[j], e[j], threshold)
             if a == b:
-                hit &= i[:, None] != right[None]
-                links[i] += hit @ copies[right]
-            else:
-                links[i] += hit @ copies[right]
-                links[right] += copies[i] @ hit
-            u, v = np.nonzero(hit)
-            if len(u):                                  # to a spanning star at once
-                root = local_components(n, i[u], right[v])
-                far = np.flatnonzero(root != np.arange(n))
-                us.append(far)
-                vs.append(root[far])
-        root = local_components(n, np.concatenate([*us, np.zeros(0, int)]), np.concatenate([*vs, np.zeros(0, int)]))
-        far, some = np.flatnonzero(root != np.arange(n)), np.flatnonzero(links)
-        return pa.table({
-            "u": np.append(rep[far], rep[some]),
-            "v": pa.array(np.append(rep[root[far]], rep[some])),
-            "n": np.append(np.zeros(len(far), np.int64), links[some])})
-
-    found = cut_lineage(dealt.groupBy("dim", "a", "b").applyInArrow(join, "u long, v long, n long"))
-    counts = found.groupBy("u").agg(F.sum("n").alias("n"))
-    roots = components(found.filter("u != v").select("u", "v"))
+                open_ &= i[:, None] != j[None]
+            u, v = np.nonzero(open_)
+            hit = np.zeros(open_.shape, bool)
+            hit[u, v] = cosines(x, x, i[u], j[v]) >= threshold
+            links.add(i, j, hit, a != b)
+        return links.table(np.zeros(len(x), bool), a, b)
+
+    first = cut_lineage(dealt.groupBy("dim", "a", "b").applyInArrow(by_codes, FOUND))
+    asked = first.filter(F.col("kind") == UNSURE).select(F.col("u").alias("node"), "a", "b")
+    second = cut_lineage(asked.join(nodes.select("node", "copies", "dim", "v", tile), "node")
+                         .select("node", "copies", "dim", "v", "t", "a", "b")
+                         .groupBy("dim", "a", "b").applyInArrow(by_vectors, FOUND))
+    found = first.unionByName(second)
+    counts = found.filter(F.col("kind") == COUNT).groupBy("u").agg(F.sum("n").alias("n"))
+    roots = components(found.filter(F.col("kind") == LINK).select("u", "v"))
     named = (nodes.select("node", "dim", "v", "rep", "copies")
              .join(counts, F.col("node") == F.col("u"), "left").drop("u")
              .join(roots.select(F.col("node").alias("_m"), "root"), F.col("node") == F.col("_m"), "left").drop("_m")
@@ -146,3 +193,23 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
             .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce("low", "vec_id").alias("component_id"))
             .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))))
+
+
+SQL = """
+with recursive v as (
+  select vec_id, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l as (
+  select a.vec_id as u, b.vec_id as v from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_inner_product(a.e, b.e) / sqrt(list_inner_product(a.e, a.e) * list_inner_product(b.e, b.e)) >= 0.9),
+reach as (
+  select vec_id, vec_id as r from v
+  union
+  select reach.vec_id, l.v from reach join l on l.u = reach.r),
+c as (select vec_id, min(r) as component_id from reach group by vec_id),
+n as (select u as vec_id, count(*) as n_links from l group by u)
+select e.vec_id, cast(coalesce(n.n_links, 0) as bigint) as n_links, coalesce(c.component_id, e.vec_id) as component_id,
+       coalesce(c.component_id, e.vec_id) is not distinct from e.vec_id as kept
+from embeddings e left join c on c.vec_id = e.vec_id left join n on n.vec_id = e.vec_id
+"""

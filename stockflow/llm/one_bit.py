@@ -21,7 +21,7 @@ from stockflow.llm.vectors import cosines, matrix, unit, usable_rows
 from stockflow.session import cut_lineage
 
 #: Mean rows of a candidate block and of a query block.
-BLOCK_ROWS, QUERY_ROWS = 1024, 1024
+BLOCK_ROWS, QUERY_ROWS = 8192, 4096
 #: The bound's width: the chance of a larger error is below 2 exp(-WIDTH ** 2 / 2).
 WIDTH = 4.0
 
@@ -54,8 +54,8 @@ def block_best(qid, q, cid, c, bits, fix, k: int) -> tuple[np.ndarray, np.ndarra
     """The ``k`` nearest of a block for each query: query number, candidate number, cosine."""
     rot = rotation(q.shape[1])
     out = []
-    for at in range(0, len(q), 256):
-        qs, ids = q[at:at + 256], qid[at:at + 256]
+    for at in range(0, len(q), 128):
+        qs, ids = q[at:at + 128], qid[at:at + 128]
         est, bound = estimate(qs, rot, bits, fix)
         own = ids[:, None] == cid[None]
         est[own] = -np.inf
@@ -107,7 +107,8 @@ def nearest(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
             .withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(q_blocks)).cast("int"))
             .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))))
             .select("dim", "qb", "cb", F.lit(1).alias("ask"), "vec_id", "v", F.lit(b"").alias("bits"), F.lit(0.0).alias("fix")))
-    gives = (coded.withColumn("cb", F.pmod(F.xxhash64("vec_id", "v"), F.lit(c_blocks)).cast("int"))
+    # the row number of the checkpoint spreads rows alike in id and vector over the blocks
+    gives = (coded.withColumn("cb", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(c_blocks)).cast("int"))
              .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
              .select("dim", "qb", "cb", F.lit(0).alias("ask"), "vec_id", "v", "bits", "fix"))
 

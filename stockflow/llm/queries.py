@@ -120,5 +120,5 @@ select doc_id, cast(size as bigint) as size, source_size, target,
 from p
 """
 
-ORACLE_SQL: dict[str, str] = {"op9_mixing": OP9_SQL, "op11_line_dedup": line_dedup.SQL,
+ORACLE_SQL: dict[str, str] = {"op7_near_vectors": int8_join.SQL, "op9_mixing": OP9_SQL, "op11_line_dedup": line_dedup.SQL,
                               "op12_hard_negatives": hard_negatives.SQL, "op13_collocations": collocations.SQL}
