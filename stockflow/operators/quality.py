@@ -7,7 +7,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stockflow.functions.exprs import check_fails, ts_lit
@@ -46,10 +46,36 @@ def dq_check_violations(df: DataFrame, rule_name: str, predicate: Column | str,
 def dq_missing_required(df: DataFrame, required_cols: Sequence[str], key_cols: Sequence[str],
                         table: str = "") -> DataFrame:
     """One row per (row, NOT NULL column) holding a NULL. One pass over ``df``."""
-    checks = F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required_cols])
-    key = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in key_cols])
-    return (df.select(key.alias("row_key"), F.explode(F.array_compact(checks)).alias("column_name"))
-            .select(F.lit(table).alias("table_name"), "row_key", "column_name"))
+    rules = [(c, "NOT NULL", F.col(c).isNull()) for c in required_cols]
+    return broken_rules(df, table, rules, key_cols).select("table_name", "row_key", F.col("rule_name").alias("column_name"))
+
+
+def row_key(key_cols: Sequence[str]) -> Column:
+    """The key of a row as text, parts of a compound key joined by |."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in key_cols])
+
+
+def broken_rules(df: DataFrame, table: str, rules: Sequence[tuple[str, str, Column]], key_cols: Sequence[str],
+                 observation: Observation | None = None) -> DataFrame:
+    """Every (row, rule) that is broken, of any number of row rules, in one pass over ``df``.
+
+    A rule is (name, kind, condition under which it is broken). ``observation`` collects the rows read and
+    the broken rows of each rule while the pass runs, so no second pass has to count them.
+    """
+    broken = {name: F.coalesce(cond, F.lit(False)) for name, _, cond in rules}
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"),
+                        *[F.count(F.when(c, 1)).alias(name) for name, c in broken.items()])
+    cells = [F.when(broken[name], F.struct(F.lit(name).alias("rule_name"), F.lit(kind).alias("kind"))) for name, kind, _ in rules]
+    return (df.select(row_key(key_cols).alias("row_key"), F.explode(F.array_compact(F.array(*cells))).alias("r"))
+            .select(F.lit(table).alias("table_name"), "row_key", "r.rule_name", "r.kind"))
+
+
+def row_rules(table: str) -> list[tuple[str, str, Column]]:
+    """All row rules of a table of the source: CHECK (broken only if FALSE), NOT NULL and VARCHAR lengths."""
+    out = [(name.split(".", 1)[1], "CHECK", check_fails(F.expr(pred))) for name, (tab, pred, _) in CHECK_RULES.items() if tab == table]
+    out += [(f"{c}_required", "NOT NULL", F.col(c).isNull()) for c in required_columns(table)]
+    return out + [(f"{c}_length", "LENGTH", F.length(c) > n) for c, n in MAX_LENGTHS.get(table, {}).items()]
 
 
 # Column defaults of the source tables; _CLOCK = the as_of clock, _USER = the acting user.
@@ -94,6 +120,16 @@ CHECK_RULES = {
     "low_stock_alerts.resolved_flag_in_YN": ("low_stock_alerts", "resolved_flag IN ('Y', 'N')", ["alert_id"]),
 }
 
+# Longest texts of the source's columns (fixed values of its table definitions).
+MAX_LENGTHS = {
+    "suppliers": {"supplier_name": 120, "contact_email": 120},
+    "warehouses": {"warehouse_name": 120, "location": 200},
+    "products": {"sku": 40, "product_name": 150, "active_flag": 1},
+    "orders": {"status": 20},
+    "stock_txn_log": {"txn_type": 20, "performed_by": 60},
+    "low_stock_alerts": {"resolved_flag": 1},
+}
+
 FOREIGN_KEYS = {
     "products.supplier_id": ("products", ["supplier_id"], "suppliers", ["supplier_id"]),
     "product_stock.product_id": ("product_stock", ["product_id"], "products", ["product_id"]),

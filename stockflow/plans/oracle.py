@@ -463,6 +463,23 @@ SELECT log_id, product_id, warehouse_id, txn_type, qty_change, {EVENTS_AS_OF} AS
     q["stream_daily_issue"] = with_views(["ledger_e"]) + """
 SELECT product_id, warehouse_id, date_trunc('day', txn_time) AS window_start, CAST(SUM(ABS(qty_change)) AS BIGINT) AS daily_qty
 FROM ledger_e WHERE txn_type = 'ISSUE' GROUP BY product_id, warehouse_id, date_trunc('day', txn_time)"""
+    lengths = {"suppliers": {"supplier_name": 120, "contact_email": 120}, "warehouses": {"warehouse_name": 120, "location": 200},
+               "products": {"sku": 40, "product_name": 150, "active_flag": 1}, "orders": {"status": 20},
+               "stock_txn_log": {"txn_type": 20, "performed_by": 60}, "low_stock_alerts": {"resolved_flag": 1}}
+    rules = [(t, f"{c}_required", "NOT NULL", f"{c} IS NULL") for t, cols in required.items() for c in cols]
+    rules += [(t, n.split(".")[1], "CHECK", f"NOT COALESCE({pred}, TRUE)") for n, (t, pred) in checks.items()]
+    rules += [(t, f"{c}_length", "LENGTH", f"COALESCE(length({c}) > {n}, FALSE)") for t, cols in lengths.items() for c, n in cols.items()]
+    rules += [("order_requests", r, k, c) for t, r, k, c in rules if t == "order_items"]
+    keys["order_requests"], tname["order_requests"] = ["order_item_id"], "order_requests"
+    q["dq_rule_violations"] = with_views(*all_tables, """order_requests AS (
+  SELECT request_id AS order_item_id, request_id AS order_id, product_id, qty AS qty_ordered FROM movements WHERE kind = 'ORDER')""") + \
+        "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, {rk(t)} AS row_key, '{r}' AS rule_name, '{k}' AS kind FROM {tname.get(t, t)} c WHERE {cond}"
+                             for t, r, k, cond in rules)
+    q["top_moving_products_stored"] = q["top_moving_products_events"].replace("30 * 86400", "7 * 86400")
+    week = _daily(ev).replace("30 - datediff", "7 - datediff").replace("INTERVAL 30 DAY", "INTERVAL 7 DAY")
+    q["sql_forecast"] = f"""SELECT 30 AS lookback, * FROM ({q["forecast_reorder_qty"]})
+UNION ALL SELECT 7, * FROM ({q["forecast_reorder_qty"].replace(_daily(ev), week)})"""
+    q["daily_issue_qty_stored"] = q["daily_issue_qty"].replace(_daily(ev), week)
     q["stream_monthly_consumption"] = months("ledger_e")
     q["stream_order_admission"] = q["order_admission"]
     q["stream_alerts"] = with_views(scan_views, _daily(ev), WAVG, LEAD, SCAN, *_sim(blocked), _alert_forecast("sim_alerts"), """known AS (

@@ -6,6 +6,7 @@ or samples). The DuckDB text of the same result is in ``stockflow.plans.oracle``
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,9 @@ from stockflow.operators import movements as mv
 from stockflow.operators import quality as dq
 from stockflow.operators import reports as rp
 from stockflow.sources import driver_tables as dt_
-from stockflow.session import cut_lineage
+from stockflow.functions.exprs import window_start
+from stockflow.plans.views import register_forecast_function
+from stockflow.session import cut_lineage, ensure_checkpoint_dir
 from stockflow.streaming import aggregates as sa
 from stockflow.streaming import finite as fs
 from stockflow.streaming import stateful as ss
@@ -201,7 +204,7 @@ def q_resolve_alerts_on_receipt(spark, d):
 
 def q_alert_timeline(spark, d):
     p = dt_.products(spark, d)
-    seq = mv.admit_sequence(dt_.movements(spark, d), dt_.movement_opening(spark, d))
+    seq = sequence(spark, d)
     return al.alert_timeline(al.updates_from_admission(seq), p).drop(al.ISSUED)
 
 
@@ -291,6 +294,20 @@ def q_dq_check_violations(spark, d):
     return out
 
 
+def q_dq_rule_violations(spark, d):
+    """All CHECK, NOT NULL and length rules of the eight tables, one pass over each; and the rules of
+    ``order_items`` on the raw order requests, odd ones included."""
+    t = _tables(spark, d)
+    keys = dict(_TABLE_KEYS)
+    m = dt_.movements(spark, d).filter("kind = 'ORDER'")
+    requests = m.select(F.col("request_id").alias("order_item_id"), F.col("request_id").alias("order_id"), "product_id",
+                        F.col("qty").alias("qty_ordered"))
+    out = dq.broken_rules(requests, "order_requests", dq.row_rules("order_items"), ["order_item_id"])
+    for name in sorted(t):
+        out = out.unionByName(dq.broken_rules(t[name], name, dq.row_rules(name), keys[name]))
+    return out
+
+
 def q_dq_negative_positions(spark, d):
     """E3 on derived data: positions of the raw events ledger applied to the opening stock
     without admission - the rows where the stock CHECK (qty_on_hand >= 0) would have failed."""
@@ -334,6 +351,36 @@ def q_apply_defaults_ledger(spark, d):
     return dq.apply_defaults(log, "stock_txn_log", EVENTS_AS_OF, ACTOR)
 
 
+# -- the day-partitioned ledger and the SQL surface ------------------------------------------
+
+STORED_DAYS = 7     # lookback of the queries on the stored ledger, of about 30 days
+
+
+def _stored_ledger(spark, d) -> DataFrame:
+    """The events ledger written by C3 in day partitions, read from the first day of the lookback on."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledger-{uuid.uuid4().hex}"
+    mv.write_ledger(mv.ledger_append(None, dt_.ledger_events(spark, d), EVENTS_AS_OF, ACTOR), path)
+    return mv.read_ledger(spark, path, since=window_start(EVENTS_AS_OF, STORED_DAYS))
+
+
+def q_daily_issue_qty_stored(spark, d):
+    """B1 on the stored ledger: partitions of earlier days are not read."""
+    return fc.daily_issue_qty(_stored_ledger(spark, d), EVENTS_AS_OF, STORED_DAYS)
+
+
+def q_top_moving_products_stored(spark, d):
+    """A4 on the stored ledger."""
+    return rp.top_moving_products(_stored_ledger(spark, d), dt_.products(spark, d), EVENTS_AS_OF, STORED_DAYS)
+
+
+def q_sql_forecast(spark, d):
+    """B4 from SQL: the table function with its default lookback and with one of 7 days."""
+    p, s, _ = _dims(spark, d)
+    tables = {"product_stock": dt_.product_stock(spark, d), "stock_txn_log": dt_.ledger_events(spark, d), "products": p, "suppliers": s}
+    register_forecast_function(spark, tables, EVENTS_AS_OF)
+    return spark.sql("SELECT 30 AS lookback, * FROM forecast_reorder_qty() UNION ALL SELECT 7, * FROM forecast_reorder_qty(7)")
+
+
 # -- S: finite streams ----------------------------------------------------------------------
 
 def q_stream_daily_issue(spark, d):
@@ -399,6 +446,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_orphans": q_dq_orphans,
     "dq_check_violations": q_dq_check_violations,
     "dq_negative_positions": q_dq_negative_positions,
+    "dq_rule_violations": q_dq_rule_violations,
+    "daily_issue_qty_stored": q_daily_issue_qty_stored,
+    "top_moving_products_stored": q_top_moving_products_stored,
+    "sql_forecast": q_sql_forecast,
     "dq_missing_required": q_dq_missing_required,
     "apply_defaults": q_apply_defaults,
     "dq_declared_keys": q_dq_declared_keys,

@@ -59,7 +59,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:   # Spark Connect: the server applies its own spark.checkpoint.dir
-        return spark.conf.get("spark.checkpoint.dir", "")
+        named = spark.conf.get("spark.checkpoint.dir", "")
+        if not named:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share") from None
+        return named
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if current:
         return current

@@ -3,6 +3,9 @@
 import datetime as dt
 import decimal
 import math
+import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -97,3 +100,12 @@ def test_ids_are_distinct(spark):
         assert len(set(ids)) == len(ids)
         if name == "low_stock_alerts":
             assert sorted(ids) == list(range(1, len(ids) + 1))
+
+
+@pytest.mark.parametrize("lost", ["corpus_pipeline", "stockflow.llm", "xxhash", "tokenizers"])
+def test_inventory_queries_without_the_training_data_part(lost):
+    """Without the subpackage, the pipeline or a library of theirs the entry file still loads."""
+    code = (f"import sys; sys.modules[{lost!r}] = None; sys.path.insert(0, {os.path.dirname(os.path.abspath(E.__file__))!r})\n"
+            "import __spark_entry__ as E; from stockflow.plans.registry import QUERIES\n"
+            "assert set(QUERIES) <= set(E.queries()) and set(QUERIES) <= set(E.oracle_sql())")
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
