@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockflow.llm.common import MIN_BITS, BitFilter, bit_filter
 from stockflow.session import cut_lineage
 
 #: Characters that end a piece, blanks between words, and upper case letters folded.
@@ -35,8 +36,6 @@ NO_LANG = "und"
 
 #: One document in so many is sampled, and the part of a phrase's fair share that proposes it.
 SAMPLE_ONE_IN, SAMPLE_EASE = 8, 0.5
-#: Bits of the filter for each proposal (a power of two above), and its largest size (128 MB).
-BITS_EACH, MAX_BITS = 16, 2 ** 30
 #: Words that a task gathers before it counts them, and different words that it remembers beyond that.
 GATHER, KEEP_WORDS = 3_000_000, 300_000
 #: A key that holds this part of a join's rows is looked up in a broadcast: there are at most so many.
@@ -84,20 +83,7 @@ def join_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class Proposals:
-    """The proposed phrases of all lengths as bits; may say yes to a phrase not proposed, never no
-    to one that is."""
-
-    def __init__(self, bits: int, cells: np.ndarray | None = None):
-        self.bits = bits
-        self.cells = cells if cells is not None else np.zeros(max(1, bits // 8), np.uint8)
-
-    def holds(self, h: np.ndarray) -> np.ndarray:
-        at = h & np.uint64(self.bits - 1)
-        return (self.cells[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
-def border_grams(h: np.ndarray, proposed: Proposals) -> list[tuple[np.ndarray, np.ndarray]]:
+def border_grams(h: np.ndarray, proposed: BitFilter) -> list[tuple[np.ndarray, np.ndarray]]:
     """For lengths 1 to LONGEST: phrase hashes at all places of the word stream, and which of them
     have a proposed first and last part (all words, for length 1)."""
     out = [(h, h > PIECE_END)]
@@ -145,7 +131,7 @@ class Tokens:
         return names, [(h, w) for w, h in words.items() if names[h] != w] if len(names) < len(words) else []
 
 
-def frequent_hashes(docs: DataFrame, proposed: Proposals, lengths: list[int], at_least: int, seed: int) -> DataFrame:
+def frequent_hashes(docs: DataFrame, proposed: BitFilter, lengths: list[int], at_least: int, seed: int) -> DataFrame:
     """Hashes ``h`` of the phrases of the given lengths, proposed or on the border, that reach the
     threshold (phrases that share a hash together)."""
     shared = docs.sparkSession.sparkContext.broadcast(proposed)
@@ -163,7 +149,7 @@ def frequent_hashes(docs: DataFrame, proposed: Proposals, lengths: list[int], at
             .filter(F.col("n") >= at_least).select("h"))
 
 
-def exact_counts(docs: DataFrame, choose, filters: tuple[Proposals, ...], seed: int, words: bool) -> DataFrame:
+def exact_counts(docs: DataFrame, choose, filters: tuple[BitFilter, ...], seed: int, words: bool) -> DataFrame:
     """Exact counts (``lang``, words, ``n``) of the phrases at the places that ``choose(h, *filters)``
     names, and with ``words`` of all words, with their text."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)
@@ -176,16 +162,18 @@ def exact_counts(docs: DataFrame, choose, filters: tuple[Proposals, ...], seed:
                 at = np.flatnonzero(ok)
                 if len(at) == 0 or (n == 1 and not words):
                     continue
-                at = at[np.argsort(phrase[at], kind="stable")]
-                grams = np.stack([h[at + k] for k in range(n)], 1)
-                first = np.flatnonzero(np.concatenate([[True], (grams[1:] != grams[:-1]).any(1)]))
-                grams, times = grams[first], np.diff(np.append(first, len(at)))
-                word = pa.nulls(len(times), pa.string())
                 if n == 1:      # a second word of some hash comes with no count of its own, and is noticed
-                    held = [*((x, names[x]) for x in grams[:, 0].tolist()), *doubled]
+                    kinds, times = np.unique(h[at], return_counts=True)
+                    held = [*((x, names[x]) for x in kinds.tolist()), *doubled]
                     word = pa.array([w.decode("utf-8", "replace") for _, w in held], pa.string())
                     grams = np.array([x for x, _ in held], np.uint64)[:, None]
                     times = np.append(times, np.zeros(len(doubled), times.dtype))
+                else:           # equal phrases lie together, unless hashes collide: then in several runs
+                    at = at[np.argsort(phrase[at])]
+                    grams = np.stack([h[at + k] for k in range(n)], 1)
+                    first = np.flatnonzero(np.concatenate([[True], (grams[1:] != grams[:-1]).any(1)]))
+                    grams, times = grams[first], np.diff(np.append(first, len(at)))
+                    word = pa.nulls(len(times), pa.string())
                 cols = [np.ascontiguousarray(grams[:, k]).view(np.int64) if k < n else np.zeros(len(times), np.int64)
                         for k in range(LONGEST)]
                 yield pa.RecordBatch.from_arrays(
@@ -195,13 +183,13 @@ def exact_counts(docs: DataFrame, choose, filters: tuple[Proposals, ...], seed:
     return docs.mapInArrow(run, COUNTED).groupBy(*GRAM, "word").agg(F.sum("n").alias("n"))
 
 
-def on_border(h: np.ndarray, proposed: Proposals, heavy: Proposals) -> list[tuple[np.ndarray, np.ndarray]]:
+def on_border(h: np.ndarray, proposed: BitFilter, heavy: BitFilter) -> list[tuple[np.ndarray, np.ndarray]]:
     """All words, and the proposed and border phrases whose hash reaches the threshold."""
     grams = border_grams(h, proposed)
     return [grams[0], *((phrase, ok & heavy.holds(phrase)) for phrase, ok in grams[1:])]
 
 
-def beyond_border(h: np.ndarray, proposed: Proposals, failed: Proposals, frequent: Proposals) -> list[tuple[np.ndarray, np.ndarray]]:
+def beyond_border(h: np.ndarray, proposed: BitFilter, failed: BitFilter, frequent: BitFilter) -> list[tuple[np.ndarray, np.ndarray]]:
     """The phrases that contain a failed phrase and were not on the border, less those with a part
     that is known to be infrequent: a word or counted phrase that is not among the frequent ones."""
     known = border_grams(h, proposed)
@@ -226,7 +214,7 @@ def _hashes(batch: pa.RecordBatch) -> np.ndarray:
     return out
 
 
-def phrase_hashes(phrases: DataFrame, unless: Proposals | None = None) -> DataFrame:
+def phrase_hashes(phrases: DataFrame, unless: BitFilter | None = None) -> DataFrame:
     """Hashes ``h`` of phrases, without those that ``unless`` holds."""
     shared = phrases.sparkSession.sparkContext.broadcast(unless)
 
@@ -240,46 +228,21 @@ def phrase_hashes(phrases: DataFrame, unless: Proposals | None = None) -> DataFr
     return phrases.select(*W).mapInArrow(run, "h long")
 
 
-def propose(hashes: DataFrame) -> Proposals:
-    """The filter of the given hashes, of ``BITS_EACH`` bits or more each up to ``MAX_BITS``.
-
-    Bits are set by Spark, in rows of 2^20 of them; what reaches the driver is the filter itself.
-    """
-    bits, n = 1 << 16, hashes.count()
-    while bits < n * BITS_EACH and bits < MAX_BITS:
-        bits *= 2
-    at = F.col("h").bitwiseAND(F.lit(bits - 1))
-    cells = (hashes.select(F.shiftright(at, 6).alias("cell"), at.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
-             .groupBy("cell").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("set"))
-             .withColumn("part", F.shiftright("cell", 14)))
-
-    def fill(key: tuple[pa.Scalar, ...], g: pa.Table) -> pa.Table:
-        row = np.zeros(min(bits, 1 << 20) // 64, np.int64)
-        row[g["cell"].to_numpy() & (2 ** 14 - 1)] = g["set"].to_numpy()
-        return pa.table({"part": [key[0].as_py()], "row": pa.array([row.tobytes()], pa.binary())})
-
-    out = Proposals(bits)
-    for part, row in cells.groupBy("part").applyInArrow(fill, "part long, row binary").collect():
-        start = part << 17
-        out.cells[start:start + len(row)] = np.frombuffer(row, np.uint8)
-    return out
-
-
-def sample_proposals(sample: DataFrame, at_least: int, seed: int) -> Proposals:
+def sample_proposals(sample: DataFrame, at_least: int, seed: int) -> BitFilter:
     """Phrases of up to LONGEST - 1 words that reach the lowered threshold in the sample, found one
     length at a time (longer ones are part of no other)."""
-    known, proposed = None, Proposals(1 << 16)
+    known, proposed = None, BitFilter(MIN_BITS)
     for n in range(1, LONGEST):
         level = cut_lineage(frequent_hashes(sample, proposed, [n], at_least, seed))
         known = level if known is None else known.unionByName(level)
-        proposed = propose(known)
+        proposed = bit_filter(known)
     return proposed
 
 
-def mine(docs: DataFrame, at_least: int, proposed: Proposals, seed: int) -> DataFrame | None:
+def mine(docs: DataFrame, at_least: int, proposed: BitFilter, seed: int) -> DataFrame | None:
     """All words, and every phrase of at least ``at_least`` occurrences, with exact counts, from any
     proposals. None if two different words have one hash."""
-    heavy = propose(cut_lineage(frequent_hashes(docs, proposed, list(range(2, LONGEST + 1)), at_least, seed)))
+    heavy = bit_filter(cut_lineage(frequent_hashes(docs, proposed, list(range(2, LONGEST + 1)), at_least, seed)))
     counted = exact_counts(docs, on_border, (proposed, heavy), seed, True)
     enough = F.col("n") >= at_least
     found = cut_lineage(counted.filter(enough | F.col("word").isNotNull()))
@@ -290,8 +253,8 @@ def mine(docs: DataFrame, at_least: int, proposed: Proposals, seed: int) -> Data
     failed = cut_lineage(phrase_hashes(found.filter(enough & (F.col(W[-1]) == 0)), unless=proposed))
     if failed.isEmpty():
         return found
-    frequent = propose(phrase_hashes(found.filter(enough & (F.col(W[-1]) == 0))))
-    more = exact_counts(docs, beyond_border, (proposed, propose(failed), frequent), seed, False)
+    frequent = bit_filter(phrase_hashes(found.filter(enough & (F.col(W[-1]) == 0))))
+    more = exact_counts(docs, beyond_border, (proposed, bit_filter(failed), frequent), seed, False)
     return found.unionByName(cut_lineage(more.filter(enough)))
 
 

@@ -57,6 +57,49 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
             yield b.slice(i, rows)
 
 
+#: Bits of a filter for each member (a power of two above), its smallest and its largest size (128 MB).
+BITS_EACH, MIN_BITS, MAX_BITS = 16, 2 ** 16, 2 ** 30
+
+
+class BitFilter:
+    """A set of hashes as bits, of bounded size; may say yes to a hash that is no member, never no to
+    one that is."""
+
+    def __init__(self, bits: int, cells: np.ndarray | None = None):
+        self.bits = bits
+        self.cells = cells if cells is not None else np.zeros(max(1, bits // 8), np.uint8)
+
+    def holds(self, h: np.ndarray) -> np.ndarray:
+        at = h & np.uint64(self.bits - 1)
+        return (self.cells[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def bit_filter(hashes: DataFrame, min_bits: int = MIN_BITS) -> BitFilter:
+    """The filter of the hashes ``h`` (long), sized by their number: ``BITS_EACH`` bits or more for each
+    of them, from ``min_bits`` up to ``MAX_BITS``.
+
+    Bits are set by Spark, in rows of 2^20 of them; what reaches the driver is the filter itself.
+    """
+    bits, n = min_bits, hashes.count()
+    while bits < n * BITS_EACH and bits < MAX_BITS:
+        bits *= 2
+    at = F.col("h").bitwiseAND(F.lit(bits - 1))
+    cells = (hashes.select(F.shiftright(at, 6).alias("cell"), at.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+             .groupBy("cell").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("set"))
+             .withColumn("part", F.shiftright("cell", 14)))
+
+    def fill(key: tuple[pa.Scalar, ...], g: pa.Table) -> pa.Table:
+        row = np.zeros(min(bits, 1 << 20) // 64, np.int64)
+        row[g["cell"].to_numpy() & (2 ** 14 - 1)] = g["set"].to_numpy()
+        return pa.table({"part": [key[0].as_py()], "row": pa.array([row.tobytes()], pa.binary())})
+
+    out = BitFilter(bits)
+    for part, row in cells.groupBy("part").applyInArrow(fill, "part long, row binary").toLocalIterator():
+        start = part << 17
+        out.cells[start:start + len(row)] = np.frombuffer(row, np.uint8)
+    return out
+
+
 def local_components(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Smallest member of each node's component, for ``n`` nodes and the links ``u``-``v``.
 

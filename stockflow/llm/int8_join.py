@@ -24,7 +24,7 @@ from stockflow.llm.vectors import cosines, matrix, unit, usable_rows
 from stockflow.session import cut_lineage
 
 #: Mean number of distinct vectors in a tile, and rows of a tile multiplied at once.
-TILE_ROWS, STEP = 8192, 256
+TILE_ROWS, STEP = 4096, 256
 #: Of rounding in double precision, added to every bound.
 SLACK = 1e-9
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from stockflow.functions.running import chunked, running_sums
 from stockflow.llm.common import WORD, row_key
+from stockflow.session import cut_lineage
 
 
 def source_targets(totals: DataFrame, weights=(5, 2, 1), share: float = 1.5,
@@ -74,11 +75,13 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.coalesce(F.col(text_col), F.lit(""))
     key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("|"), F.md5(text.cast("binary"))))
     order = ["_key", "size", "row", "_tie"]
-    rows = chunked(docs.select(
+    # texts are read once: sampling and sorting go on from the narrow rows
+    slim = cut_lineage(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
         F.md5(F.concat(F.lit(seed + "|"), key).cast("binary")).alias("_key"),
         row_key(text_col, *(c for c in docs.columns if c != text_col)).alias("row"),
-        F.monotonically_increasing_id().alias("_tie")), ["source"], order)      # tells rows alike in all else apart
+        F.monotonically_increasing_id().alias("_tie")))      # tells rows alike in all else apart
+    rows = chunked(slim, ["source"], order)
     targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, max_epochs)
     t = targets.withColumnRenamed("source", "_ts")
     placed = (running_sums(rows, ["source"], order, {"_upto": F.col("size")})

@@ -4,7 +4,7 @@ A string of ``length`` bytes is dealt by its anchor: of the ``GRAM``-byte grams
 with the smallest hash (leftmost of equals). Equal strings have equal anchors, so a repeated string
 lies whole in one anchor's group, and neighbouring strings share an anchor: a stretch of starts with
 one anchor is one segment. Anchors that occur once in the corpus hold no repeat; they are dropped
-through a bitmap of fixed size (its false hits cost work, not results). Equal segments of a group
+through a bit filter sized by the anchors that repeat (its false hits cost work, not results). Equal segments of a group
 are summed to one with their earliest place before anything is sorted.
 
 The distinct segments of many groups are joined to a text whose suffix array is built in two
@@ -23,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockflow.llm.common import slices, text_bytes
+from stockflow.llm.common import BitFilter, bit_filter, slices, text_bytes
 from stockflow.session import cut_lineage
 
 LENGTH, GRAM = 100, 32
-#: Bits of the bitmap of repeated anchors, and of one collected row of it.
-BITMAP_BITS, ROW_BITS = 27, 16
+#: Least bits of the filter of repeated anchors; it grows with their number.
+FILTER_BITS = 2 ** 27
 #: Bytes of segments in one suffix array; groups with more distinct segments than GROUP_KINDS are
 #: split by their strings instead.
 ARRAY_BYTES, GROUP_KINDS = 4 << 20, 20_000
@@ -100,8 +100,8 @@ def segments(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]
         at = end
 
 
-def _repeated_bitmap(docs: DataFrame, text_col: str, length: int) -> np.ndarray:
-    """A bit for the low bits of every anchor hash that occurs more than once in the corpus."""
+def _repeated_anchors(docs: DataFrame, text_col: str, length: int) -> BitFilter:
+    """The hashes of the anchors that occur more than once in the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -120,32 +120,20 @@ def _repeated_bitmap(docs: DataFrame, text_col: str, length: int) -> np.ndarray:
                 size = 0
         yield out()
 
-    mask = (1 << BITMAP_BITS) - 1
-    twice = (docs.select(text_col).mapInArrow(run, "h long, n byte").groupBy("h").agg(F.sum("n").alias("n"))
-             .filter("n > 1").select(F.col("h").bitwiseAND(F.lit(mask)).alias("bit"))
-             .withColumn("row", F.shiftright("bit", ROW_BITS)))
+    twice = cut_lineage(docs.select(text_col).mapInArrow(run, "h long, n byte").groupBy("h").agg(F.sum("n").alias("n"))
+                        .filter("n > 1").select("h"))
+    return bit_filter(twice, FILTER_BITS)
 
-    def pack(key: tuple[pa.Scalar, ...], g: pa.Table) -> pa.Table:
-        bits = np.zeros(1 << ROW_BITS, np.uint8)
-        bits[g["bit"].to_numpy() & ((1 << ROW_BITS) - 1)] = 1
-        return pa.table({"row": [key[0].as_py()], "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
 
-    bitmap = np.zeros((1 << (BITMAP_BITS - ROW_BITS), 1 << (ROW_BITS - 3)), np.uint8)
-    for r in twice.groupBy("row").applyInArrow(pack, "row long, bits binary").toLocalIterator():
-        bitmap[r["row"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return bitmap.ravel()
-
-
-def _places(docs: DataFrame, text_col: str, bitmap: np.ndarray, length: int) -> DataFrame:
+def _places(docs: DataFrame, text_col: str, repeated: BitFilter, length: int) -> DataFrame:
     """Segments whose anchor may repeat: ``h``, ``seg``, ``doc``, ``row``, ``lo``, ``n``."""
-    mask = np.int64((1 << BITMAP_BITS) - 1)
+    shared = docs.sparkSession.sparkContext.broadcast(repeated)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 1000):
             ids, rows = b.column(0).to_numpy(), b.column(1).to_numpy()
             for doc, lo, n, h, seg in segments(text_bytes(b.column(2)), length):
-                bit = h & mask
-                ok = np.flatnonzero(bitmap[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1)
+                ok = np.flatnonzero(shared.value.holds(h.view(np.uint64)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h[ok]), pa.array(seg[ok]), pa.array(ids[doc[ok]]), pa.array(rows[doc[ok]]), pa.array(lo[ok]),
                      pa.array(n[ok].astype(np.int32))],
@@ -296,8 +284,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     base = base.select("doc", F.xxhash64("text").alias("row"), "text")
-    bitmap = _repeated_bitmap(base, "text", length)
-    places = cut_lineage(_places(base, "text", bitmap, length))
+    places = cut_lineage(_places(base, "text", _repeated_anchors(base, "text", length), length))
     kinds = places.groupBy("h", "seg").agg(
         F.min(F.struct("doc", "lo", "row")).alias("first"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
     groups = kinds.groupBy("h").agg(F.sum("copies").alias("_all"), F.count(F.lit(1)).alias("kinds"))

@@ -84,7 +84,7 @@ def test_every_key_heavy(docs, monkeypatch):
 
 def test_a_full_filter_changes_no_count(docs, monkeypatch):
     """All bits set: every phrase is on the border and counted; the result stays."""
-    monkeypatch.setattr(co, "propose", lambda hashes: co.Proposals(1 << 16, np.full(1 << 13, 255, np.uint8)))
+    monkeypatch.setattr(co, "bit_filter", lambda hashes: co.BitFilter(1 << 16, np.full(1 << 13, 255, np.uint8)))
     rows = sample(60)
     assert sorted(map(tuple, co.mine_collocations(docs(rows), at_least=5, top=50).collect())) == brute(rows, 5, 50)
 
@@ -113,7 +113,7 @@ def test_colliding_hashes_take_another_seed(docs, monkeypatch):
 def test_places_around_failures():
     """An expansion counts the phrases that hold a failure and were not on the border, no others."""
     def held(*phrases):
-        p = co.Proposals(1 << 20)
+        p = co.BitFilter(1 << 20)
         for x in phrases:
             h = co._hashes(pa.RecordBatch.from_pydict({w: pa.array([v], pa.int64()) for w, v in zip(co.W, [*x, 0, 0, 0, 0])}))
             at = int(h[0]) & (p.bits - 1)
