@@ -28,17 +28,23 @@ CHUNK_ROWS = 1_000_000                 # rows of a chunk, the most a task meets
 CHUNK_CONF = "stockflow.chunkRows"     # session setting overriding CHUNK_ROWS
 
 
-def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int | None = None) -> DataFrame:
-    """``df`` range-sorted by keys and order, with its chunk number in ``_chunk``, checkpointed.
+def cut_into_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int | None = None) -> DataFrame:
+    """``df`` range-sorted by keys and order, with its chunk number in ``_chunk``.
 
-    ``order`` must be a total order inside a key. Chunk numbers ascend along (keys, order).
+    ``order`` must be a total order inside a key. Chunk numbers ascend along (keys, order). The cut
+    holds for one job: checkpoint what is derived from it before it is read twice. Counting and
+    sampling read ``df`` too, so a long pipeline should end in a checkpoint before.
     """
     conf = df.sparkSession.conf
     if chunk_rows is None:
         chunk_rows = int(conf.get(CHUNK_CONF, str(CHUNK_ROWS)))
     chunks = max(int(conf.get("spark.sql.shuffle.partitions")), -(-df.count() // chunk_rows))
-    ranged = df.repartitionByRange(chunks, *keys, *order)
-    return cut_lineage(ranged.withColumn(CHUNK, F.spark_partition_id()))
+    return df.repartitionByRange(chunks, *keys, *order).withColumn(CHUNK, F.spark_partition_id())
+
+
+def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_rows: int | None = None) -> DataFrame:
+    """``cut_into_chunks``, checkpointed."""
+    return cut_lineage(cut_into_chunks(df, keys, order, chunk_rows))
 
 
 def segment_window(keys: Sequence[str], order: Sequence[str]):

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockflow.functions.exprs import insufficient_message
-from stockflow.functions.running import CHUNK, chunked, earlier_segments, segment_window, with_carries
+from stockflow.functions.running import CHUNK, cut_into_chunks, earlier_segments, segment_window, with_carries
 from stockflow.session import cut_lineage
 
 KEY = ["product_id", "warehouse_id"]
@@ -189,16 +189,16 @@ def admit_sequence(requests: DataFrame, stock: DataFrame, chunk_rows: int | None
     births = (kind == "OPEN") | ((kind == "RECEIPT") & (q >= 0))
     change = (F.when(invalid | (kind == SCAN), F.lit(0)).when(kind == "ORDER", -q)
               .otherwise(q).cast("long"))
-    seq = chunked(req.unionByName(opening), KEY, ORDER_COLS, chunk_rows)
+    seq = cut_into_chunks(req.unionByName(opening), KEY, ORDER_COLS, chunk_rows)
 
     # Level 1, inside segments: running sums of all changes, and of those since the row exists.
     w = segment_window(KEY, ORDER_COLS)
-    whole = Window.partitionBy(*SEGMENT)
     rows = seq.select("*", invalid.alias("_invalid"), change.alias("_change"), births.cast("int").alias("_birth"))
-    rows = rows.withColumn("_born", F.max("_birth").over(w))
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.select("*", F.max("_birth").over(w).alias("_born"), F.coalesce(F.max("_birth").over(before), F.lit(0)).alias("_was"))
     rows = rows.withColumn("_live", F.when(F.col("_born") == 1, F.col("_change")).otherwise(0))
     local = rows.select("*", F.sum("_change").over(w).alias("_all"), F.sum("_live").over(w).alias("_part"))
-    local = local.select("*", F.min("_all").over(w).alias("_all_low"), F.min("_part").over(w).alias("_part_low"))
+    local = cut_lineage(local.select("*", F.min("_all").over(w).alias("_all_low"), F.min("_part").over(w).alias("_part_low")))
 
     # Level 2, over segments: existence, unconstrained balance and its minimum before each segment.
     seg = local.groupBy(*SEGMENT).agg(
@@ -227,8 +227,7 @@ def admit_sequence(requests: DataFrame, stock: DataFrame, chunk_rows: int | None
     j = with_carries(local, carries, KEY)
     had = F.coalesce(F.col("_had"), F.lit(0)) == 1
     low = F.coalesce(F.col("_low"), F.lit(0))
-    exists = had | (F.coalesce(F.max("_birth").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) == 1)
-    j = j.select("*", exists.alias("_exists"), (had | (F.col("_born") == 1)).alias("_exists_after"),
+    j = j.select("*", (had | (F.col("_was") == 1)).alias("_exists"), (had | (F.col("_born") == 1)).alias("_exists_after"),
                  F.when(had, F.col("_all")).otherwise(F.col("_part")).alias("_loc"),
                  F.when(had, F.col("_all_low")).otherwise(F.col("_part_low")).alias("_loc_low"),
                  F.when(had, F.col("_change")).otherwise(F.col("_live")).cast("long").alias("_delta"),

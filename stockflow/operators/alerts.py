@@ -26,6 +26,7 @@ from stockflow.functions.exprs import DEFAULT_LEAD_TIME_DAYS, DEFAULT_LOOKBACK_D
 from stockflow.functions.running import CHUNK, chunked, dense_ids, running_sums
 from stockflow.operators.admission import SCAN
 from stockflow.operators.forecast import product_lead_time
+from stockflow.session import cut_lineage
 
 KEY = ["product_id", "warehouse_id"]
 ORDER = ["txn_time", "seq"]
@@ -119,7 +120,7 @@ def low_stock_alerts(updates: DataFrame, products: DataFrame, suppliers: DataFra
     dense, in the order of the raising events. ``whole_log`` says that ``log`` holds what this sequence
     logged and nothing else; the forecast then needs no second pass over it.
     """
-    a = _raised(updates, products, None)
+    a = cut_lineage(_raised(updates, products, None))       # the range sort reads it twice
     a = dense_ids(a, ["raised_on", "seq", *KEY], "alert_id", first_id)
     f = alert_suggested_qty(a, log, products, suppliers, lookback, ISSUED if whole_log else None)
     q = F.when(F.col("scan"), F.greatest("suggested_qty", "reorder_min")).otherwise(F.col("suggested_qty"))

@@ -14,6 +14,7 @@ from stockflow.functions.exprs import ts_lit
 from stockflow.functions.running import CHUNK, chunked, dense_ids, running_sums
 from stockflow.operators.admission import (INSUFFICIENT_STOCK, INVALID_QTY, KEY, NEGATIVE_STOCK, NO_STOCK_ROW, SCAN,
                                            admit_movements, admit_sequence)
+from stockflow.session import cut_lineage
 
 __all__ = ["INSUFFICIENT_STOCK", "INVALID_QTY", "KEY", "NEGATIVE_STOCK", "NO_STOCK_ROW", "SCAN", "admit_movements",
            "admit_sequence", "order_outputs", "movement_ledger", "closing_stock", "receive_stock", "receipt_ledger",
@@ -197,8 +198,8 @@ def cancel_updates(orders_before: DataFrame, orders_after: DataFrame, items: Dat
     alert rules (columns of ``alerts.updates_from_admission``). Pairs without a stock row have none."""
     moved = cancelled_items(orders_before, orders_after, items).join(stock.select(*KEY, "qty_on_hand"), KEY)
     q = F.col("qty_ordered").cast("long")
-    rows = chunked(moved.select(F.col("order_item_id").alias("seq"), *KEY, ts_lit(as_of).alias("txn_time"),
-                                q.alias("_q"), "qty_on_hand"), KEY, ["seq"])
+    rows = chunked(cut_lineage(moved.select(F.col("order_item_id").alias("seq"), *KEY, ts_lit(as_of).alias("txn_time"),
+                                            q.alias("_q"), "qty_on_hand")), KEY, ["seq"])
     after = F.col("qty_on_hand") + F.col("_sum")
     return running_sums(rows, KEY, ["seq"], {"_sum": F.col("_q")}).select(
         "seq", *KEY, "txn_time", (after - F.col("_q")).alias("qty_before"), after.alias("qty_after"),

@@ -181,7 +181,7 @@ def q_cancel_restock_alerts(spark, d):
 
 
 def q_stock_position(spark, d):
-    return mv.stock_position(dt_.movement_opening(spark, d), movement_log(spark, d))
+    return mv.stock_position(dt_.movement_opening(spark, d), mv.movement_ledger(sequence(spark, d), ACTOR))
 
 
 # -- D: alerts ------------------------------------------------------------------------------
