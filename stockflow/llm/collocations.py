@@ -36,8 +36,8 @@ NO_LANG = "und"
 
 #: One document in so many is sampled, and the part of a phrase's fair share that proposes it.
 SAMPLE_ONE_IN, SAMPLE_EASE = 8, 0.5
-#: Words that a task gathers before it counts them, and different words that it remembers beyond that.
-GATHER, KEEP_WORDS = 3_000_000, 300_000
+#: Words that a task gathers before it counts them.
+GATHER = 3_000_000
 #: A key that holds this part of a join's rows is looked up in a broadcast: there are at most so many.
 HEAVY_PARTS = 4096
 #: Ways a language is dealt for its best phrases.
@@ -53,26 +53,55 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 PIECE_END = np.uint64(1)
 
 
-def word_hash(word: bytes, seed: int) -> int:
-    """64 bits of a word; 0 is no word and 1 the end of a piece."""
-    return max(xxhash.xxh64_intdigest(word, seed), 2)
+#: Bytes of text hashed together; longer texts are hashed as one.
+BUFFER = 1 << 20
 
 
-class Words(dict):
-    """Hashes of words by their bytes, filled as words turn up."""
-
-    def __init__(self, lang: str, seed: int):
-        super().__init__({b"": 0, b"\n": 1})
-        self.seed = xxhash.xxh64_intdigest(lang.encode(), seed)
-
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = word_hash(word, self.seed)
-        return h
+class WordHash:
+    """64-bit hashes of all words of a buffer at once: a polynomial over random numbers of the bytes.
 
+    Sums over a buffer's prefixes, weighed by powers of an odd base, give each word's polynomial by a
+    difference and an inverse power.
+    """
 
-def text_tokens(text: bytes) -> list[bytes]:
-    """Words of a text in order, pieces ended by a newline; some tokens are empty."""
-    return text.translate(FOLD).replace(b"\n", b" \n ").split(b" ")
+    def __init__(self, seed: int):
+        rng = np.random.default_rng([seed, 13])
+        self.table = rng.integers(1, 2 ** 63, 256, dtype=np.uint64)
+        self.base = int(rng.integers(1, 2 ** 62)) * 4 + 3
+        self.up = self.down = np.zeros(0, np.uint64)
+
+    def _powers(self, n: int) -> None:
+        if len(self.up) < n:
+            n = max(n, BUFFER)
+            ones = np.ones(1, np.uint64)
+            self.up, self.down = (np.multiply.accumulate(np.append(ones, np.full(n - 1, np.uint64(b))))
+                                  for b in (self.base, pow(self.base, -1, 2 ** 64)))
+
+    def __call__(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int) -> np.ndarray:
+        self._powers(len(buf))
+        total = np.append(np.zeros(1, np.uint64), np.cumsum(self.table[buf] * self.up[:len(buf)], dtype=np.uint64))
+        x = (total[ends] - total[starts]) * self.down[starts] + np.uint64(salt)
+        x ^= x >> np.uint64(32)
+        x *= MIX
+        x ^= x >> np.uint64(29)
+        return np.maximum(x, np.uint64(2))          # 0 is no word and 1 the end of a piece
+
+
+def lang_salt(lang: str) -> int:
+    return xxhash.xxh64_intdigest(lang.encode())
+
+
+def word_bounds(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a folded buffer (blanks are spaces, pieces end at newlines, as
+    does the buffer), and for each word and piece end in order whether it is a word."""
+    end = buf == 10
+    gap = end | (buf == 32)
+    word = ~gap
+    first = word.copy()
+    first[1:] &= gap[:-1]
+    last = word[:-1] & gap[1:]
+    event = np.flatnonzero(first | end)
+    return np.flatnonzero(first), np.flatnonzero(last) + 1, ~end[event]
 
 
 def join_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -83,52 +112,81 @@ def join_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def border_grams(h: np.ndarray, proposed: BitFilter) -> list[tuple[np.ndarray, np.ndarray]]:
+def border_grams(h: np.ndarray, proposed: BitFilter) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For lengths 1 to LONGEST: phrase hashes at all places of the word stream, and which of them
     have a proposed first and last part (all words, for length 1)."""
-    out = [(h, h > PIECE_END)]
-    for n in range(2, LONGEST + 1):
-        phrase, ok = out[-1]
+    phrase, ok = h, h > PIECE_END
+    yield phrase, ok
+    for _ in range(2, LONGEST + 1):
         in_set = ok & proposed.holds(phrase)
-        out.append((join_hash(phrase[:-1], phrase[1:]), in_set[:-1] & in_set[1:]))
-    return out
+        phrase, ok = join_hash(phrase[:-1], phrase[1:]), in_set[:-1] & in_set[1:]
+        yield phrase, ok
 
 
-class Tokens:
-    """Word hash streams of batches of documents, by language, gathered to some size."""
+class Streams:
+    """Word hash streams of batches of documents, by language, gathered to some size. With ``spelled``
+    a second hash and the text of every word are kept too."""
 
-    def __init__(self, seed: int):
-        self.seed, self.size = seed, 0
-        self.words: dict[str, Words] = {}
-        self.held: dict[str, list[np.ndarray]] = {}
+    def __init__(self, seed: int, spelled: bool = False):
+        self.first, self.second, self.spelled, self.size = WordHash(2 * seed), WordHash(2 * seed + 1), spelled, 0
+        self.held: dict[str, list[tuple]] = {}
 
-    def streams(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray]]:
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, tuple | None]]:
         for b in batches:
+            by: dict[str, list[bytes]] = {}
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
-                if lang not in self.words:
-                    self.words[lang] = Words(lang, self.seed)
-                tokens = text_tokens(text)
-                h = np.fromiter(map(self.words[lang].__getitem__, tokens), np.uint64, len(tokens))
-                h = np.append(h[h > 0], PIECE_END)
-                self.held.setdefault(lang, []).append(h)
-                self.size += len(h)
-                if self.size >= GATHER:
-                    yield from self._flush()
+                by.setdefault(lang, []).append(text)
+            for lang, texts in by.items():
+                for part in _buffers(texts):
+                    self._add(lang, part)
+                    if self.size >= GATHER:
+                        yield from self._flush()
         yield from self._flush()
 
-    def _flush(self) -> Iterator[tuple[str, np.ndarray]]:
-        for lang, parts in self.held.items():
-            yield lang, np.concatenate(parts)
-        self.held.clear()
+    def _add(self, lang: str, text: bytes) -> None:
+        folded = text.translate(FOLD)
+        buf = np.frombuffer(folded, np.uint8)
+        starts, ends, is_word = word_bounds(buf)
+        salt = lang_salt(lang)
+        words = self.first(buf, starts, ends, salt)
+        stream = np.full(len(is_word), PIECE_END)
+        stream[is_word] = words
+        more = None
+        if self.spelled:        # one row a word of the buffer: hashes, count, and its text
+            _, at, back, n = np.unique(words, return_index=True, return_inverse=True, return_counts=True)
+            check = self.second(buf, starts, ends, salt)
+            odd = np.flatnonzero(check != check[at][back])          # another word of the same hash
+            at, n = np.append(at, odd), np.append(n, np.zeros(len(odd), n.dtype))
+            more = (words[at], check[at], n, [folded[i:j] for i, j in zip(starts[at].tolist(), ends[at].tolist())])
+        self.held.setdefault(lang, []).append((stream, more))
+        self.size += len(stream)
+
+    def _flush(self) -> Iterator[tuple[str, np.ndarray, tuple | None]]:
+        for lang in list(self.held):
+            parts = self.held.pop(lang)
+            spelled = None
+            if self.spelled:
+                h, check, n = (np.concatenate([m[k] for _, m in parts]) for k in range(3))
+                texts = [t for _, m in parts for t in m[3]]
+                order = np.lexsort((check, h))
+                h, check, n = h[order], check[order], n[order]
+                head = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (check[1:] != check[:-1])])) if len(h) else order
+                spelled = (h[head], np.add.reduceat(n, head) if len(h) else n, [texts[i] for i in order[head].tolist()])
+            yield lang, np.concatenate([x for x, _ in parts]), spelled
         self.size = 0
-        if sum(map(len, self.words.values())) > KEEP_WORDS:
-            self.words.clear()
 
-    def names(self, lang: str) -> tuple[dict[int, bytes], list[tuple[int, bytes]]]:
-        """Words by their hashes, and those that lost their place to another of the same hash."""
-        words = self.words[lang]
-        names = dict(zip(words.values(), words))
-        return names, [(h, w) for w, h in words.items() if names[h] != w] if len(names) < len(words) else []
+
+def _buffers(texts: list[bytes]) -> Iterator[bytes]:
+    """Texts joined to buffers, each text ended like a piece."""
+    part, size = [], 0
+    for t in texts:
+        if part and size + len(t) >= BUFFER:
+            yield b"\n".join([*part, b""])
+            part, size = [], 0
+        part.append(t)
+        size += len(t) + 1
+    if part:
+        yield b"\n".join([*part, b""])
 
 
 def frequent_hashes(docs: DataFrame, proposed: BitFilter, lengths: list[int], at_least: int, seed: int) -> DataFrame:
@@ -137,10 +195,10 @@ def frequent_hashes(docs: DataFrame, proposed: BitFilter, lengths: list[int], at
     shared = docs.sparkSession.sparkContext.broadcast(proposed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, h in Tokens(seed).streams(batches):
-            grams = border_grams(h, shared.value)
-            for n in lengths:
-                phrase, ok = grams[n - 1]
+        for _, h, _ in Streams(seed)(batches):
+            for n, (phrase, ok) in enumerate(border_grams(h, shared.value), 1):
+                if n not in lengths:
+                    continue
                 kinds, times = np.unique(phrase[ok], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(kinds.view(np.int64)), pa.array(times)], names=["h", "n"])
 
@@ -155,52 +213,49 @@ def exact_counts(docs: DataFrame, choose, filters: tuple[BitFilter, ...], seed:
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(seed)
-        for lang, h in tokens.streams(batches):
-            names, doubled = tokens.names(lang) if words else ({}, [])
+        for lang, h, spelled in Streams(seed, words)(batches):
+            def rows(grams: np.ndarray, times: np.ndarray, word: pa.Array) -> pa.RecordBatch:
+                cols = [np.ascontiguousarray(grams[:, k]).view(np.int64) if k < grams.shape[1] else np.zeros(len(times), np.int64)
+                        for k in range(LONGEST)]
+                return pa.RecordBatch.from_arrays(
+                    [pa.repeat(pa.scalar(lang, pa.string()), len(times)), *map(pa.array, cols), word, pa.array(times.astype(np.int64))],
+                    names=[*GRAM, "word", "n"])
+
+            if words:           # by their text, so that two words of one hash are two rows
+                kinds, times, texts = spelled
+                yield rows(kinds[:, None], times, pa.array([t.decode("utf-8", "replace") for t in texts], pa.string()))
             for n, (phrase, ok) in enumerate(choose(h, *shared.value), 1):
                 at = np.flatnonzero(ok)
-                if len(at) == 0 or (n == 1 and not words):
+                if n == 1 or len(at) == 0:
                     continue
-                if n == 1:      # a second word of some hash comes with no count of its own, and is noticed
-                    kinds, times = np.unique(h[at], return_counts=True)
-                    held = [*((x, names[x]) for x in kinds.tolist()), *doubled]
-                    word = pa.array([w.decode("utf-8", "replace") for _, w in held], pa.string())
-                    grams = np.array([x for x, _ in held], np.uint64)[:, None]
-                    times = np.append(times, np.zeros(len(doubled), times.dtype))
-                else:           # equal phrases lie together, unless hashes collide: then in several runs
-                    at = at[np.argsort(phrase[at])]
-                    grams = np.stack([h[at + k] for k in range(n)], 1)
-                    first = np.flatnonzero(np.concatenate([[True], (grams[1:] != grams[:-1]).any(1)]))
-                    grams, times = grams[first], np.diff(np.append(first, len(at)))
-                    word = pa.nulls(len(times), pa.string())
-                cols = [np.ascontiguousarray(grams[:, k]).view(np.int64) if k < n else np.zeros(len(times), np.int64)
-                        for k in range(LONGEST)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(pa.scalar(lang, pa.string()), len(times)), *map(pa.array, cols), word, pa.array(times)],
-                    names=[*GRAM, "word", "n"])
+                # equal phrases lie together, unless hashes collide: then in several runs
+                at = at[np.argsort(phrase[at])]
+                grams = np.stack([h[at + k] for k in range(n)], 1)
+                first = np.flatnonzero(np.concatenate([[True], (grams[1:] != grams[:-1]).any(1)]))
+                yield rows(grams[first], np.diff(np.append(first, len(at))), pa.nulls(len(first), pa.string()))
 
     return docs.mapInArrow(run, COUNTED).groupBy(*GRAM, "word").agg(F.sum("n").alias("n"))
 
 
-def on_border(h: np.ndarray, proposed: BitFilter, heavy: BitFilter) -> list[tuple[np.ndarray, np.ndarray]]:
-    """All words, and the proposed and border phrases whose hash reaches the threshold."""
-    grams = border_grams(h, proposed)
-    return [grams[0], *((phrase, ok & heavy.holds(phrase)) for phrase, ok in grams[1:])]
+def on_border(h: np.ndarray, proposed: BitFilter, heavy: BitFilter) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The proposed and border phrases whose hash reaches the threshold."""
+    for phrase, ok in border_grams(h, proposed):
+        yield phrase, ok & heavy.holds(phrase)
 
 
-def beyond_border(h: np.ndarray, proposed: BitFilter, failed: BitFilter, frequent: BitFilter) -> list[tuple[np.ndarray, np.ndarray]]:
+def beyond_border(h: np.ndarray, proposed: BitFilter, failed: BitFilter, frequent: BitFilter) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The phrases that contain a failed phrase and were not on the border, less those with a part
     that is known to be infrequent: a word or counted phrase that is not among the frequent ones."""
-    known = border_grams(h, proposed)
     hopeful = (h > PIECE_END) & frequent.holds(h)
-    out, inside = [(h, np.zeros(len(h), bool))], hopeful & failed.holds(h)
-    for phrase, was in known[1:]:
+    inside = hopeful & failed.holds(h)
+    for n, (phrase, was) in enumerate(border_grams(h, proposed), 1):
+        if n == 1:
+            yield phrase, np.zeros(len(h), bool)
+            continue
         parts = hopeful[:-1] & hopeful[1:]
         hopeful = parts & (~was | frequent.holds(phrase))
         inside = parts & (inside[:-1] | inside[1:] | failed.holds(phrase))
-        out.append((phrase, inside & ~was))
-    return out
+        yield phrase, inside & ~was
 
 
 def _hashes(batch: pa.RecordBatch) -> np.ndarray:

@@ -76,7 +76,7 @@ def test_brute_force_whatever_the_sample(docs, one_in):
 def test_every_key_heavy(docs, monkeypatch):
     monkeypatch.setattr(co, "HEAVY_PARTS", 10 ** 9)
     monkeypatch.setattr(co, "GATHER", 500)
-    monkeypatch.setattr(co, "KEEP_WORDS", 10)
+    monkeypatch.setattr(co, "BUFFER", 300)
     monkeypatch.setattr(co, "TOP_PARTS", 2)
     rows = sample(60)
     assert sorted(map(tuple, co.mine_collocations(docs(rows), at_least=3, top=400).collect())) == brute(rows, 3, 400)
@@ -89,27 +89,51 @@ def test_a_full_filter_changes_no_count(docs, monkeypatch):
     assert sorted(map(tuple, co.mine_collocations(docs(rows), at_least=5, top=50).collect())) == brute(rows, 5, 50)
 
 
-def test_colliding_hashes_take_another_seed(docs, monkeypatch):
-    """Words that share a hash are noticed (mine gives None), and the corpus is counted with another seed."""
-    seeds = []
+def poor_hash():
+    """The hash, but with ``beta`` and ``gamma`` alike under the first seed."""
+    real, base = co.WordHash.__call__, co.WordHash(0).base
+
+    def call(self, buf, starts, ends, salt):
+        h = real(self, buf, starts, ends, salt)
+        if self.base == base:
+            h[[i for i, (a, b) in enumerate(zip(starts, ends)) if bytes(buf[a:b]) in (b"beta", b"gamma")]] = 5
+        return h
+    return call
+
 
-    class Poor(co.Words):
-        def __missing__(self, word):
-            same = word in (b"beta", b"gamma") and self.seed == co.xxhash.xxh64_intdigest(b"en", 0)
-            h = self[word] = 5 if same else co.word_hash(word, self.seed)
-            return h
-    monkeypatch.setattr(co, "Words", Poor)
+@pytest.mark.parametrize("texts", [["alpha beta gamma"] * 9, ["alpha beta"] * 9 + ["gamma alpha"] * 9])
+def test_colliding_hashes_take_another_seed(docs, monkeypatch, texts):
+    """Words that share a hash are noticed (mine gives None), in one task or two, and the corpus is
+    counted with another seed."""
+    seeds = []
+    monkeypatch.setattr(co.WordHash, "__call__", poor_hash())
     real = co.mine
 
     def mine(docs_, at_least, proposed, seed):
         seeds.append(seed)
         return real(docs_, at_least, proposed, seed)
     monkeypatch.setattr(co, "mine", mine)
-    rows = [(i, "alpha beta gamma", "en") for i in range(9)]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
     assert sorted(map(tuple, co.mine_collocations(docs(rows), at_least=3, top=50).collect())) == brute(rows, 3, 50)
     assert seeds == [0, 1]
 
 
+def test_words_of_a_buffer():
+    text = "One two,three\tFOUR  five.\n\nÉtude.".encode() + b"\n"
+    folded = text.translate(co.FOLD)
+    starts, ends, is_word = co.word_bounds(np.frombuffer(folded, np.uint8))
+    assert [folded[a:b].decode() for a, b in zip(starts, ends)] == ["one", "two", "three", "four", "five", "Étude"]
+    assert is_word.tolist() == [True, True, False, True, True, True, False, False, False, True, False, False]
+    hashes = co.WordHash(3)
+    words = [f"w{k}".encode() for k in range(20_000)] * 2
+    buf = np.frombuffer(b" ".join(words), np.uint8)
+    starts, ends, _ = co.word_bounds(buf)
+    ends = np.append(ends, len(buf))
+    h = hashes(buf, starts, ends, 7)
+    assert (h[:20_000] == h[20_000:]).all() and len(np.unique(h)) == 20_000
+    assert (hashes(buf, starts, ends, 8) != h).all()
+
+
 def test_places_around_failures():
     """An expansion counts the phrases that hold a failure and were not on the border, no others."""
     def held(*phrases):
