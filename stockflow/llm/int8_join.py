@@ -25,8 +25,9 @@ from stockflow.session import cut_lineage
 
 #: Mean number of distinct vectors in a tile, and rows of a tile multiplied at once.
 TILE_ROWS, STEP = 4096, 256
-#: Of rounding in double precision, added to every bound.
-SLACK = 1e-9
+#: Of rounding in double precision, added to every bound; of rounding in single precision, for each
+#: component of vectors of length one.
+SLACK, ROUNDING = 1e-9, 1.3e-7
 
 CODED = "node long, copies long, dim int, code binary, scale double, err double"
 FOUND = "kind int, u long, v long, n long, a int, b int"
@@ -41,32 +42,40 @@ def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return q, scale, err
 
 
-def code_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer products of code rows; 1024 terms of 127 * 127 are exact in single precision."""
-    total = None
-    for k in range(0, a.shape[1], 1024):
-        part = a[:, k:k + 1024].astype(np.float32) @ b[:, k:k + 1024].astype(np.float32).T
-        total = part if total is None else total.astype(np.float64) + part
-    return total
+def code_products(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, step: int = 100_000) -> np.ndarray:
+    """Exact integer products of the code rows ``a[i]`` and ``b[j]``, pair by pair."""
+    out = np.empty(len(i), np.int64)
+    for at in range(0, len(i), step):
+        out[at:at + step] = np.einsum("ij,ij->i", a[i[at:at + step]], b[j[at:at + step]], dtype=np.int64)
+    return out
 
 
-def judge_pairs(qa, sa, ea, qb, sb, eb, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Boolean matrices of the pairs surely at or above the threshold, and of the undecided ones."""
-    est = code_product(qa, qb).astype(np.float64) * sa[:, None] * sb[None]
+def judge_pairs(qa, sa, ea, qb, sb, eb, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers of the pairs that may reach the threshold, and which of them surely do.
+
+    A product in single precision, with the largest bound of the rows and all that it can round off,
+    leaves few pairs; these are judged from the exact product of their codes and their own bounds.
+    """
     length = np.sqrt((qb.astype(np.float64) ** 2).sum(1)) * sb
-    bound = ea[:, None] * length[None] + eb[None] + SLACK
-    sure = est - bound >= threshold
-    return sure, (est + bound >= threshold) & ~sure
+    if len(qa) == 0 or len(qb) == 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+    rough = (qa * sa[:, None]).astype(np.float32) @ (qb * sb[:, None]).astype(np.float32).T
+    most = ea.max() * length.max() + eb.max() + SLACK + ROUNDING * (qa.shape[1] + 8)
+    i, j = np.nonzero(rough >= np.float32(threshold - most) - np.float32(1e-6))
+    est = code_products(qa, qb, i, j) * sa[i] * sb[j]
+    bound = ea[i] * length[j] + eb[j] + SLACK
+    may = est + bound >= threshold
+    return i[may], j[may], est[may] - bound[may] >= threshold
 
 
 def tile_links(qa, sa, ea, xa, qb, sb, eb, xb, threshold: float) -> np.ndarray:
     """Boolean matrix of the pairs with cosine at or above the threshold; the undecided ones are
     computed from the unit vectors ``xa`` and ``xb``."""
-    sure, unsure = judge_pairs(qa, sa, ea, qb, sb, eb, threshold)
-    i, j = np.nonzero(unsure)
-    hit = cosines(xa, xb, i, j) >= threshold
-    sure[i[hit], j[hit]] = True
-    return sure
+    i, j, sure = judge_pairs(qa, sa, ea, qb, sb, eb, threshold)
+    sure[~sure] = cosines(xa, xb, i[~sure], j[~sure]) >= threshold
+    out = np.zeros((len(qa), len(qb)), bool)
+    out[i[sure], j[sure]] = True
+    return out
 
 
 def _coded(nodes: DataFrame) -> DataFrame:
@@ -91,17 +100,17 @@ class Links:
         self.count = np.zeros(len(node), np.int64)
         self.us, self.vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
 
-    def add(self, i: np.ndarray, j: np.ndarray, hit: np.ndarray, both: bool) -> None:
-        """Pairs ``i`` x ``j`` (row numbers) where ``hit``; ``both`` counts them for ``j`` too."""
-        self.count[i] += hit @ self.copies[j]
+    def add(self, i: np.ndarray, j: np.ndarray, both: bool) -> None:
+        """Linked pairs ``i``, ``j`` (row numbers); ``both`` counts them for ``j`` too."""
+        if len(i) == 0:
+            return
+        np.add.at(self.count, i, self.copies[j])
         if both:
-            self.count[j] += self.copies[i] @ hit
-        u, v = np.nonzero(hit)
-        if len(u):
-            root = local_components(len(self.node), i[u], j[v])
-            far = np.flatnonzero(root != np.arange(len(root)))
-            self.us.append(far)
-            self.vs.append(root[far])
+            np.add.at(self.count, j, self.copies[i])
+        root = local_components(len(self.node), i, j)
+        far = np.flatnonzero(root != np.arange(len(root)))
+        self.us.append(far)
+        self.vs.append(root[far])
 
     def table(self, unsure: np.ndarray, a: int, b: int) -> pa.Table:
         root = local_components(len(self.node), np.concatenate(self.us), np.concatenate(self.vs))
@@ -148,13 +157,12 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         s, e = g["scale"].to_numpy(), g["err"].to_numpy()
         links, unsure = Links(node, g["copies"].to_numpy()), np.zeros(len(node), bool)
         for i, j in _sides(t, a, b):
-            hit, open_ = judge_pairs(q[i], s[i], e[i], q[j], s[j], e[j], threshold)
+            u, v, sure = judge_pairs(q[i], s[i], e[i], q[j], s[j], e[j], threshold)
+            u, v = i[u], j[v]
             if a == b:
-                own = i[:, None] == j[None]
-                hit, open_ = hit & ~own, open_ & ~own
-            links.add(i, j, hit, a != b)
-            unsure[i] |= open_.any(1)
-            unsure[j] |= open_.any(0)
+                u, v, sure = (x[u != v] for x in (u, v, sure))
+            links.add(u[sure], v[sure], a != b)
+            unsure[u[~sure]] = unsure[v[~sure]] = True
         return links.table(unsure, a, b)
 
     def by_vectors(key: tuple[pa.Scalar, ...], g: pa.Table) -> pa.Table:
@@ -163,13 +171,12 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         q, s, e = quantise(x)
         links = Links(g["node"].to_numpy(), g["copies"].to_numpy())
         for i, j in _sides(g["t"].to_numpy(), a, b):
-            _, open_ = judge_pairs(q[i], s[i], e[i], q[j], s[j], e[j], threshold)
+            u, v, sure = judge_pairs(q[i], s[i], e[i], q[j], s[j], e[j], threshold)
+            u, v = i[u[~sure]], j[v[~sure]]
             if a == b:
-                open_ &= i[:, None] != j[None]
-            u, v = np.nonzero(open_)
-            hit = np.zeros(open_.shape, bool)
-            hit[u, v] = cosines(x, x, i[u], j[v]) >= threshold
-            links.add(i, j, hit, a != b)
+                u, v = u[u != v], v[u != v]
+            hit = cosines(x, x, u, v) >= threshold
+            links.add(u[hit], v[hit], a != b)
         return links.table(np.zeros(len(x), bool), a, b)
 
     first = cut_lineage(dealt.groupBy("dim", "a", "b").applyInArrow(by_codes, FOUND))

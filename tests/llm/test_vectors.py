@@ -62,9 +62,10 @@ def test_links_by_brute_force(llm_spark, tile):
     assert near_vectors(table(llm_spark, [])).count() == 0
 
 
-def test_bounds_are_rigorous():
+@pytest.mark.parametrize("d", [1, 24, 2000])
+def test_bounds_are_rigorous(d):
     rng = np.random.default_rng(0)
-    x = unit(rng.normal(size=(300, 24)))
+    x = unit(rng.normal(size=(300, d)))
     y = unit(x[:, ::1] + rng.normal(0, 0.2, x.shape))
     for t in (0.0, 0.5, 0.9):
         got = tile_links(*quantise(x), x, *quantise(y), y, t)
