@@ -7,6 +7,7 @@ import time
 import uuid
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from stockflow.operators import alerts as al
@@ -195,3 +196,43 @@ def test_session_settings_are_restored(spark):
     with rocksdb(spark):
         assert spark.conf.get(ss.PROVIDER_CONF) == ss.ROCKSDB
     assert spark.conf.get(ss.PROVIDER_CONF, None) == old
+
+
+def test_a_product_costs_few_state_calls():
+    """The store is called as often for many rows, warehouses and days as for few; nothing comes as initial state."""
+    calls = []
+
+    class State:
+        def __init__(self, name):
+            self.name, self.rows = name, []
+
+        def get(self):
+            calls.append(f"get {self.name}")
+            return iter(self.rows)
+
+        def put(self, rows):
+            calls.append(f"put {self.name}")
+            self.rows = list(rows)
+
+    class Handle:
+        def getListState(self, name, schema):  # noqa: N802
+            return states.setdefault(name, State(name))
+
+        def registerTimer(self, at):  # noqa: N802
+            calls.append("timer")
+
+    states = {}
+    p = ss.InventoryProcessor(30)
+    p.init(Handle())
+    t0 = dt.datetime(2024, 1, 1)
+
+    def rows(first, days):
+        return [Row(m=dict(zip(ss.MOVEMENT, (100 * d + w, t0 + dt.timedelta(days=d), w, "ORDER", 1, 5, "Y", 7, 50, None, None, None))))
+                for d in range(first, first + days) for w in range(8)]
+
+    out = list(p.handleInputRows((1,), iter(rows(0, 1)), None))
+    few, calls[:] = len(calls), []
+    out += list(p.handleInputRows((1,), iter(rows(1, 39)), None))
+    assert len(calls) <= few + 1 <= 6
+    assert len(out) == 8 * 40 and {r.qty_after for r in out} == set(range(10, 50))
+    assert len(states["stock"].rows) == 8 and len(states["days"].rows) == 8 * 40
