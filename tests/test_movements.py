@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from stockflow.functions.running import CHUNK_CONF, dense_ids
 from stockflow.operators import admission as adm
 from stockflow.operators import movements as mv
 from stockflow.session import cut_lineage
@@ -261,3 +262,28 @@ def test_transfer_function_stays_small():
     for _ in range(3000):
         t.move(-rnd.randint(1, 10 ** 8) if rnd.random() < 0.7 else rnd.randint(1, 10 ** 8))
     assert sum(map(len, t.stages)) + len(t.pieces) < 20_000
+
+
+def test_numbering_and_cancelled_items_bound_a_task(spark):
+    """Numbering takes partitions by rows, without a window over them; cancelled items are not sorted by order."""
+    spark.conf.set(CHUNK_CONF, "100")
+    try:
+        rows = spark.range(3000).select((F.col("id") * 7919 % 3000).alias("k"), (F.col("id") % 3).alias("v"))
+        got = dense_ids(rows, ["k"], "n", 5).withColumn("p", F.spark_partition_id())
+        assert sorted((r.k, r.n) for r in got.collect()) == [(k, k + 5) for k in range(3000)]
+        sizes = [r["count"] for r in got.groupBy("p").count().collect()]
+        assert len(sizes) >= 20 and max(sizes) <= 400
+    finally:
+        spark.conf.unset(CHUNK_CONF)
+    orders = spark.createDataFrame([(k, k % 2, "FULFILLED") for k in range(8)], "order_id long, warehouse_id long, status string")
+    after = orders.withColumn("status", F.when(F.col("order_id") < 3, "CANCELLED").otherwise(F.col("status")))
+    items = spark.createDataFrame([(10 + k, k % 8, 1, k) for k in range(16)] + [(99, None, 1, 1)],
+                                  "order_item_id long, order_id long, product_id long, qty_ordered long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = mv.cancelled_items(orders, after, items)
+        assert "SortMergeJoin" not in out._jdf.queryExecution().sparkPlan().toString()
+        assert sorted((r.order_item_id, r.order_id, r.warehouse_id) for r in out.collect()) == [
+            (10 + k, k % 8, k % 8 % 2) for k in range(16) if k % 8 < 3]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
