@@ -236,3 +236,13 @@ def test_a_product_costs_few_state_calls():
     assert len(calls) <= few + 1 <= 6
     assert len(out) == 8 * 40 and {r.qty_after for r in out} == set(range(10, 50))
     assert len(states["stock"].rows) == 8 and len(states["days"].rows) == 8 * 40
+
+
+def test_start_state_has_each_open_alert_once(spark):
+    """Repeated alert rows and null keys make one row a key, with each open alert once."""
+    opening = spark.createDataFrame([(1, 1, 9)], "product_id long, warehouse_id long, qty_on_hand long")
+    alerts = spark.createDataFrame([(7, 1, 1, "N"), (7, 1, 1, "N"), (6, 1, 1, "N"), (5, 1, 1, "Y"), (8, None, 1, "N"), (8, None, 1, "N")],
+                                   "alert_id long, product_id long, warehouse_id long, resolved_flag string")
+    got = ss.initial_state(opening, alerts).collect()
+    assert {(r.product_id, r.warehouse_id): (r.opening_qty, r.open_alerts) for r in got} == {(1, 1): (9, [6, 7]), (None, 1): (None, [8])}
+    assert len(got) == 2
