@@ -1,9 +1,11 @@
 import hashlib
 import random
 import re
+from dataclasses import replace
 
 import numpy as np
 
+from stockflow.llm import secret_scan
 from stockflow.llm.secret_scan import (WIDTH, CharCNN, encode, redact, redact_documents, scan, scan_secrets, survey,
                                        train_cnn, windows)
 
@@ -121,3 +123,47 @@ def test_every_run_reaches_the_network(make_docs):
     out = {r.doc_id: r for r in scan_secrets(make_docs(rows)).collect()}
     hit = sum(f"cnn:{re.search('[QXZJKVWqxzjkvw]{9}', t).start()}:" in out[i].spans for i, t in rows[400:])
     assert hit > 50 and sum(out[i].n_cnn for i in range(0, 400, 2)) < 100
+
+
+def test_every_candidate_trains_or_calibrates(make_docs, monkeypatch):
+    rows = corpus()
+    steps, bins = [], []
+    corpus_step, platt = secret_scan._corpus_step, secret_scan.platt
+
+    def step(*args):
+        steps.append(corpus_step(*args))
+        return steps[-1]
+
+    monkeypatch.setattr(secret_scan, "_corpus_step", step)
+    monkeypatch.setattr(secret_scan, "platt", lambda z, t, n: bins.append((t, n)) or platt(z, t, n))
+    docs = make_docs(rows).repartition(5)
+    net = secret_scan.fit(docs, "text", rows=30)         # the first steps see 30 candidates of each label
+    c = survey([(t or "").encode() for _, t in rows])[1]
+    held = [secret_scan._is_held(secret_scan._hashes(c.windows(np.flatnonzero(c.label == y)))) for y in (0, 1)]
+    assert min(h.sum() for h in held) > 30
+    counts = np.array(steps)[:, :, -1].sum(0)
+    assert counts.tolist() == [(~held[0]).sum(), 2 * (~held[1]).sum()]     # findings with and without keyword
+    t, n = bins[-1]
+    assert [n[t == y].sum() for y in (0, 1)] == [h.sum() for h in held]
+    again = secret_scan.fit(docs.repartition(2), "text", rows=30)
+    assert np.array_equal(again.conv, net.conv) and again.threshold == net.threshold
+
+
+def test_gradient_is_that_of_the_loss():
+    rng = np.random.default_rng(2)
+    net = CharCNN(rng.normal(0, .3, (256, 8)), rng.normal(0, .2, (40, 24)), rng.normal(0, .1, 24), rng.normal(0, .3, (48, 1)), -.5)
+    text = " ".join("".join(chr(97 + k) for k in rng.integers(0, 26, rng.integers(6, 60))) for _ in range(200)).encode()
+    c = survey([text])[1]
+    x = c.windows(np.arange(len(c.start)))
+    sums = secret_scan.gradient(net, x, 0)
+    assert sums[-1] == len(x)
+    assert np.allclose(np.concatenate([net.pooled_logits(p)[2] for p in secret_scan.packed(x)]).sum(), net.logit(x).sum(), rtol=1e-3)
+    got = secret_scan._by_weight(net, np.array([sums, np.zeros_like(sums)]))
+    for name in ("embed", "conv", "bias", "head"):
+        at = np.unravel_index(np.abs(got[name]).argmax(), got[name].shape)
+        loss = []
+        for d in (1e-5, -1e-5):
+            w = getattr(net, name).copy()
+            w[at] += d
+            loss.append(np.log1p(np.exp(replace(net, **{name: w}).logit(x))).sum())
+        assert np.isclose((loss[0] - loss[1]) / 2e-5 / len(x) / 2, got[name][at], rtol=1e-2)
