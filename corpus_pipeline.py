@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from stockflow.llm import mixing, packing, quality, secret_scan, simhash
-from stockflow.llm.common import read, small_batches
+from stockflow.llm.common import drop, read, small_batches
 from stockflow.llm.queries import VOCABULARY
 from stockflow.session import ensure_checkpoint_dir
 
@@ -59,13 +59,6 @@ STAGES = [("quality classifier", quality_stage), ("SimHash near-dedup", near_ded
 ORACLE_SQL = None
 
 
-def _drop(spark: SparkSession, path: str) -> None:
-    """Remove a stage's table from the shared folder."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     at = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}"
@@ -74,5 +67,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         stage(spark, docs, sf_dir).write.parquet(f"{at}/{k}")
         docs = spark.read.parquet(f"{at}/{k}")
         if k:
-            _drop(spark, f"{at}/{k - 1}")
+            drop(spark, f"{at}/{k - 1}")
     return docs

@@ -167,3 +167,40 @@ def test_gradient_is_that_of_the_loss():
             w[at] += d
             loss.append(np.log1p(np.exp(replace(net, **{name: w}).logit(x))).sum())
         assert np.isclose((loss[0] - loss[1]) / 2e-5 / len(x) / 2, got[name][at], rtol=1e-2)
+
+
+def test_no_bounded_set_of_candidates_trains(make_docs):
+    docs = make_docs(corpus())
+    few, many = (secret_scan.fit(docs, "text", rows=n) for n in (7, 6000))
+    for name in ("embed", "conv", "bias", "head", "shift", "scale", "offset", "threshold"):
+        assert np.array_equal(getattr(few, name), getattr(many, name))
+
+
+def test_hidden_findings_get_a_context_without_findings():
+    texts = [b"", b"token=abcdef0123456789", b"some other words that are longer here token: abcdef0123 and afterwards more words follow"]
+    got = list(secret_scan.folds(texts, 2, False)) + list(secret_scan.folds(texts, 2, True))
+    hidden = np.concatenate([z for y, _, z in got if y])
+    plain = np.concatenate([x for y, x, _ in got if not y])
+    assert len(hidden) == 2 and len(plain) == sum(c == 0 for c in survey(texts)[1].label)
+    for w in hidden[:, :secret_scan.LEFT]:
+        assert b"token" not in w.tobytes() and b"abcdef" not in w.tobytes()
+        assert w.tobytes() == b"\n" * secret_scan.LEFT or any(np.array_equal(w, p[:secret_scan.LEFT]) for p in plain)
+
+
+def test_bound_loses_no_candidate():
+    rng = np.random.default_rng(3)
+    text = " ".join("".join(chr(k) for k in rng.choice(list(b"abcdef0123XYZ=/"), rng.integers(1, 60))) for _ in range(600)).encode()
+    c = survey([text, b"", b"n\xc3\xa9e " + text[::-1]])[1]
+    k = np.flatnonzero(c.label == 0)
+    for spread in (.1, 1., 6.):
+        net = CharCNN(rng.normal(0, spread, (256, 8)), rng.normal(0, .2, (40, 24)), rng.normal(0, .1, 24), rng.normal(0, .3, (48, 1)), -.5)
+        score = net.run_scores(c, k)
+        for scale, offset, threshold in ((1., 0., np.quantile(score, .9)), (3., -50., 1.), (3., 60., 1.), (-1., 0., .5),
+                                         (1., 0., 0.), (1., 0., 2.), (.2, .3, np.quantile(score, .5))):
+            other = replace(net, scale=scale, offset=offset, threshold=float(threshold))
+            passes = other.run_scores(c, k) >= other.threshold
+            may = other.may_pass(c, k)
+            assert (may | ~passes).all()
+        short = c.end[k] - c.start[k] <= 30
+        sharp = replace(net, threshold=float(np.quantile(score, .99)))
+        assert sharp.may_pass(c, k)[short].mean() < .9       # and it spares some their exact score
